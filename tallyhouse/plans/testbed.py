@@ -60,7 +60,7 @@ def _days(ts: Column, n: Column) -> Column:
 
 
 def product_code(partkey: Column) -> Column:
-    return F.concat(F.lit("P"), F.lpad(partkey.cast("string"), 6, "0"))
+    return F.concat(F.lit("P"), F.lpad(partkey.cast("string"), 9, "0"))
 
 
 class Testbed:
@@ -208,12 +208,12 @@ class Testbed:
                           "dw_reporting_employee_id": F.col("reportsTo") + one},
             "offices": {"dw_office_id": F.col("officeCode").cast("long") + one},
             "productlines": {},
-            "products": {"dw_product_id": F.substring("productCode", 2, 6).cast("long") + one,
+            "products": {"dw_product_id": F.substring("productCode", 2, 9).cast("long") + one,
                          "dw_product_line_id": F.lit(None).cast("long")},
             "orders": {"dw_order_id": F.col("orderNumber") + one,
                        "dw_customer_id": F.col("customerNumber") + one},
             "orderdetails": {"dw_order_id": F.col("orderNumber") + one,
-                             "dw_product_id": F.substring("productCode", 2, 6).cast("long") + one},
+                             "dw_product_id": F.substring("productCode", 2, 9).cast("long") + one},
             "payments": {"dw_customer_id": F.col("customerNumber") + one},
         }[name]
 
