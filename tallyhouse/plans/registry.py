@@ -168,8 +168,8 @@ register("ref_payments_customer")(lambda tb: tb.wh_payments)
 
 def _scd2_args(tb, name):
     if name == "customers":
-        return tb.prior_history("customers"), tb.wh_customers, "dw_customer_id", "creditLimit"
-    return tb.prior_history("products"), tb.wh_products, "dw_product_id", "MSRP"
+        return tb.prior_history("customers"), tb.mat("wh_customers"), "dw_customer_id", "creditLimit"
+    return tb.prior_history("products"), tb.mat("wh_products"), "dw_product_id", "MSRP"
 
 
 for _t in ("customers", "products"):
@@ -179,18 +179,18 @@ for _t in ("customers", "products"):
 
 # ------------------------------------------------------------------- daily
 
-register("first_payment")(lambda tb: D.first_payment(tb.wh_payments))
-register("daily_new_customers")(lambda tb: D.new_customers(tb.wh_customers, tb.ctx))
-register("daily_payments")(lambda tb: D.payment_branch(tb.wh_payments, tb.ctx))
+register("first_payment")(lambda tb: D.first_payment(tb.mat("wh_payments")))
+register("daily_new_customers")(lambda tb: D.new_customers(tb.mat("wh_customers"), tb.ctx))
+register("daily_payments")(lambda tb: D.payment_branch(tb.mat("wh_payments"), tb.ctx))
 for _key, _br in (("daily_products_ordered", D.ORDERED), ("daily_cancelled_orders", D.CANCEL),
                   ("daily_shipped_orders", D.SHIP), ("daily_open_orders", D.OPEN)):
-    register(_key)(lambda tb, _br=_br: D.line_branch(_br, tb.wh_orders, tb.wh_orderdetails,
-                                                     tb.wh_products, tb.ctx))
+    register(_key)(lambda tb, _br=_br: D.line_branch(_br, tb.mat("wh_orders"), tb.mat("wh_orderdetails"),
+                                                     tb.mat("wh_products"), tb.ctx))
 register("daily_customer_summary")(lambda tb: tb.daily_customer())
-register("daily_product_ordered")(lambda tb: D.product_branch(D.ORDERED, tb.wh_orders,
-                                                              tb.wh_orderdetails, tb.wh_products, tb.ctx))
-register("daily_product_cancelled")(lambda tb: D.product_branch(D.CANCEL, tb.wh_orders,
-                                                                tb.wh_orderdetails, tb.wh_products, tb.ctx))
+register("daily_product_ordered")(lambda tb: D.product_branch(
+    D.ORDERED, tb.mat("wh_orders"), tb.mat("wh_orderdetails"), tb.mat("wh_products"), tb.ctx))
+register("daily_product_cancelled")(lambda tb: D.product_branch(
+    D.CANCEL, tb.mat("wh_orders"), tb.mat("wh_orderdetails"), tb.mat("wh_products"), tb.ctx))
 register("daily_product_summary")(lambda tb: tb.daily_product())
 
 

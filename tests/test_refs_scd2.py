@@ -1,0 +1,79 @@
+from pyspark.sql import functions as F
+
+from tallyhouse.operators.refs import resolve_ref
+from tallyhouse.operators.scd2 import scd2, scd2_close, scd2_open
+from tallyhouse.schemas import history_schema
+
+from helpers import CTX, d, m, rows, ts
+
+
+def test_ref_unmatched_keeps_old_and_late_parent_heals(spark):
+    # Q9 / Q10: matched rows take the parent's id, unmatched keep theirs,
+    # and a parent that arrives later fixes the child on the next pass.
+    child = spark.createDataFrame([(1, 10, 500), (2, 20, None), (3, None, 7)],
+                                  "id int, emp int, dw_employee_id long")
+    parent = spark.createDataFrame([(10, 1000)], "employeeNumber int, dw_employee_id long")
+    out = resolve_ref(child, parent, "emp", "employeeNumber", "dw_employee_id", "dw_employee_id")
+    assert rows(out, "id", "dw_employee_id") == [(1, 1000), (2, None), (3, 7)]
+    parent2 = parent.union(spark.createDataFrame([(20, 2000)], parent.schema))
+    out2 = resolve_ref(out, parent2, "emp", "employeeNumber", "dw_employee_id", "dw_employee_id")
+    assert rows(out2, "id", "dw_employee_id") == [(1, 1000), (2, 2000), (3, 7)]
+
+
+def test_self_reference(spark):
+    emp = spark.createDataFrame([(1, None, 11, None), (2, 1, 12, None), (3, 9, 13, 99)],
+                                "employeeNumber int, reportsTo int, dw_employee_id long, dw_reporting_employee_id long")
+    out = resolve_ref(emp, emp, "reportsTo", "employeeNumber", "dw_employee_id", "dw_reporting_employee_id")
+    assert rows(out, "employeeNumber", "dw_reporting_employee_id") == [(1, None), (2, 11), (3, 99)]
+
+
+def _hist(spark, data):
+    return spark.createDataFrame(data, history_schema("dw_customer_id", "creditLimit"))
+
+
+def _row(k, v, frm, active=1, to=None):
+    return (k, m(v), d(frm), d(to), active, ts("2024-01-01 00:00:00"), ts("2024-01-01 00:00:00"),
+            1, d("2024-01-01"), None, None)
+
+
+def test_scd2_changes(spark):
+    # Q12 / Q13: changed closes + opens; unchanged stays; NULL<->value is
+    # missed by plain '<>' but caught with null_safe; a new key opens.
+    hist = _hist(spark, [_row(1, 100, "2024-01-01"), _row(2, 200, "2024-01-01"),
+                         _row(3, None, "2024-01-01"), _row(4, 400, "2024-01-01"),
+                         _row(1, 50, "2023-01-01", active=0, to="2023-12-31")])
+    dim = spark.createDataFrame([(1, m(150)), (2, m(200)), (3, m(300)), (4, None), (5, m(500))],
+                                "dw_customer_id long, creditLimit decimal(10,2)")
+    out = scd2(hist, dim, "dw_customer_id", "creditLimit", CTX)
+    got = rows(out, "dw_customer_id", "creditLimit", "dw_active_record_ind", "effective_from_date",
+               "effective_to_date")
+    assert got == [
+        (1, m(100), 0, d("2024-01-01"), d("2024-03-09")),
+        (1, m(150), 1, d("2024-03-10"), None),
+        (1, m(50), 0, d("2023-01-01"), d("2023-12-31")),
+        (2, m(200), 1, d("2024-01-01"), None),
+        (3, None, 1, d("2024-01-01"), None),
+        (4, m(400), 1, d("2024-01-01"), None),
+        (5, m(500), 1, d("2024-03-10"), None),
+    ]
+    safe = scd2(hist, dim, "dw_customer_id", "creditLimit", CTX, null_safe=True)
+    active = rows(safe.where("dw_active_record_ind = 1"), "dw_customer_id", "creditLimit")
+    assert active == [(1, m(150)), (2, m(200)), (3, m(300)), (4, None), (5, m(500))]
+    # at most one active row per key
+    for df in (out, safe):
+        assert df.where("dw_active_record_ind = 1").groupBy("dw_customer_id").count() \
+            .where("count > 1").count() == 0
+
+
+def test_scd2_two_changes_same_date(spark):
+    # Q14: a second change with the same batch date closes the row opened
+    # that day with effective_to one day before its effective_from.
+    hist = _hist(spark, [_row(1, 100, "2024-01-01")])
+    d1 = spark.createDataFrame([(1, m(150))], "dw_customer_id long, creditLimit decimal(10,2)")
+    d2 = spark.createDataFrame([(1, m(175))], "dw_customer_id long, creditLimit decimal(10,2)")
+    h1 = scd2(hist, d1, "dw_customer_id", "creditLimit", CTX)
+    h2 = scd2(h1, d2, "dw_customer_id", "creditLimit", CTX)
+    closed_today = h2.where((F.col("creditLimit") == 150)).collect()[0]
+    assert closed_today["effective_to_date"] < closed_today["effective_from_date"]
+    assert scd2_close(h1, d2, "dw_customer_id", "creditLimit", CTX).count() == 2
+    assert scd2_open(h1, d2, "dw_customer_id", "creditLimit", CTX).count() == 1
