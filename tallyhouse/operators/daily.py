@@ -170,7 +170,7 @@ def line_branch(name: str, orders, orderdetails, products, ctx) -> DataFrame:
 
 def payment_branch(payments: DataFrame, ctx: BatchContext) -> DataFrame:
     """Payments on/after the batch date joined to D0 (inner)."""
-    fp = first_payment(payments).where(F.col("dw_customer_id").isNotNull())
+    fp = broadcast_if_small(first_payment(payments).where(F.col("dw_customer_id").isNotNull()))
     p = payments.where(on_or_after("paymentDate", ctx.date_col()) & F.col("dw_customer_id").isNotNull())
     g = p.join(fp, "dw_customer_id", "inner") \
         .groupBy("paymentDate", "dw_customer_id", "first_payment_date", "src_create_timestamp",

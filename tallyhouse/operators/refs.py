@@ -17,14 +17,17 @@ def resolve_ref(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
                 parent_id: str, as_col: str) -> DataFrame:
     """Left join on the natural key, ``coalesce(parent id, old id)``.
 
-    Only (key, id) of the parent are read. NULL child keys never match,
-    so the parent side is filtered to non-NULL keys; a parent that fits
-    the broadcast limit is broadcast (no shuffle of the child, immune to a
-    hot child key), otherwise AQE splits skewed child partitions.
+    Only (key, id) of the parent are read. Child rows whose key is NULL
+    can never match; they bypass the join (a hot NULL key would otherwise
+    land in one shuffle partition). A parent that fits the broadcast limit
+    is broadcast (no shuffle of the child, immune to a hot child key);
+    otherwise AQE splits skewed child partitions of the sort-merge join.
     """
     p = (parent.select(F.col(parent_key).alias("_ref_key"), F.col(parent_id).alias("_ref_id"))
          .where(F.col("_ref_key").isNotNull()))
     p = broadcast_if_small(p)
-    j = child.join(p, F.col(child_key) == F.col("_ref_key"), "left")
-    return j.select(*[(F.coalesce(F.col("_ref_id"), F.col(c)) if c == as_col else F.col(c)).alias(c)
-                      for c in child.columns])
+    keyed = child.where(F.col(child_key).isNotNull())
+    j = keyed.join(p, F.col(child_key) == F.col("_ref_key"), "left")
+    resolved = j.select(*[(F.coalesce(F.col("_ref_id"), F.col(c)) if c == as_col else F.col(c)).alias(c)
+                          for c in child.columns])
+    return resolved.unionByName(child.where(F.col(child_key).isNull()))

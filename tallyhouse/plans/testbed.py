@@ -66,6 +66,8 @@ def product_code(partkey: Column) -> Column:
 class Testbed:
     """Lazily built DataFrames of one batch over one driver folder."""
 
+    __test__ = False  # not a pytest class
+
     def __init__(self, spark: SparkSession, sf_dir: str, ctx: BatchContext = TEST_CTX):
         self.spark = configure(spark)
         self.sf_dir = sf_dir.rstrip("/")
