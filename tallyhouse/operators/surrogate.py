@@ -7,7 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.session import materialize
+from tallyhouse.session import estimated_size_bytes, materialize
+
+# New rows whose estimated size is below this are numbered in one sorted
+# partition (no sampling, checkpoint or count job); larger inputs take the
+# distributed range-partition recipe.
+SMALL_INPUT_BYTES = 16 * 1024 * 1024
 
 _PID = "_sk_pid"
 _POS = "_sk_pos"
@@ -32,8 +37,11 @@ def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], id_col: str,
     keys are unique (they are after de-duplication and the anti-join).
     """
     spark = df.sparkSession
-    n = num_partitions or _partitions_for(df)
     keys = list(keys)
+    size = estimated_size_bytes(df)
+    if num_partitions is None and size is not None and size <= SMALL_INPUT_BYTES:
+        return _number_small(df, keys, id_col, start_after)
+    n = num_partitions or _partitions_for(df)
     tagged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
               .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys])
               .withColumn(_PID, F.spark_partition_id())
@@ -54,6 +62,18 @@ def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], id_col: str,
     return out.select(id_col, *df.columns)
 
 
+def _number_small(df: DataFrame, keys: list[str], id_col: str, start_after: int) -> DataFrame:
+    """Size-checked small input: one partition sorted by the keys and then
+    every other column (a total order, so a recomputation after a lost
+    executor gives the same ids); position = monotonically_increasing_id
+    in partition 0."""
+    rest = [c for c in df.columns if c not in keys]
+    order = [F.col(c).asc_nulls_first() for c in keys + rest]
+    one = df.repartition(1).sortWithinPartitions(*order)
+    ids = F.lit(start_after).cast("long") + F.monotonically_increasing_id() + 1
+    return one.select(ids.alias(id_col), *df.columns)
+
+
 def max_id(df: DataFrame, id_col: str) -> int:
     """Largest id already given out (0 for an empty table); one value."""
     row = df.agg(F.max(id_col).alias("m")).collect()[0]

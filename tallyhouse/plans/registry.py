@@ -40,7 +40,7 @@ _REGISTRY: dict[str, Query] = {}
 
 def register(name: str):
     def deco(fn):
-        _REGISTRY[name] = lambda spark, sf_dir: present(fn(Testbed(spark, sf_dir)))
+        _REGISTRY[name] = lambda spark, sf_dir: present(fn(Testbed.shared(spark, sf_dir)))
         return fn
     return deco
 

@@ -28,7 +28,7 @@ from tallyhouse.operators.refs import resolve_ref
 from tallyhouse.operators.surrogate import assign_surrogate_keys
 from tallyhouse.operators.upsert import upsert_inserts, upsert_updates
 from tallyhouse.schemas import SPECS, history_schema
-from tallyhouse.session import configure, materialize
+from tallyhouse.session import configure, write_through
 from tallyhouse.sources.extract import delta_extract
 
 # The batch the registered queries run: batch 49 dated 1999-01-15 (mid
@@ -68,12 +68,34 @@ class Testbed:
 
     __test__ = False  # not a pytest class
 
+    _shared: dict = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str, ctx: BatchContext = TEST_CTX):
         self.spark = configure(spark)
         self.sf_dir = sf_dir.rstrip("/")
         self.ctx = ctx
         self.prior_ctx = PRIOR_CTX
 
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Testbed":
+        """One testbed per Spark application and folder: like the batch
+        pipeline, the warehouse tables of the batch are built (and
+        written) once, and every summary reads those tables."""
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, sf_dir)
+        return cls._shared[key]
+
+    WAREHOUSE = ("wh_offices", "wh_employees_office", "wh_employees", "wh_customers",
+                 "wh_productlines", "wh_products", "wh_orders", "wh_orderdetails_order",
+                 "wh_orderdetails", "wh_payments")
+
+    def build(self) -> "Testbed":
+        """Materialise every warehouse table of the batch."""
+        for attr in self.WAREHOUSE:
+            self.mat(attr)
+        return self
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
@@ -272,13 +294,13 @@ class Testbed:
         return self.updated(name).unionByName(self.inserted(name))
 
     def mat(self, attr: str) -> DataFrame:
-        """A warehouse table as the next step reads it: written once
-        (reliable checkpoint), so its lineage is not re-planned and
-        re-run by every table that refers to it, as the batch pipeline
-        reads a published table version."""
+        """A warehouse table as the next step reads it: written once (as
+        parquet in the checkpoint folder) and read back, so its lineage is
+        not re-planned and re-run by every table that refers to it, as the
+        batch pipeline reads a published table version."""
         key = f"_mat_{attr}"
         if key not in self.__dict__:
-            self.__dict__[key] = materialize(getattr(self, attr))
+            self.__dict__[key] = write_through(getattr(self, attr), attr)
         return self.__dict__[key]
 
     @cached_property
@@ -362,12 +384,23 @@ class Testbed:
         """(daily table after this batch, monthly table before it).
 
         Daily rows dated before the batch date stand for earlier batches;
-        the prior monthly table is their roll-up."""
+        the prior monthly table is their roll-up. Every branch filters on
+        its own summary date and the outer aggregate groups by it, so this
+        batch's rows are the open-ended computation restricted to dates on
+        or after the batch date, stamped with this batch's run time (and,
+        for products, its batch literals): one pass gives both parts."""
         make = self.daily_customer if kind == "customer" else self.daily_product
         spec = M.CUSTOMER_ROLLUP if kind == "customer" else M.PRODUCT_ROLLUP
-        earlier = make(HISTORY_CTX).where(F.col("summary_date") < self.ctx.date_col())
-        daily = materialize(earlier.unionByName(make()))
-        earlier = daily.where(F.col("summary_date") < self.ctx.date_col())
+        allday = write_through(make(HISTORY_CTX), f"daily_{kind}")
+        b = self.ctx.date_col()
+        earlier = allday.where(F.col("summary_date") < b)
+        stamps = {"dw_create_timestamp": self.ctx.run_ts_col(),
+                  "dw_update_timestamp": self.ctx.run_ts_col()}
+        if kind == "product":
+            stamps.update(etl_batch_no=self.ctx.no_col(), etl_batch_date=self.ctx.date_col())
+        current = allday.where(F.col("summary_date") >= b) \
+            .select(*[stamps.get(c, F.col(c)).alias(c) for c in allday.columns])
+        daily = earlier.unionByName(current)
         empty = self.spark.createDataFrame([], M.monthly_schema(spec))
         monthly = M.monthly_insert(empty, earlier, spec, PRIOR_CTX)
         return daily, monthly

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,7 @@ def build_local_session(cores: int = 8, shuffle_partitions: int = 8,
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
@@ -71,10 +73,22 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_through(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the session's checkpoint folder (the
+    cluster's shared scratch) and read it back. Cuts lineage like a
+    checkpoint, but the result keeps file statistics (size-checked
+    broadcasts work), column pruning and filter pushdown."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tallyhouse-tables/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def estimated_size_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimised plan, if available."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))  # py4j gives an int or a BigInt proxy
     except Exception:  # Spark Connect or plan without statistics
         return None
