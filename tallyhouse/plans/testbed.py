@@ -96,12 +96,19 @@ class Testbed:
             self.mat(attr)
         return self
 
+    def _memo(self, key: str, make):
+        if key not in self.__dict__:
+            self.__dict__[key] = make()
+        return self.__dict__[key]
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._memo(f"_tab_{name}",
+                          lambda: self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
 
     # ------------------------------------------------------------ sources
     def source(self, name: str) -> DataFrame:
-        return getattr(self, f"_src_{name}")().select(*SPECS[name].source_names)
+        return self._memo(f"_src_df_{name}", lambda: getattr(self, f"_src_{name}")()
+                          .select(*SPECS[name].source_names))
 
     def _src_customers(self) -> DataFrame:
         c = self.table("customer")
@@ -278,11 +285,13 @@ class Testbed:
         return rows.select(*[vals[c].cast(types[c]).alias(c) for c in names])
 
     def stage(self, name: str) -> DataFrame:
-        return delta_extract(self.source(name), SPECS[name].source_names, self.ctx)
+        return self._memo(f"_stage_{name}", lambda: delta_extract(
+            self.source(name), SPECS[name].source_names, self.ctx))
 
     # ---------------------------------------------------------- warehouse
     def updated(self, name: str) -> DataFrame:
-        return upsert_updates(self.prior(name), self.stage(name), SPECS[name], self.ctx)
+        return self._memo(f"_upd_{name}", lambda: upsert_updates(
+            self.prior(name), self.stage(name), SPECS[name], self.ctx))
 
     def inserted(self, name: str) -> DataFrame:
         key = f"_ins_{name}"
