@@ -1,0 +1,10 @@
+"""No streaming operators.
+
+The warehouse this library rebuilds is batch-driven: one batch number and
+date from a control table, deltas selected by an inclusive update-time
+watermark, keyed upserts and incremental roll-ups. It has no stream
+source, event-time window, watermark on late data or streaming state, so
+nothing here is expressed with Structured Streaming; the incremental
+behaviour lives in ``tallyhouse.sources.extract`` (watermark) and
+``tallyhouse.operators.monthly`` (incremental roll-up).
+"""
