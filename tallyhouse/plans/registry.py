@@ -150,8 +150,12 @@ for _t in SPECS:
 
 @register("surrogate_keys")
 def q_surrogate_keys(tb):
+    # Always the distributed range-partition recipe (the path a large
+    # initial load takes), whatever the input size.
     keys = tb.source("orderdetails").select("orderNumber", "productCode").distinct()
-    return assign_surrogate_keys(keys, ["orderNumber", "productCode"], "dw_orderdetail_id")
+    n = int(tb.spark.conf.get("spark.sql.shuffle.partitions"))
+    return assign_surrogate_keys(keys, ["orderNumber", "productCode"], "dw_orderdetail_id",
+                                 num_partitions=n)
 
 
 register("ref_customers_employee")(lambda tb: tb.wh_customers)

@@ -99,11 +99,13 @@ class Batch:
                                empty_text=self.opts.empty_text)
             target = self.current(name, spec.warehouse_schema())
             nxt = upsert(target, stage, spec, self.ctx)
-            self.write(name, nxt)
+            # Upsert and reference steps form one plan and the table is
+            # written once per batch. Parents are earlier tables already
+            # written this batch, or (self reference) this same plan.
             for ckey, parent, pkey, pid, col in REFS.get(name, []):
-                child = self.current(name, spec.warehouse_schema())
-                par = self.current(parent, SPECS[parent].warehouse_schema())
-                self.write(name, resolve_ref(child, par, ckey, pkey, pid, col))
+                par = nxt if parent == name else self.current(parent, SPECS[parent].warehouse_schema())
+                nxt = resolve_ref(nxt, par, ckey, pkey, pid, col)
+            self.write(name, nxt)
 
     def histories(self) -> None:
         for table, (dim, key, tracked) in HISTORIES.items():

@@ -63,7 +63,27 @@ def read_stage(spark: SparkSession, path: str, spec: TableSpec, empty_text: str
     schema = spec.stage_schema()
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    df = spark.read.options(**READ_OPTIONS).option("mode", mode).schema(schema).csv(path)
+    # Date and time columns are read as text and parsed with the automatic
+    # format chain (a date written with a time part becomes its date);
+    # under FAILFAST, text that parses in no format stops the load.
+    timed = {f.name for f in schema.fields
+             if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))}
+    as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name in timed else f.dataType, True)
+                            for f in schema.fields])
+    raw = spark.read.options(**READ_OPTIONS).option("mode", mode).schema(as_text).csv(path)
+    cols = []
+    for f in schema.fields:
+        if f.name not in timed:
+            cols.append(F.col(f.name))
+            continue
+        text = F.col(f.name)
+        parsed = parse_auto_date(text) if isinstance(f.dataType, T.DateType) else parse_auto_timestamp(text)
+        if mode == "FAILFAST":
+            bad = text.isNotNull() & (F.trim(text) != "") & parsed.isNull()
+            parsed = F.when(bad, F.raise_error(F.concat(F.lit(f"unparseable {f.name}: "), text))) \
+                .otherwise(parsed)
+        cols.append(parsed.cast(f.dataType).alias(f.name))
+    df = raw.select(*cols)
     if empty_text == "empty":
         df = df.select(*[(F.coalesce(F.col(f.name), F.lit("")) if isinstance(f.dataType, T.StringType)
                           else F.col(f.name)).alias(f.name) for f in schema.fields])

@@ -93,3 +93,32 @@ def test_batch_log_cycles(spark):
               "etl_batch_start_time", "etl_batch_end_time", "event_count")
     assert st == [(1, d("2024-03-10"), "C", ts("2024-03-10 03:00:00"), ts("2024-03-10 04:00:00"), 4),
                   (2, d("2024-03-11"), "R", ts("2024-03-10 02:30:00"), None, 1)]
+
+
+def test_date_with_time_part_is_cast_at_staging(spark, scratch):
+    # Q29: a business date carrying a time part lands as a date, so the
+    # daily groups are not split by time of day; S7 formats are accepted.
+    import os
+    from tallyhouse.schemas import ORDERS
+    path = delta_path(scratch, "orders", CTX.batch_date)
+    os.makedirs(path)
+    with open(f"{path}/part-0.csv", "w") as f:
+        f.write(",".join(ORDERS.source_names) + "\n")
+        f.write("1,2024-03-10 10:30:00,2024/03/17,,In Process,,5,03/10/2024 10:30:00,2024-03-10 10:30:00,\n")
+    r = read_stage(spark, path, ORDERS).collect()[0]
+    assert (r["orderDate"], r["requiredDate"], r["shippedDate"]) == (d("2024-03-10"), d("2024-03-17"), None)
+    assert r["create_timestamp"] == ts("2024-03-10 10:30:00")
+
+
+def test_unparseable_date_fails_the_load(spark, scratch):
+    import os
+    import pytest
+    from tallyhouse.schemas import ORDERS
+    path = delta_path(scratch, "orders", CTX.batch_date)
+    os.makedirs(path)
+    with open(f"{path}/part-0.csv", "w") as f:
+        f.write(",".join(ORDERS.source_names) + "\n")
+        f.write("1,not a date,,,In Process,,5,,,\n")
+    with pytest.raises(Exception):
+        read_stage(spark, path, ORDERS).collect()
+    assert read_stage(spark, path, ORDERS, mode="PERMISSIVE").collect()[0]["orderDate"] is None
