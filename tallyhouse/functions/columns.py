@@ -16,8 +16,14 @@ def to_day(x) -> Column:
     return _c(x).cast("date")
 
 
-def on_or_after(x, day: Column) -> Column:
-    """``CAST(x AS DATE) >= day``; NULL compares false (row dropped)."""
+def on_or_after(x, day: Column, timestamp: bool = False) -> Column:
+    """``CAST(x AS DATE) >= day``; NULL compares false (row dropped).
+
+    For a timestamp without time zone this equals ``x >= day 00:00:00``,
+    which (unlike the cast) can be pushed to the parquet scan; pass
+    ``timestamp=True`` for such columns."""
+    if timestamp:
+        return _c(x) >= day.cast("timestamp_ntz")
     return to_day(x) >= day
 
 

@@ -78,7 +78,7 @@ def first_payment(payments: DataFrame) -> DataFrame:
 
 def new_customers(customers: DataFrame, ctx: BatchContext) -> DataFrame:
     """One zero row per customer created on/after the batch date."""
-    c = (customers.where(on_or_after("src_create_timestamp", ctx.date_col()))
+    c = (customers.where(on_or_after("src_create_timestamp", ctx.date_col(), timestamp=True))
          .select("dw_customer_id", "src_create_timestamp", "src_update_timestamp",
                  "etl_batch_no", "etl_batch_date")
          .distinct())

@@ -10,10 +10,10 @@ inputs, and the next snapshot is ``updated(target) UNION inserted``:
 * ``upsert_inserts``: stage LEFT ANTI JOIN target on the insert keys,
   then fresh surrogate ids after the largest existing one.
 
-Both joins hash-partition target and stage on the key; with identical
-inputs Spark reuses the exchange. When the stage is a small delta, AQE
-turns the left join into a broadcast of the stage and the (large) target
-is not shuffled for the update side.
+A delta whose estimated size is under the broadcast limit is broadcast
+into the update join, so the (large) target is streamed without a
+shuffle; a larger delta gets a sort-merge join (AQE may still switch it
+at run time). The anti-join reads only the target's key columns.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.context import BatchContext
 from tallyhouse.operators.dedupe import latest_per_key
+from tallyhouse.operators.joins import broadcast_if_small
 from tallyhouse.operators.surrogate import assign_surrogate_keys, max_id
 from tallyhouse.schemas import TableSpec
 
@@ -41,7 +42,9 @@ def upsert_updates(target: DataFrame, stage: DataFrame, spec: TableSpec,
     keys = [spec.wh(k) for k in spec.update_keys]
     upd = [spec.wh(c) for c in spec.update_cols]
     s_cols = keys + upd + ["src_update_timestamp"]
-    s = s.select(*[F.col(c).alias(f"_s_{c}") for c in s_cols])
+    # A delta under the size limit is broadcast: the target is then read
+    # and streamed through the join without a shuffle.
+    s = broadcast_if_small(s.select(*[F.col(c).alias(f"_s_{c}") for c in s_cols]))
     cond = [F.col(k) == F.col(f"_s_{k}") for k in keys]
     j = target.join(s, cond, "left")
     newer = F.coalesce(F.col("_s_src_update_timestamp") > F.col("src_update_timestamp"),
