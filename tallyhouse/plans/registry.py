@@ -8,7 +8,6 @@ values.
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
 from collections.abc import Callable
 
