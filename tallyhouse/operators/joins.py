@@ -7,14 +7,26 @@ from pyspark.sql import functions as F
 
 from tallyhouse.session import estimated_size_bytes
 
-# Ceiling for an explicit broadcast hint. Above it the join is left to
-# Catalyst/AQE (sort-merge with runtime skew splitting, or a runtime
-# broadcast when the measured shuffle output is small).
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# Ceiling for an explicit broadcast hint, compared with Catalyst's size
+# estimate (which for parquet is the compressed file size, so the table
+# in memory can be several times larger). Above it the join is left to
+# Catalyst/AQE: sort-merge with runtime skew splitting, or a runtime
+# broadcast when the measured shuffle output turns out small. A session
+# can set its own ceiling with ``spark.tallyhouse.broadcastMaxBytes``.
+DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_CONF = "spark.tallyhouse.broadcastMaxBytes"
 
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def broadcast_limit(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get(BROADCAST_CONF, None)
+    return int(value) if value else DEFAULT_BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only when its estimated size is known and under the
+    limit; an unknown size (e.g. an RDD scan) is never broadcast."""
+    limit = broadcast_limit(df) if limit_bytes is None else limit_bytes
     size = estimated_size_bytes(df)
-    if size is not None and size <= limit_bytes:
+    if size is not None and size <= limit:
         return F.broadcast(df)
     return df
