@@ -130,3 +130,19 @@ def test_monthly_recompute_equals_aggregate(spark):
         assert rows(df, M.MONTH, "dw_product_id", "product_cost_amount") == want
     doubled = M.monthly_rollup(first, daily, spec, CTX)  # Q23: incremental rerun double-adds
     assert rows(doubled.where(F.col("dw_product_id") == 1), "product_cost_amount") == [(m(14),)]
+
+
+def test_batch_stamps_and_late_orders(spark):
+    # Q27: the customer summary's batch columns come from the data (an
+    # older line batch stays older); the product summary stamps the
+    # running batch. Q18: an order dated before the batch date is never
+    # counted, and appending the same batch twice duplicates its rows.
+    orders = [(1, 1, 1, d("2024-03-12"), None, d("2024-03-12"), "Cancelled", ts("2024-03-01 00:00:00"), None),
+              (2, 1, 2, d("2024-03-09"), None, None, "In Process", ts("2024-03-09 00:00:00"), None)]
+    lines = [(1, 1, 1, "P1", 2, m(3), 4, d("2024-02-01")), (2, 1, 2, "P1", 1, m(3), 7, d("2024-03-10"))]
+    c, o, od, p, pa = _inputs(spark, orders, lines)
+    cs = daily_customer_summary(c, o, od, p, pa, CTX)
+    assert rows(cs, "summary_date", "etl_batch_no", "etl_batch_date") == [(d("2024-03-12"), 4, d("2024-02-01"))]
+    ps = daily_product_summary(o, od, p, CTX)
+    assert rows(ps, "summary_date", "etl_batch_no") == [(d("2024-03-12"), 7)]
+    assert cs.unionByName(cs).count() == 2 * cs.count()
