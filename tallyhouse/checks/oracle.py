@@ -334,14 +334,19 @@ def _daily_branches(b: str) -> dict[str, str]:
             "payments": payments, "open": opened}
 
 
-def _daily_customer(b: str, run: str) -> str:
+def _daily_customer(b: str, run: str, additive: str = "reference", new_customer: str = "reference") -> str:
     br = _daily_branches(b)
     union = " UNION ALL ".join(f"({q})" for q in br.values())
     outer = []
     for c, t in D.CUSTOMER_MEASURES:
-        if c == "new_customer_apd":
+        if c == "new_customer_apd" and new_customer == "reference":
             e = "CASE WHEN summary_date = CAST(MAX(final.dw_create_timestamp) AS DATE) THEN 1 ELSE 0 END"
-        elif c in D.CUSTOMER_OUTER_SUM:
+        elif c == "new_customer_apd":
+            # flagged only on a day that has a customer-created row
+            e = (f"CASE WHEN (summary_date, dw_customer_id) IN (SELECT CAST(src_create_timestamp AS DATE), "
+                 f"dw_customer_id FROM wh_customers WHERE CAST(src_create_timestamp AS DATE) >= {b}) "
+                 f"THEN 1 ELSE 0 END")
+        elif c in D.CUSTOMER_OUTER_SUM or (additive == "sum" and c in D.CUSTOMER_ADDITIVE):
             e = f"SUM({c})"
         else:
             e = f"MAX({c})"
@@ -428,6 +433,16 @@ def _monthly_ctes(kind: str) -> list[tuple[str, str]]:
     fresh = (f"(SELECT d.* FROM daily_{p} d LEFT JOIN mon0_{p} m ON CAST(date_trunc('month', d.summary_date) AS DATE) "
              f"= m.{M.MONTH} AND d.{spec.key} = m.{spec.key} WHERE m.{M.MONTH} IS NULL) f")
     ctes.append((f"moni_{p}", agg(fresh, RUN)))
+    # recompute: touched (month, id) pairs re-aggregated from all their
+    # daily rows; other monthly rows unchanged (NULL ids match NULL ids)
+    touched = (f"SELECT DISTINCT {month} AS tm, {spec.key} AS tk FROM daily_{p} "
+               f"WHERE CAST(summary_date AS DATE) >= {B}")
+    ctes.append((f"touch_{p}", touched))
+    again = (f"(SELECT d.* FROM daily_{p} d WHERE EXISTS (SELECT 1 FROM touch_{p} t WHERE "
+             f"t.tm = CAST(date_trunc('month', d.summary_date) AS DATE) AND t.tk IS NOT DISTINCT FROM d.{spec.key})) g")
+    keep = (f"SELECT m.* FROM mon0_{p} m WHERE NOT EXISTS (SELECT 1 FROM touch_{p} t WHERE "
+            f"t.tm = m.{M.MONTH} AND t.tk IS NOT DISTINCT FROM m.{spec.key})")
+    ctes.append((f"monr_{p}", f"{keep} UNION ALL {agg(again, RUN)}"))
     return ctes
 
 
@@ -519,6 +534,9 @@ def oracle_sql() -> dict[str, str]:
                       ("daily_payments", "payments"), ("daily_open_orders", "open")):
         put(key, br[name], ccols, fp)
     put("daily_customer_summary", _daily_customer(B, RUN), ccols, fp)
+    put("daily_customer_summary_additive_sum", _daily_customer(B, RUN, additive="sum"), ccols, fp)
+    put("daily_customer_summary_customers_only", _daily_customer(B, RUN, new_customer="customers_only"),
+        ccols, fp)
     pb = _product_branches(B)
     pcols = ["summary_date", "dw_product_id"] + [c for c, _ in D.PRODUCT_MEASURES]
     put("daily_product_ordered", pb["ordered"], pcols)
@@ -530,4 +548,5 @@ def oracle_sql() -> dict[str, str]:
         extra = fp + _monthly_ctes(kind)
         put(f"monthly_{kind}_update", f"SELECT * FROM monu_{kind[0]}", cols, extra)
         put(f"monthly_{kind}_insert", f"SELECT * FROM moni_{kind[0]}", cols, extra)
+        put(f"monthly_{kind}_recompute", f"SELECT * FROM monr_{kind[0]}", cols, extra)
     return out

@@ -190,6 +190,9 @@ for _key, _br in (("daily_products_ordered", D.ORDERED), ("daily_cancelled_order
     register(_key)(lambda tb, _br=_br: D.line_branch(_br, tb.mat("wh_orders"), tb.mat("wh_orderdetails"),
                                                      tb.mat("wh_products"), tb.ctx))
 register("daily_customer_summary")(lambda tb: tb.daily_customer())
+# Switch paths of the semantics register, over the same whole tables.
+register("daily_customer_summary_additive_sum")(lambda tb: tb.daily_customer(additive="sum"))
+register("daily_customer_summary_customers_only")(lambda tb: tb.daily_customer(new_customer="customers_only"))
 register("daily_product_ordered")(lambda tb: D.product_branch(
     D.ORDERED, tb.mat("wh_orders"), tb.mat("wh_orderdetails"), tb.mat("wh_products"), tb.ctx))
 register("daily_product_cancelled")(lambda tb: D.product_branch(
@@ -209,3 +212,13 @@ def _monthly(tb, kind, step):
 for _k in ("customer", "product"):
     for _s in ("update", "insert"):
         register(f"monthly_{_k}_{_s}")(lambda tb, _k=_k, _s=_s: _monthly(tb, _k, _s))
+
+
+def _recompute(tb, kind):
+    daily, monthly = tb.daily_tables(kind)
+    spec = M.CUSTOMER_ROLLUP if kind == "customer" else M.PRODUCT_ROLLUP
+    return M.monthly_rollup(monthly, daily, spec, tb.ctx, mode="recompute")
+
+
+for _k in ("customer", "product"):
+    register(f"monthly_{_k}_recompute")(lambda tb, _k=_k: _recompute(tb, _k))
