@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tallyhouse.context import BatchContext
 from tallyhouse.functions.columns import norm_text, on_or_after, to_day, zero
-from tallyhouse.operators.joins import broadcast_if_small
+from tallyhouse.operators.joins import broadcast_if_measured_small, broadcast_if_small
 
 AMOUNT = T.DecimalType(38, 2)
 COUNT = T.LongType()
@@ -107,7 +107,9 @@ def _line_events(orders: DataFrame, orderdetails: DataFrame, products: DataFrame
     any_branch = (on_or_after("orderDate", b)
                   | (on_or_after("cancelledDate", b) & (F.col("_st") == CANCELLED))
                   | (on_or_after("shippedDate", b) & (F.col("_st") == SHIPPED)))
-    o = o.where(any_branch)
+    # Orders with a branch on/after the batch date: a small slice of the
+    # history, broadcast once measured so order lines are not shuffled.
+    o = broadcast_if_measured_small(o.where(any_branch), "batch_orders")
     od = orderdetails.select("dw_order_id", "dw_product_id", "quantityOrdered", "priceEach",
                              "etl_batch_no", "etl_batch_date")
     p = broadcast_if_small(products.select(F.col("dw_product_id").alias("_p_id"), "MSRP")
@@ -229,10 +231,11 @@ def _product_events(orders: DataFrame, orderdetails: DataFrame, products: DataFr
     """Lines joined on source keys, exploded into ordered/cancelled events."""
     b = ctx.date_col()
     st = norm_text("status")
-    o = (orders.select(F.col("src_orderNumber").alias("_o_no"), "orderDate", "cancelledDate",
-                       st.alias("_st"))
-         .where(on_or_after("orderDate", b)
-                | (on_or_after("cancelledDate", b) & (F.col("_st") == CANCELLED))))
+    o = broadcast_if_measured_small(
+        orders.select(F.col("src_orderNumber").alias("_o_no"), "orderDate", "cancelledDate",
+                      st.alias("_st"))
+        .where(on_or_after("orderDate", b)
+               | (on_or_after("cancelledDate", b) & (F.col("_st") == CANCELLED))), "batch_orders")
     p = broadcast_if_small(products.select(F.col("src_productCode").alias("_p_code"), "MSRP")
                            .where(F.col("_p_code").isNotNull()))
     od = orderdetails.select("src_orderNumber", "src_productCode", "dw_product_id",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.session import estimated_size_bytes
+from tallyhouse.session import estimated_size_bytes, write_through
 
 # Ceiling for an explicit broadcast hint, compared with Catalyst's size
 # estimate (which for parquet is the compressed file size, so the table
@@ -30,3 +30,22 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFra
     if size is not None and size <= limit:
         return F.broadcast(df)
     return df
+
+
+def broadcast_if_measured_small(df: DataFrame, label: str = "side",
+                                limit_bytes: int | None = None) -> DataFrame:
+    """For a selective side (e.g. this batch's orders, a daily delta) whose
+    size the optimizer cannot bound without statistics: if the estimate
+    does not prove it small, write it once (shared checkpoint folder) and
+    decide on its real file size. Small -> broadcast, so the large other
+    side is streamed without a shuffle; large -> the written copy feeds a
+    sort-merge join as before."""
+    limit = broadcast_limit(df) if limit_bytes is None else limit_bytes
+    size = estimated_size_bytes(df)
+    if size is not None and size <= limit:
+        return F.broadcast(df)
+    written = write_through(df, label)
+    size = estimated_size_bytes(written)
+    if size is not None and size <= limit:
+        return F.broadcast(written)
+    return written

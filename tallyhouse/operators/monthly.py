@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from tallyhouse.context import BatchContext
 from tallyhouse.functions.columns import month_start, on_or_after
 from tallyhouse.operators.daily import AMOUNT, COUNT, FLAG
+from tallyhouse.operators.joins import broadcast_if_measured_small
 
 MONTH = "start_of_the_month_date"
 
@@ -97,7 +98,10 @@ def monthly_update(monthly: DataFrame, daily: DataFrame, spec: RollupSpec, ctx:
                    null_safe_keys: bool = False) -> DataFrame:
     """Monthly table after the UPDATE step (all rows)."""
     d = _aggregate_daily(daily.where(on_or_after("summary_date", ctx.date_col())), spec)
-    d = d.select(*[F.col(c).alias(f"_d_{c}") for c in d.columns])
+    # One row per touched (month, id): broadcast once measured small, so the
+    # monthly table is streamed through the join without a shuffle.
+    d = broadcast_if_measured_small(d.select(*[F.col(c).alias(f"_d_{c}") for c in d.columns]),
+                                    "monthly_delta")
     j = monthly.join(d, _key_match(F.col(MONTH), F.col(spec.key), F.col(f"_d_{MONTH}"),
                                    F.col(f"_d_{spec.key}"), null_safe_keys), "left")
     hit = F.col(f"_d_{MONTH}").isNotNull()

@@ -55,3 +55,19 @@ def test_small_delta_is_broadcast_into_target(spark, scratch):
     out = upsert_updates(target, stage, PRODUCTLINES, CTX)
     assert out.where("textDescription = 'new'").count() == 1
     assert "BroadcastHashJoin" in _plan(out) and "SortMergeJoin" not in _plan(out)
+
+
+def test_selective_side_is_measured_then_broadcast(spark, scratch):
+    from tallyhouse.operators.joins import broadcast_if_measured_small
+    from tallyhouse.session import estimated_size_bytes
+    spark.range(200000).select(F.col("id").alias("o_id"), (F.col("id") % 1000).alias("day"),
+                               F.sha2(F.col("id").cast("string"), 256).alias("pad")) \
+        .write.parquet(f"{scratch}/orders")
+    orders = spark.read.parquet(f"{scratch}/orders").where("day = 7")
+    limit = 64 * 1024
+    assert estimated_size_bytes(orders) > limit          # the estimate cannot prove it small
+    side = broadcast_if_measured_small(orders, "t", limit_bytes=limit)
+    lines = spark.range(1000000).select((F.col("id") % 200000).alias("o_id"))
+    j = lines.join(side, "o_id")
+    assert "BroadcastHashJoin" in _plan(j) and "SortMergeJoin" not in _plan(j)
+    assert j.count() == 1000000 // 1000
