@@ -13,7 +13,9 @@ inputs, and the next snapshot is ``updated(target) UNION inserted``:
 A delta whose estimated size is under the broadcast limit is broadcast
 into the update join, so the (large) target is streamed without a
 shuffle; a larger delta gets a sort-merge join (AQE may still switch it
-at run time). The anti-join reads only the target's key columns.
+at run time). The insert side streams the target's key columns through a
+semi join with the broadcast stage keys, then anti-joins the stage with
+that small result.
 """
 
 from __future__ import annotations
@@ -63,9 +65,15 @@ def upsert_inserts(target: DataFrame, stage: DataFrame, spec: TableSpec,
     warehouse rows (fresh ids, NULL references, current batch stamps)."""
     s = stage_to_warehouse(stage, spec)
     keys = [spec.wh(k) for k in spec.insert_keys]
+    # Target keys that the stage mentions: the target's key columns are
+    # streamed through a semi join against the (broadcast, when small)
+    # stage keys, so the large target is not shuffled; the anti join that
+    # follows is between two small sides. NULL keys never match: inserted.
     tkeys = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+    skeys = broadcast_if_small(s.select(*[F.col(k).alias(f"_s_{k}") for k in keys]))
+    hit = tkeys.join(skeys, [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in keys], "left_semi")
     cond = [F.col(k) == F.col(f"_t_{k}") for k in keys]
-    new = s.join(tkeys, cond, "left_anti")
+    new = s.join(hit, cond, "left_anti")
     cols = {c: F.col(c) for c in new.columns}
     for r in spec.refs:
         cols[r] = F.lit(None).cast("long")

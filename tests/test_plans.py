@@ -71,3 +71,23 @@ def test_selective_side_is_measured_then_broadcast(spark, scratch):
     j = lines.join(side, "o_id")
     assert "BroadcastHashJoin" in _plan(j) and "SortMergeJoin" not in _plan(j)
     assert j.count() == 1000000 // 1000
+
+
+def test_insert_side_streams_target_keys(spark, scratch):
+    from tallyhouse.operators.upsert import upsert_inserts
+    spark.range(300000).select(
+        F.concat(F.lit("L"), F.col("id").cast("string")).alias("productLine"),
+        F.lit("t").alias("textDescription"), F.col("id").alias("dw_product_line_id"),
+        F.lit(ts("2024-01-01 00:00:00")).cast("timestamp_ntz").alias("src_create_timestamp"),
+        F.lit(ts("2024-01-01 00:00:00")).cast("timestamp_ntz").alias("src_update_timestamp"),
+        F.lit(1).alias("etl_batch_no"), F.lit(None).cast("date").alias("etl_batch_date")) \
+        .write.parquet(f"{scratch}/target")
+    target = spark.read.parquet(f"{scratch}/target")
+    rows_ = spark.createDataFrame([("L5", "x", None, ts("2024-03-10 00:00:00")),
+                                   ("NEW", "y", None, ts("2024-03-10 00:00:00"))], PRODUCTLINES.stage_schema())
+    stage = read_stage(spark, write_delta_csv(rows_, scratch, "productlines", CTX.batch_date), PRODUCTLINES)
+    ins = upsert_inserts(target, stage, PRODUCTLINES, CTX)
+    plan = _plan(ins)
+    assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
+    got = [(r["productLine"], r["dw_product_line_id"]) for r in ins.collect()]
+    assert got == [("NEW", 300000)]
