@@ -390,6 +390,12 @@ class Testbed:
                                        ctx or self.ctx)
 
     def daily_tables(self, kind: str) -> tuple[DataFrame, DataFrame]:
+        key = f"_daily_tables_{kind}"
+        if key not in self.__dict__:
+            self.__dict__[key] = self._daily_tables(kind)
+        return self.__dict__[key]
+
+    def _daily_tables(self, kind: str) -> tuple[DataFrame, DataFrame]:
         """(daily table after this batch, monthly table before it).
 
         Daily rows dated before the batch date stand for earlier batches;
@@ -411,5 +417,7 @@ class Testbed:
             .select(*[stamps.get(c, F.col(c)).alias(c) for c in allday.columns])
         daily = earlier.unionByName(current)
         empty = self.spark.createDataFrame([], M.monthly_schema(spec))
-        monthly = M.monthly_insert(empty, earlier, spec, PRIOR_CTX)
+        # the prior monthly table is a published table in the pipeline:
+        # written once, so the monthly queries read it as parquet
+        monthly = write_through(M.monthly_insert(empty, earlier, spec, PRIOR_CTX), f"monthly_{kind}")
         return daily, monthly
