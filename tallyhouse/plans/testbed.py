@@ -72,7 +72,7 @@ class Testbed:
 
     def __init__(self, spark: SparkSession, sf_dir: str, ctx: BatchContext = TEST_CTX):
         self.spark = configure(spark)
-        self.sf_dir = sf_dir.rstrip("/")
+        self.sf_dir = str(sf_dir).rstrip("/")
         self.ctx = ctx
         self.prior_ctx = PRIOR_CTX
 
@@ -81,7 +81,7 @@ class Testbed:
         """One testbed per Spark application and folder: like the batch
         pipeline, the warehouse tables of the batch are built (and
         written) once, and every summary reads those tables."""
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        key = (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"))
         if key not in cls._shared:
             cls._shared[key] = cls(spark, sf_dir)
         return cls._shared[key]
