@@ -169,3 +169,29 @@ def test_three_batches_match_statement_replay(spark, scratch):
     assert cust[11] == emp[9]["dw_employee_id"]            # rep 9 arrived in batch 3
     offices = {r["officeCode"]: r["dw_office_id"] for r in store.read("offices").collect()}
     assert emp[3]["dw_office_id"] == offices["3"]         # office 3 arrived in batch 3
+
+
+def test_rerun_daily_append_duplicates_replace_dates_does_not(spark, scratch):
+    # Q18: daily loading is insert-only by default, so rerunning a batch
+    # appends its daily rows again; 'replace_dates' rewrites those dates.
+    from pyspark.sql import functions as F
+    ctx, data = BATCHES[0]
+    root = f"{scratch}/stage"
+    for t, rows in data.items():
+        write_delta_csv(spark.createDataFrame(rows, SPECS[t].stage_schema()), root, t, ctx.batch_date)
+    counts = {}
+    for mode in ("append", "replace_dates"):
+        store = TableStore(spark, f"{scratch}/wh-{mode}")
+        opts = BatchOptions(tables=("offices", "employees", "customers"), daily_write=mode)
+        sizes = []
+        for _ in range(2):
+            run_batch(spark, store, ctx, root, opts, clock=lambda: ctx.run_ts)
+            if mode == "append":
+                daily = spark.read.parquet(f"{scratch}/wh-{mode}/daily_customer_summary") \
+                    .where(F.col("v") <= store.current_version("daily_customer_summary"))
+            else:
+                daily = store.read("daily_customer_summary")
+            sizes.append(daily.count())
+        counts[mode] = sizes
+    assert counts["append"][0] == 3 and counts["append"][1] == 6
+    assert counts["replace_dates"] == [3, 3]
