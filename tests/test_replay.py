@@ -195,3 +195,19 @@ def test_rerun_daily_append_duplicates_replace_dates_does_not(spark, scratch):
         counts[mode] = sizes
     assert counts["append"][0] == 3 and counts["append"][1] == 6
     assert counts["replace_dates"] == [3, 3]
+
+
+def test_command_line_batch(spark, scratch):
+    # the command-line entry: control row -> extract -> batch -> log state
+    from tallyhouse.plans import cli
+    from tallyhouse.schemas import CONTROL_SCHEMA
+    ctx, data = BATCHES[0]
+    spark.createDataFrame([(0, dt.date(2023, 12, 31)), (ctx.batch_no, ctx.batch_date)], CONTROL_SCHEMA) \
+        .write.parquet(f"{scratch}/control")
+    for t, rows in data.items():
+        spark.createDataFrame(rows, SPECS[t].stage_schema()).write.parquet(f"{scratch}/src/{t}")
+    state = cli.main(["--control", f"{scratch}/control", "--sources", f"{scratch}/src",
+                      "--stage", f"{scratch}/stage", "--store", f"{scratch}/wh",
+                      "--tables", "offices,employees,customers"], spark)
+    assert [(r["etl_batch_no"], r["etl_batch_status"]) for r in state.collect()] == [(1, "C")]
+    assert TableStore(spark, f"{scratch}/wh").read("customers").count() == 3
