@@ -7,14 +7,14 @@ row keeps what it had, batch stamps are untouched.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.joins import broadcast_if_small
 
 
 def resolve_ref(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
-                parent_id: str, as_col: str) -> DataFrame:
+                parent_id: str, as_col: str, only_rows: Column | None = None) -> DataFrame:
     """Left join on the natural key, ``coalesce(parent id, old id)``.
 
     Only (key, id) of the parent are read. Child rows whose key is NULL
@@ -22,12 +22,28 @@ def resolve_ref(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
     land in one shuffle partition). A parent that fits the broadcast limit
     is broadcast (no shuffle of the child, immune to a hot child key);
     otherwise AQE splits skewed child partitions of the sort-merge join.
+
+    ``only_rows`` restricts the join to the child rows it selects; the
+    others pass through unchanged without a shuffle (see
+    :func:`touched_or_unresolved`).
     """
     p = (parent.select(F.col(parent_key).alias("_ref_key"), F.col(parent_id).alias("_ref_id"))
          .where(F.col("_ref_key").isNotNull()))
     p = broadcast_if_small(p)
-    keyed = child.where(F.col(child_key).isNotNull())
-    j = keyed.join(p, F.col(child_key) == F.col("_ref_key"), "left")
+    join_rows = F.col(child_key).isNotNull()
+    if only_rows is not None:
+        join_rows = join_rows & F.coalesce(only_rows, F.lit(False))
+    j = child.where(join_rows).join(p, F.col(child_key) == F.col("_ref_key"), "left")
     resolved = j.select(*[(F.coalesce(F.col("_ref_id"), F.col(c)) if c == as_col else F.col(c)).alias(c)
                           for c in child.columns])
-    return resolved.unionByName(child.where(F.col(child_key).isNull()))
+    return resolved.unionByName(child.where(~join_rows))
+
+
+def touched_or_unresolved(as_col: str, batch_no: Column) -> Column:
+    """Rows whose reference can change in this batch, given that every
+    earlier batch resolved its references: rows written by this batch
+    (new or updated, possibly with a new natural key) and rows still
+    without an id (their parent may have arrived now). Parent ids never
+    change and nothing is deleted, so every other row already holds the
+    id a full pass would give it."""
+    return (F.col("etl_batch_no") == batch_no) | F.col(as_col).isNull()

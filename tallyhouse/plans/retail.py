@@ -19,7 +19,7 @@ from tallyhouse.context import BatchContext
 from tallyhouse.operators import daily as D
 from tallyhouse.operators import monthly as M
 from tallyhouse.operators.audit import COMPLETED, EVENT_SCHEMA, FAILED, RUNNING, batch_state, log_event
-from tallyhouse.operators.refs import resolve_ref
+from tallyhouse.operators.refs import resolve_ref, touched_or_unresolved
 from tallyhouse.operators.scd2 import scd2
 from tallyhouse.operators.upsert import upsert
 from tallyhouse.schemas import LOAD_ORDER, SPECS, history_schema
@@ -60,6 +60,8 @@ class BatchOptions:
     daily_write: str = "append"       # Q18: 'append' or 'replace_dates'
     monthly_mode: str = "incremental"  # Q23: 'incremental' or 'recompute'
     null_safe_keys: bool = False      # Q28
+    ref_scope: str = "all"            # 'all' (every row, as the original) or 'touched'
+                                      # (rows written this batch or still unresolved)
     tables: tuple = field(default=LOAD_ORDER)
 
 
@@ -104,7 +106,9 @@ class Batch:
             # written this batch, or (self reference) this same plan.
             for ckey, parent, pkey, pid, col in REFS.get(name, []):
                 par = nxt if parent == name else self.current(parent, SPECS[parent].warehouse_schema())
-                nxt = resolve_ref(nxt, par, ckey, pkey, pid, col)
+                only = (touched_or_unresolved(col, self.ctx.no_col())
+                        if self.opts.ref_scope == "touched" else None)
+                nxt = resolve_ref(nxt, par, ckey, pkey, pid, col, only)
             self.write(name, nxt)
 
     def histories(self) -> None:

@@ -20,6 +20,17 @@ def test_ref_unmatched_keeps_old_and_late_parent_heals(spark):
     assert rows(out2, "id", "dw_employee_id") == [(1, 1000), (2, 2000), (3, 7)]
 
 
+def test_ref_only_rows_pass_others_through(spark):
+    from tallyhouse.operators.refs import touched_or_unresolved
+    child = spark.createDataFrame([(1, 10, 500, 7), (2, 20, None, 3), (3, 10, 999, 3)],
+                                  "id int, emp int, dw_employee_id long, etl_batch_no int")
+    parent = spark.createDataFrame([(10, 1000), (20, 2000)], "employeeNumber int, dw_employee_id long")
+    only = touched_or_unresolved("dw_employee_id", F.lit(7))
+    out = resolve_ref(child, parent, "emp", "employeeNumber", "dw_employee_id", "dw_employee_id", only)
+    # row 1 written this batch, row 2 unresolved: resolved; row 3 untouched: kept
+    assert rows(out, "id", "dw_employee_id") == [(1, 1000), (2, 2000), (3, 999)]
+
+
 def test_self_reference(spark):
     emp = spark.createDataFrame([(1, None, 11, None), (2, 1, 12, None), (3, 9, 13, 99)],
                                 "employeeNumber int, reportsTo int, dw_employee_id long, dw_reporting_employee_id long")

@@ -145,12 +145,16 @@ def _norm(rows):
     return sorted(tuple(None if v is None else str(v) for v in r) for r in rows)
 
 
-def test_three_batches_match_statement_replay(spark, scratch):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("ref_scope", ["all", "touched"])
+def test_three_batches_match_statement_replay(spark, scratch, ref_scope):
     con = duckdb.connect()
     for t, ddl in DDL.items():
         con.execute(f"CREATE TABLE {t} ({ddl})")
     store = TableStore(spark, f"{scratch}/wh")
-    opts = BatchOptions(tables=("offices", "employees", "customers"))
+    opts = BatchOptions(tables=("offices", "employees", "customers"), ref_scope=ref_scope)
     for i, (ctx, data) in enumerate(BATCHES):
         root = f"{scratch}/stage{i}"
         for t, rows in data.items():
