@@ -6,13 +6,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import byte_bpe, sharding, token_files
+from tallyhouse.llm import byte_bpe, decontamination, quality, sharding, token_count, token_files
 from tallyhouse.llm.common import crc32_of, read_table, shared_path
 
 
+def held_out(folds: int) -> Column:
+    """Rows of the fold that nothing is learnt from."""
+    return crc32_of("doc_id") % folds == 2
+
+
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -33,8 +38,27 @@ def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").where(~held_out(4))
+    forest = quality.fit(docs.where(~held_out(4)), labels)
+    return quality.score(docs, forest).select(
+        "doc_id", held_out(4).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.overlaps(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_count.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "n_tokens")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_token_files, op3_histogram_sort)}
+    return {f.__name__: f for f in (
+        op1_byte_bpe, op2_token_files, op3_histogram_sort, op4_quality_trees, op5_spaced_seeds, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
