@@ -53,7 +53,8 @@ def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_count.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "n_tokens")
+    model = token_count.rank_unigram(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_count.count_tokens(docs, model).select("doc_id", "n_tokens")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

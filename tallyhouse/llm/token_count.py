@@ -28,7 +28,6 @@ from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
@@ -102,7 +101,7 @@ class Counter:
         return count[n]
 
     def words(self, text: str) -> list[str]:
-        if MARK in text or "  " in text:
+        if MARK in text or "  " in text or text.startswith(" "):
             return _WORDS.findall(self.prefix + text.replace(" ", MARK))
         first, *rest = text.split(" ")
         return [self.prefix + first, *(MARK + w for w in rest)]
@@ -126,21 +125,31 @@ class Counter:
 
 
 @lru_cache(maxsize=2)
-def _counter(file: str) -> Counter:
-    with open(SparkFiles.get(file), "rb") as f:
-        return Counter(f.read())
+def _counter(model: bytes) -> Counter:
+    return Counter(model)
 
 
-def count_tokens(docs: DataFrame, model: str, text_col: str = "text", output: str = "n_tokens") -> DataFrame:
-    """Add ``output``: tokens of every whole text. ``model`` is the path of
-    a sentencepiece model on the driver; its pieces and scores are the
-    unigram vocabulary."""
-    docs.sparkSession.sparkContext.addFile(model)
-    file = model.rsplit("/", 1)[-1]
+def rank_unigram(path: str) -> bytes:
+    """A sentencepiece model as a unigram model whose pieces score by their
+    negative rank. (Merge models have these scores but for the lone word
+    mark at -1e9, beside which 32-bit sums lose all other scores.)"""
+    with open(path, "rb") as f:
+        model = proto.ModelProto.FromString(f.read())
+    model.trainer_spec.model_type = proto.TrainerSpec.UNIGRAM
+    ranked = (p for p in model.pieces if p.type == proto.ModelProto.SentencePiece.NORMAL)
+    for rank, piece in enumerate(ranked):
+        piece.score = -float(rank)
+    return model.SerializeToString()
+
+
+def count_tokens(docs: DataFrame, model: bytes, text_col: str = "text", output: str = "n_tokens") -> DataFrame:
+    """Add ``output``: tokens of every whole text. ``model`` is a serialised
+    sentencepiece model; its pieces and scores are the unigram vocabulary."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # a vocabulary, not data
 
     @F.arrow_udf("bigint")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counter = _counter(file)
+        counter = _counter(shipped.value)
         for batch in batches:
             yield pa.array([counter.count(t) for t in batch.to_pylist()], pa.int64())
 
