@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import byte_bpe, decontamination, quality, sharding, token_count, token_files
+from tallyhouse.llm import byte_bpe, decontamination, ngram_join, quality, sharding, token_count, token_files
 from tallyhouse.llm.common import crc32_of, read_table, shared_path
 
 
@@ -51,6 +51,11 @@ def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlaps(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def op9_ngram_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.ngram_components(docs, 9, 10)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = token_count.rank_unigram(public_tokenizers.path("piece_bpe_32k.model"))
@@ -59,7 +64,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_byte_bpe, op2_token_files, op3_histogram_sort, op4_quality_trees, op5_spaced_seeds, op10_token_counts)}
+        op1_byte_bpe, op2_token_files, op3_histogram_sort, op4_quality_trees, op5_spaced_seeds, op9_ngram_product,
+        op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
