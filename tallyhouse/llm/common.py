@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,9 +12,30 @@ from pyspark.sql import types as T
 
 from tallyhouse.session import ensure_checkpoint_dir
 
-#: Upper limit of entries in a worker's memo of encoded words; when full it
-#: is emptied, so its memory is bounded and results do not depend on it.
-MEMO_ENTRIES = 300_000
+#: Entries of each of the two generations of a worker's memo.
+MEMO_ENTRIES = 150_000
+
+
+class Memo:
+    """Bounded memo of computed values. Entries that are not asked for while
+    a generation fills up are forgotten; results do not depend on it. A
+    generation is only exceeded by the distinct keys of one request."""
+
+    def __init__(self, limit: int = MEMO_ENTRIES):
+        self.limit, self.now, self.before = limit, {}, {}
+
+    def missing(self, keys: Iterable) -> list:
+        """The distinct keys to be computed; the others are in ``now``."""
+        if len(self.now) >= self.limit:
+            self.now, self.before = {}, self.now
+        now, before, new = self.now, self.before, []
+        for k in dict.fromkeys(keys):
+            if k not in now:
+                if k in before:
+                    now[k] = before[k]
+                else:
+                    new.append(k)
+        return new
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,6 +20,8 @@ the text; an empty table has no files; other columns are not stored.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,15 +36,23 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import MEMO_ENTRIES, saved, text_or_empty
+from tallyhouse.llm.byte_bpe import byte_characters
+from tallyhouse.llm.common import MEMO_ENTRIES, Memo, saved, text_or_empty
 from tallyhouse.llm.sharding import find_splitters, key_part, range_of, text_size
 
 MANIFEST = "part int, file string, documents long, tokens long, sequences long"
 
 
 class Encoder:
-    """A tokenizer with a memo of encoded words. Its matches never reach
-    over a space or a line end, so each word between them is encoded alone."""
+    """A tokenizer with memos of encoded words. Its matches never reach over
+    a space or a line end, so each word between them is encoded alone; nor
+    from a letter or digit to a sentence sign, so signs at a word's end are
+    encoded apart from it."""
+
+    ENDS = ".,;:!?#$%&*"
+    # Lower-casing A-Z before composition is only the same without these.
+    LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+    COMBINING = re.compile("[\u0300-\u036f]")
 
     def __init__(self, path: str, memo: int = MEMO_ENTRIES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
@@ -52,21 +62,65 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.memo: dict[str, bytes] = {}
-        self.limit = memo
+        # Lower-case Latin words may go straight to the merges if the steps
+        # before them do no more than write their bytes as characters.
+        probe = "".join(c for c in map(chr, range(0x61, 0x100)) if self.LATIN.fullmatch(c))
+        norm, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.to_chars = dict(enumerate(byte_characters()))
+        self.direct = ((norm is None or norm.normalize_str(probe) == probe)
+                       and cut is not None and [x for x, _ in cut.pre_tokenize_str(probe)] == [self.as_bytes(probe)])
+        probe = "abcdefghijklmnopqrstuvwxyz"
+        self.lowers = norm is not None and norm.normalize_str(probe.upper()) == probe
+        self.words, self.parts = Memo(memo), Memo(memo)
+
+    def as_bytes(self, word: str) -> str:
+        """One character per UTF-8 byte."""
+        return word.encode().decode("latin-1").translate(self.to_chars)
+
+    def pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.dtype.char}", *ids)
+
+    def cut(self, word: str) -> tuple[str, ...]:
+        stem = word.rstrip(self.ENDS)
+        if stem and stem[-1].isalnum():
+            end = word[len(stem):]
+            return (stem, end) if end else (stem,)
+        return (word,)
+
+    def learn(self, words: list[str]) -> None:
+        known, pack, merges, others = self.words, self.pack, self.tokenizer.model.tokenize, []
+        direct, latin = self.direct, self.LATIN.fullmatch
+        for w in known.missing(words):
+            if direct and latin(w):
+                known.now[w] = pack([x.id for x in merges(w if w.isascii() else self.as_bytes(w))])
+            else:
+                others.append(w)
+        cuts = {w: self.cut(w) for w in others}
+        new = self.parts.missing(p for c in cuts.values() for p in c)
+        parts = self.parts.now
+        for p, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            parts[p] = pack(x.ids)
+        known.now.update((w, b"".join(map(parts.__getitem__, c))) for w, c in cuts.items())
+
+    def apart(self, text: str) -> list[str]:
+        """The words of a text, sentence signs apart and A-Z in lower case
+        where that changes no token, so that few of them are new."""
+        text = text.replace("\n", " ")
+        if self.lowers and (text.isascii() or not self.COMBINING.search(text)):
+            text = text.encode().lower().decode()
+        for sign in (". ", ", "):
+            parts = text.split(sign)
+            if all(p[-1:].isalnum() for p in parts[:-1]):
+                text = f" {sign}".join(parts)
+        return text.split(" ")
 
     def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
+        words = self.apart(text)
         try:
-            return b"".join(map(self.memo.__getitem__, words))
+            return b"".join(map(self.words.now.__getitem__, words))
         except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in self.memo]
-            if len(self.memo) + len(new) > self.limit:
-                self.memo.clear()
-                new = list(dict.fromkeys(words))
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self.memo.update((w, np.array(x.ids, dtype=self.dtype).tobytes()) for w, x in zip(new, found))
-            return b"".join(map(self.memo.__getitem__, words))
+            self.learn(words)
+            return b"".join(map(self.words.now.__getitem__, words))
 
 
 @lru_cache(maxsize=2)

@@ -78,6 +78,21 @@ def test_op1_query(spark, tik):
         assert r["decoded_sha256"] == hashlib.sha256((texts[r["doc_id"]] or "").encode()).hexdigest()
 
 
+@pytest.fixture(scope="module")
+def word_pair():
+    library = Tokenizer.from_file(WORDS)
+    library.encode_special_tokens = True
+    return token_files.Encoder(WORDS, memo=50), library
+
+
+@settings(max_examples=600, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t.,;'!_-\u0331\u0301\u030a´abhtwyHTWYzKé²ßÀØ×÷日😀İΣς1"),
+                                  st.characters(codec="utf-8")), max_size=40))
+def test_word_ids_equal_the_library(word_pair, text):
+    own, library = word_pair
+    assert np.frombuffer(own.encode(text), own.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def expected_documents(rows):
     tokenizer = Tokenizer.from_file(WORDS)
     tokenizer.encode_special_tokens = True
