@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import byte_bpe, decontamination, ngram_join, quality, sharding, token_count, token_files
+from tallyhouse.llm import byte_bpe, decontamination, ngram_join, quality, sharding, token_count, token_files, topk
 from tallyhouse.llm.common import crc32_of, read_table, shared_path
 
 
@@ -51,6 +51,10 @@ def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlaps(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_voronoi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_ngram_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.ngram_components(docs, 9, 10)
@@ -64,9 +68,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_byte_bpe, op2_token_files, op3_histogram_sort, op4_quality_trees, op5_spaced_seeds, op9_ngram_product,
+        op1_byte_bpe, op2_token_files, op3_histogram_sort, op4_quality_trees, op5_spaced_seeds, op6_voronoi_join, op9_ngram_product,
         op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_voronoi_join": """
+        with vectors as (
+          select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+          where vec_id is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scored as (
+          select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+          from vectors q join vectors c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+        ranked as (
+          select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+        select query_id, rank, vec_id, score from ranked where rank <= 5"""}
