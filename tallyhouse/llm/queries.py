@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import byte_bpe, decontamination, hmm, ngram_join, quality, sharding, token_count, token_files, topk
+from tallyhouse.llm import byte_bpe, decontamination, hmm, license_scan, ngram_join, quality, sharding, token_count, token_files, topk
 from tallyhouse.llm.common import crc32_of, read_table, shared_path
 
 
@@ -60,6 +60,10 @@ def op7_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(docs, held_out(7))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_ngram_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.ngram_components(docs, 9, 10)
@@ -73,7 +77,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_byte_bpe, op2_token_files, op3_histogram_sort, op4_quality_trees, op5_spaced_seeds, op6_voronoi_join, op7_hidden_markov, op9_ngram_product,
+        op1_byte_bpe, op2_token_files, op3_histogram_sort, op4_quality_trees, op5_spaced_seeds, op6_voronoi_join, op7_hidden_markov, op8_license_scan, op9_ngram_product,
         op10_token_counts)}
 
 

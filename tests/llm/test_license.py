@@ -1,0 +1,76 @@
+"""Operator 8: planted licences, clean texts and every template."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhouse.llm import license_scan as ls
+from tallyhouse.llm import queries
+from tallyhouse.llm.license_texts import CUES, TEMPLATES
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def scanner():
+    return ls.Scanner(TEMPLATES)
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(["the", "of", "license", "permission", "is", "granted", "software", "wherever", "thing", "and"]) for _ in range(n))
+
+
+def test_every_template_is_found_whole_and_named(scanner):
+    rng = random.Random(1)
+    for name, text in TEMPLATES:
+        before, after = prose(rng, 30), prose(rng, 30)
+        wrapped = text.upper().replace(" ", "\n", 3)
+        for shown in (text, wrapped):
+            body = f"{before}.\n{shown}\n{after}"
+            best = max(scanner.scan(body), key=lambda f: f.words)
+            assert best.license == name and not best.differences, (name, best)
+            assert body[best.start:best.end] == shown.rstrip(" ./")
+
+
+def test_changed_wordings(scanner):
+    rng = random.Random(2)
+    for name, text in TEMPLATES:
+        words = text.split()
+        if len(words) < 25:
+            continue
+        cues = {i for i, w in enumerate(words) if w.lower().strip('.,;:"()') in CUES}
+        at = rng.choice([i for i in range(3, len(words) - 3) if i not in cues])
+        changed = " ".join([*words[:at], "indeed", *words[at + 1:]])
+        found = scanner.scan(changed)
+        assert found and found[0].license == name and "+indeed" in found[0].differences
+        half = " ".join(words[:len(words) // 2])
+        assert not any(f.license == name and f.words > 12 for f in scanner.scan(half) if len(words) > 60)
+
+
+def test_clean_texts_have_no_finding(scanner):
+    rng = random.Random(3)
+    for _ in range(50):
+        assert scanner.scan(prose(rng, 200)) == []
+    assert scanner.scan("I lost my driving license. Permission to use the pool was licensed under protest.") == []
+    assert [f.license for f in scanner.scan("Licensed under CC BY-SA 4.0. Then: Licensed under CC BY 4.0!")] == ["CC-BY-SA-4.0", "CC-BY-4.0"]
+
+
+def test_odd_rows(spark):
+    notice = "Released under the MIT License."
+    rows = [(1, notice), (1, notice), (None, "x " * 50_000 + notice), (2, None), (3, ""), (4, "license"), (5, "none"),
+            (6, (notice + "\n") * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("license", F.lit("clash"))
+    found = ls.scan(docs).collect()
+    assert sorted((r["doc_id"] or 0) for r in found) == [0, 1, 1] + [6] * 300
+    assert {r["license"] for r in found} == {"MIT"}
+    assert ls.scan(docs.limit(0)).count() == 0
+
+
+def test_op8_query_finds_every_notice(spark):
+    """All lines of the table that are a notice, by plain search."""
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    short = {text: name for name, text in TEMPLATES if len(text) < 120}
+    expected = sorted((r["doc_id"], short[line], r["text"].index(line)) for r in rows for line in set(r["text"].split("\n")) if line in short)
+    found = queries.op8_license_scan(spark, SF).collect()
+    assert expected and sorted((r["doc_id"], r["license"], r["start"]) for r in found) == expected
