@@ -369,3 +369,25 @@ def ngram_components(docs: DataFrame, num: int = 9, den: int = 10, id_col: str =
     out = rows.join(broadcast_if_small(classes), "set_key", "left")
     return out.select("doc_id", "n_shingles",
                       F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates, all columns kept: of
+    each component the row with the smallest id stays (of rows that repeat
+    this id, one of the smallest shingle set). Rows without words stay."""
+    rows, classes = link_classes(docs, num, den, id_col, text_col)
+    claims = rows.join(broadcast_if_small(classes), "set_key").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keepers = claims.groupBy("group_id").agg(F.min(F.struct("set_key", F.col("doc_id").alias("id"))).alias("best"),
+                                             F.count("*").alias("claims"))
+    names = {"set_key": "__set_key", "id": "__kept_id", "group_id": "__group", "claims": "__claims"}
+    keepers = saved(keepers.select(*[F.col(f"best.{c}" if c in ("set_key", "id") else c).alias(n) for c, n in names.items()]),
+                    "keepers")
+    keyed = docs.withColumn("__key", set_key_of(text_or_empty(text_col)))
+    met = keyed.join(broadcast_if_small(keepers), (F.col("__key") == F.col("__set_key"))
+                     & F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__kept_id")), "left")
+    kept = met.where("__key is null or __claims = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    if keepers.where("__claims > 1").limit(1).count():
+        # Several rows carry the id to be kept: one of each group.
+        repeated = met.where("__claims > 1").dropDuplicates(["__group"])
+        kept = kept.unionByName(repeated.select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return kept

@@ -92,4 +92,21 @@ def oracle_sql() -> dict[str, str]:
           from vectors q join vectors c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
         ranked as (
           select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
-        select query_id, rank, vec_id, score from ranked where rank <= 5"""}
+        select query_id, rank, vec_id, score from ranked where rank <= 5""",
+            "op9_ngram_product": r"""
+        with recursive words as (
+          select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents),
+        sets as (
+          select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+            else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as s
+          from words),
+        members as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+        links as (
+          select a.doc_id as u, b.doc_id as v from members a join members b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+            and 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)
+          group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+        reached as (
+          select doc_id, doc_id as other from documents union select r.doc_id, l.v from reached r join links l on r.other = l.u)
+        select s.doc_id, len(s.s)::bigint as n_shingles, min(r.other) as component_id
+        from sets s join reached r on s.doc_id = r.doc_id group by s.doc_id, s.s"""}
