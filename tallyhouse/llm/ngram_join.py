@@ -292,8 +292,8 @@ def _block_links(pairs: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _found_of(docs: DataFrame, involved: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(rid, found): the shingles of the involved classes, read again from
-    one document of each."""
+    """rid, cluster, n and the shingles (``found``) of the involved classes,
+    read again from the documents that name them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -306,8 +306,12 @@ def _found_of(docs: DataFrame, involved: DataFrame, id_col: str, text_col: str)
     ids = involved.select(F.col("min_id").alias(name)).distinct()
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     source = source.join(broadcast_if_small(ids), F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
-    found = source.select("text").distinct().mapInArrow(run, "set_key binary, found binary").dropDuplicates(["set_key"])
-    return found.join(involved.select("rid", "set_key"), "set_key").select("rid", "found")
+    found = source.select("text").mapInArrow(run, "set_key binary, found binary")
+    wanted = involved.select("rid", "cluster", "n", "set_key")
+    found = saved(found.join(broadcast_if_small(wanted), "set_key").drop("set_key"), "involved-sets")
+    if found.count() != involved.count():  # rows that repeat an id and a set
+        found = saved(found.dropDuplicates(["rid"]), "involved-sets")
+    return found
 
 
 def link_classes(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id",
@@ -327,16 +331,21 @@ def link_classes(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "do
     candidates = _candidates(classes)
     cluster = saved(components(candidates, "leader", "rid").withColumnsRenamed({"node": "rid", "component": "cluster"}), "clusters")
     involved = saved(slim.join(cluster, "rid"), "involved")
-    found = saved(_found_of(docs, involved, id_col, text_col), "involved-sets")
-    # The leader of a cluster is its most connected class.
+    found = _found_of(docs, involved, id_col, text_col)
+    # Clusters of more than one row block are first compared with their
+    # leader, the most connected class.
+    large = involved.groupBy("cluster").count().where(F.col("count") > BLOCK_ROWS).select("cluster")
     weights = candidates.groupBy(F.col("leader").alias("rid")).agg(F.max("weight").alias("weight"))
-    leaders = (cluster.join(weights, "rid").groupBy("cluster")
+    leaders = (cluster.join(large, "cluster").join(weights, "rid").groupBy("cluster")
                .agg(F.max(F.struct("weight", (-F.col("rid")).alias("minus"))).alias("best"))
                .select("cluster", (-F.col("best.minus")).alias("leader")))
-    leader_found = leaders.join(found.withColumnsRenamed({"rid": "leader", "found": "leader_found"}), "leader")
-    of_cluster = involved.select("rid", "cluster", "n").join(found, "rid").join(leader_found, "cluster")
-    star = saved(_star_links(of_cluster, num, den), "star-links")
-    members = involved.select("rid", "cluster", "n").join(star, "rid")
+    leaders = saved(leaders, "cluster-leaders")
+    leader_found = broadcast_if_small(leaders.select(F.col("leader").alias("rid"))).join(found, "rid").select(
+        "cluster", F.col("found").alias("leader_found"))
+    star = _star_links(found.select("rid", "cluster", "found").join(saved(leader_found, "leader-sets"), "cluster"), num, den)
+    star = saved(star.where("linked"), "star-links")
+    members = involved.select("rid", "cluster", "n").join(broadcast_if_small(star), "rid", "left")
+    members = members.withColumn("linked", F.coalesce("linked", F.lit(False)))
     blocks = saved(_row_blocks(members), "row-blocks")
     stats = blocks.groupBy("cluster", "block").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min("linked").alias("all_linked"))
@@ -348,9 +357,10 @@ def link_classes(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "do
                    .where("left <= right and not (all_linked and all_linked2)")
                    .where(f"low * {num} <= high2 * {den} and low2 * {num} <= high * {den}"))
     sides = block_pairs.select("left", "right", F.explode(F.array_distinct(F.array("left", "right"))).alias("block"))
-    filled = blocks.select("rid", "linked", "block").join(found, "rid")
-    links = _block_links(sides.join(filled, "block"), num, den)
-    star_pairs = star.where("linked").join(cluster, "rid").join(leaders, "cluster").select(
+    # Which pairs a row goes to is small beside the sets, which move once.
+    places = saved(blocks.select("rid", "linked", "block").join(sides, "block"), "row-places")
+    links = _block_links(found.select("rid", "found").join(broadcast_if_small(places), "rid"), num, den)
+    star_pairs = star.join(cluster, "rid").join(leaders, "cluster").select(
         F.col("leader").alias("a"), F.col("rid").alias("b"))
     groups = components(links.unionAll(star_pairs), "a", "b").withColumnsRenamed({"node": "rid", "component": "group"})
     grouped = slim.join(groups, "rid", "left").withColumn("group_id", F.coalesce("group", "rid"))
