@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyhouse.session import ensure_checkpoint_dir
 
@@ -38,7 +36,23 @@ class Memo:
         return new
 
 
+#: Bounds of a batch that a task hands to Python: whole texts are rows here,
+#: and Spark's default of 10,000 rows is made for narrow ones.
+BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+                "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Apply BATCH_LIMITS, once per session; a user's later setting stays."""
+    done = "spark.tallyhouse.boundedBatches"
+    if spark.conf.get(done, None) is None:
+        for name, value in BATCH_LIMITS.items():
+            spark.conf.set(name, value)
+        spark.conf.set(done, "true")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -64,8 +78,3 @@ def text_or_empty(col: str) -> Column:
 def crc32_of(col: str) -> Column:
     """Unsigned crc32 of a value's text form; null counts as empty text."""
     return F.crc32(text_or_empty(col).cast("binary"))
-
-
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema: T.StructType | str) -> DataFrame:
-    return df.mapInArrow(fn, schema)

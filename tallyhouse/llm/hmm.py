@@ -423,16 +423,27 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     fitted = spark.sparkContext.broadcast(model)  # CLASSES x STATES numbers
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        rows: list[np.ndarray] = []
+        size = 0
+
+        def solved() -> Iterator[pa.RecordBatch]:
+            found, at = likelihoods(fitted.value, rows), 0
+            for x in held:
+                names = [c for c in x.schema.names if c != "ids"]
+                yield pa.RecordBatch.from_arrays([*(x[c] for c in names), pa.array(found[at:at + x.num_rows])],
+                                                 names=[*names, "chain"])
+                at += x.num_rows
+
         for b in batches:
-            rows = [np.frombuffer(x, "<u2") for x in b["ids"].to_pylist()]
-            found, start, size = np.zeros(len(rows)), 0, 0
-            for i, r in enumerate(rows):
-                size += len(r)
-                if size >= 4 * BATCH or i + 1 == len(rows):
-                    found[start:i + 1] = likelihoods(fitted.value, rows[start:i + 1])
-                    start, size = i + 1, 0
-            yield pa.RecordBatch.from_arrays([*(b[c] for c in b.schema.names if c != "ids"), pa.array(found)],
-                                             names=[*(c for c in b.schema.names if c != "ids"), "chain"])
+            held.append(b)
+            rows += [np.frombuffer(x, "<u2") for x in b["ids"].to_pylist()]
+            size += b["ids"].nbytes // 2
+            if size >= 4 * BATCH:
+                yield from solved()
+                held, rows, size = [], [], 0
+        if held:
+            yield from solved()
 
     kept = ["row", "doc_id", "held_out", "n_tokens", "head_known", "head_log", "head_share"]
     types = dict(coded.dtypes)
