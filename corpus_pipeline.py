@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import byte_bpe, decontamination, ngram_join, quality
-from tallyhouse.llm.common import crc32_of, read_table, saved
+from tallyhouse.llm.common import bound_batches, crc32_of, read_table, saved
 
 KEPT_SCORE = 0.7
 
@@ -36,6 +36,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of 3-word shingle sets that link at
     a Jaccard similarity of nine tenths."""
+    bound_batches(spark)
     return ngram_join.keep_one(docs, 9, 10)
 
 
@@ -46,6 +47,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and whether they decode to it."""
+    bound_batches(spark)
     vocabulary, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     coded = byte_bpe.encode(docs.select("doc_id", "text"), vocabulary, pattern)
     coded = coded.select("doc_id", "text", "encoded.n_tokens", "encoded.ids")
