@@ -433,16 +433,23 @@ def _monthly_ctes(kind: str) -> list[tuple[str, str]]:
     fresh = (f"(SELECT d.* FROM daily_{p} d LEFT JOIN mon0_{p} m ON CAST(date_trunc('month', d.summary_date) AS DATE) "
              f"= m.{M.MONTH} AND d.{spec.key} = m.{spec.key} WHERE m.{M.MONTH} IS NULL) f")
     ctes.append((f"moni_{p}", agg(fresh, RUN)))
-    # recompute: touched (month, id) pairs re-aggregated from all their
-    # daily rows; other monthly rows unchanged (NULL ids match NULL ids)
+    # recompute: touched and absent (month, id) pairs aggregated again from
+    # all their daily rows, existing ones keep their create time; other
+    # monthly rows unchanged (NULL ids match NULL ids)
+    same = "{x}.tm = {y}.{m} AND {x}.tk IS NOT DISTINCT FROM {y}.{k}"
     touched = (f"SELECT DISTINCT {month} AS tm, {spec.key} AS tk FROM daily_{p} "
-               f"WHERE CAST(summary_date AS DATE) >= {B}")
+               f"WHERE CAST(summary_date AS DATE) >= {B} UNION "
+               f"SELECT d.tm, d.tk FROM (SELECT DISTINCT {month} AS tm, {spec.key} AS tk FROM daily_{p}) d WHERE NOT EXISTS "
+               f"(SELECT 1 FROM mon0_{p} m WHERE {same.format(x='d', y='m', m=M.MONTH, k=spec.key)})")
     ctes.append((f"touch_{p}", touched))
     again = (f"(SELECT d.* FROM daily_{p} d WHERE EXISTS (SELECT 1 FROM touch_{p} t WHERE "
              f"t.tm = CAST(date_trunc('month', d.summary_date) AS DATE) AND t.tk IS NOT DISTINCT FROM d.{spec.key})) g")
+    dated = (f"SELECT a.* REPLACE (COALESCE(m.dw_create_timestamp, a.dw_create_timestamp) AS dw_create_timestamp) "
+             f"FROM ({agg(again, RUN)}) a LEFT JOIN mon0_{p} m ON a.{M.MONTH} = m.{M.MONTH} "
+             f"AND a.{spec.key} IS NOT DISTINCT FROM m.{spec.key}")
     keep = (f"SELECT m.* FROM mon0_{p} m WHERE NOT EXISTS (SELECT 1 FROM touch_{p} t WHERE "
             f"t.tm = m.{M.MONTH} AND t.tk IS NOT DISTINCT FROM m.{spec.key})")
-    ctes.append((f"monr_{p}", f"{keep} UNION ALL {agg(again, RUN)}"))
+    ctes.append((f"monr_{p}", f"{keep} UNION ALL {dated}"))
     return ctes
 
 
@@ -500,12 +507,25 @@ def oracle_sql() -> dict[str, str]:
         + ") FROM stage_customers", cust.source_names)
     put("truncate_columns", "SELECT * REPLACE (substring(customerName, 1, 12) AS customerName, "
         "substring(contactLastName, 1, 5) AS contactLastName) FROM stage_customers", cust.source_names)
+    forms = ("'%Y-%m-%d %H:%M:%S'", "'%Y/%m/%d %H:%M:%S'", "'%m/%d/%Y'", "'%Y-%m-%dT%H:%M:%S.123'", "'%Y-%m-%dT%H:%M:%SZ'",
+             "'%-m/%-d/%Y'", "'%Y-%m-%d %H:%M'", "'%Y-%m-%d %H:%M:%S.1234567'", "'%Y-%m-%dT%H:%M:%S+02:00'")
+    n = len(forms)
+    text = " ".join(f"WHEN {i} THEN strftime(create_timestamp, {f})" for i, f in enumerate(forms))
+    day, ts = "CAST(CAST(create_timestamp AS DATE) AS TIMESTAMP)", "create_timestamp"
+    read = {2: day, 5: day, 3: f"{ts} + INTERVAL 123 MILLISECOND", 6: f"date_trunc('minute', {ts})",
+            7: f"{ts} + INTERVAL 123456 MICROSECOND"}
+    parsed = " ".join(f"WHEN {i} THEN {x}" for i, x in read.items())
     put("parse_auto_dates",
-        "SELECT orderNumber, CASE orderNumber % 3 WHEN 0 THEN strftime(create_timestamp, '%Y-%m-%d %H:%M:%S') "
-        "WHEN 1 THEN strftime(create_timestamp, '%Y/%m/%d %H:%M:%S') ELSE strftime(create_timestamp, '%m/%d/%Y') END AS ts_text, "
-        "CASE WHEN orderNumber % 3 = 2 THEN CAST(CAST(create_timestamp AS DATE) AS TIMESTAMP) ELSE create_timestamp END AS parsed_ts, "
-        "CAST(create_timestamp AS DATE) AS parsed_date FROM src_orders",
-        ["orderNumber", "ts_text", "parsed_ts", "parsed_date"])
+        f"SELECT orderNumber, CASE orderNumber % {n} {text} END AS ts_text, "
+        f"CASE orderNumber % {n} {parsed} ELSE {ts} END AS parsed_ts, "
+        "CAST(create_timestamp AS DATE) AS parsed_date, CAST(create_timestamp AS DATE) AS auto_date FROM src_orders",
+        ["orderNumber", "ts_text", "parsed_ts", "parsed_date", "auto_date"])
+    put("truncate_columns_bytes", "SELECT officeCode, city, CASE WHEN strlen(city || 'é') <= 5 THEN city || 'é' ELSE "
+        "(SELECT max(left(city || 'é', i)) FROM range(0, 6) r(i) WHERE strlen(left(city || 'é', i)) <= 5) END AS cut FROM stage_offices",
+        ["officeCode", "city", "cut"])
+    put("stage_empty_status", "SELECT orderNumber, coalesce(CASE WHEN orderNumber % 5 = 0 THEN NULL ELSE status END, '') AS status, "
+        "upper(trim(coalesce(CASE WHEN orderNumber % 5 = 0 THEN NULL ELSE status END, ''))) NOT IN ('SHIPPED', 'CANCELLED') AS is_open "
+        "FROM stage_orders", ["orderNumber", "status", "is_open"])
     put("surrogate_keys",
         "SELECT row_number() OVER (ORDER BY orderNumber, productCode) AS dw_orderdetail_id, orderNumber, productCode "
         "FROM (SELECT DISTINCT orderNumber, productCode FROM src_orderdetails) x",

@@ -34,11 +34,6 @@ class BatchContext:
         """Midnight of the batch date, for ``update_timestamp >= date``."""
         return self.date_col().cast("timestamp_ntz")
 
-    def previous(self, run_ts: dt.datetime | None = None) -> "BatchContext":
-        return BatchContext(self.batch_no - 1,
-                            self.batch_date - dt.timedelta(days=1),
-                            run_ts or self.run_ts - dt.timedelta(days=1))
-
 
 def latest_batch(control: DataFrame) -> DataFrame:
     """The newest control row (ORDER BY etl_batch_no DESC LIMIT 1).
@@ -72,6 +67,13 @@ def snapshot_name(batch_date: dt.date, sentinels: dict | None = None,
     return sentinels.get(batch_date, batch_date).strftime(fmt)
 
 
+def source_path(root: str, table: str, batch_date: dt.date | None = None) -> str:
+    """Where a source table is read: ``<root>/<table>``, or in the dated
+    snapshot of the batch, ``<root>/<snapshot>/<table>``."""
+    parts = [root.rstrip("/")] + ([snapshot_name(batch_date)] if batch_date else []) + [table]
+    return "/".join(parts)
+
+
 def snapshot_date_col(batch_date: Column, sentinels: dict | None = None) -> Column:
     """Column form of :func:`snapshot_name`'s date mapping."""
     sentinels = SNAPSHOT_SENTINELS if sentinels is None else sentinels

@@ -27,6 +27,22 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
+# Rows that each step of a batch read or wrote.
+STEP_SCHEMA = T.StructType([
+    T.StructField("etl_batch_no", T.IntegerType()),
+    T.StructField("step", T.StringType()),
+    T.StructField("row_count", T.LongType()),
+    T.StructField("logged_at", T.TimestampNTZType()),
+    T.StructField("seq", T.LongType()),
+])
+
+
+def log_step(spark: SparkSession, batch_no: int, rows: list[tuple[str, int]], at: dt.datetime,
+             seq: int = 0) -> DataFrame:
+    """Row counts of a batch's steps (append them to the step log)."""
+    return spark.createDataFrame([(batch_no, step, n, at, seq) for step, n in rows], STEP_SCHEMA)
+
+
 def log_event(spark: SparkSession, batch_no: int, batch_date: dt.date | None, event: str,
               at: dt.datetime, seq: int = 0) -> DataFrame:
     """One audit event row (append it to the log table)."""

@@ -11,6 +11,9 @@ applies one arbitrary row; here the delta is first aggregated per key
 table, aggregated over all their daily rows. NULL ids never match an
 existing row (plain equality), so they are inserted again each batch
 unless ``null_safe_keys`` is set.
+
+``monthly_recompute`` (Q23): touched and absent pairs from all their
+daily rows, whatever the monthly table held.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from tallyhouse.context import BatchContext
 from tallyhouse.functions.columns import month_start, on_or_after
 from tallyhouse.operators.daily import AMOUNT, COUNT, FLAG
 from tallyhouse.operators.joins import broadcast_if_measured_small
+from tallyhouse.session import write_through
 
 MONTH = "start_of_the_month_date"
 
@@ -78,14 +82,14 @@ PRODUCT_ROLLUP = RollupSpec(
 )
 
 
-def _aggregate_daily(daily: DataFrame, spec: RollupSpec) -> DataFrame:
+def _aggregate_daily(daily: DataFrame, spec: RollupSpec, *more) -> DataFrame:
     """Per (month, id): SUM measures, MAX flags, MAX batch columns."""
     types = dict(spec.columns)
     aggs = [F.sum(c).cast(types[c]).alias(c) for c in spec.sums]
     aggs += [F.max(f).cast(FLAG).alias(f) for f in spec.flags]
     aggs += [F.max("etl_batch_no").alias("etl_batch_no"),
              F.max("etl_batch_date").alias("etl_batch_date")]
-    return daily.groupBy(month_start("summary_date").alias(MONTH), spec.key).agg(*aggs)
+    return daily.groupBy(month_start("summary_date").alias(MONTH), spec.key).agg(*aggs, *more)
 
 
 def _key_match(left_month, left_key, right_month, right_key, null_safe: bool):
@@ -118,39 +122,52 @@ def monthly_update(monthly: DataFrame, daily: DataFrame, spec: RollupSpec, ctx:
     return j.select(*[new.get(c, F.col(c)).cast(t).alias(c) for c, t in spec.columns])
 
 
-def monthly_insert(monthly: DataFrame, daily: DataFrame, spec: RollupSpec, ctx: BatchContext,
-                   null_safe_keys: bool = False) -> DataFrame:
-    """Rows inserted for (month, id) pairs the monthly table lacks."""
-    existing = monthly.select(F.col(MONTH).alias("_m_month"), F.col(spec.key).alias("_m_key"))
-    dm = daily.withColumn("_month", month_start("summary_date"))
-    fresh = dm.join(existing, _key_match(F.col("_month"), F.col(spec.key), F.col("_m_month"),
-                                         F.col("_m_key"), null_safe_keys), "left_anti")
-    agg = _aggregate_daily(fresh.drop("_month"), spec)
+def _fresh(agg: DataFrame, spec: RollupSpec, ctx: BatchContext, created=None) -> DataFrame:
+    """Aggregated daily rows as monthly rows."""
     vals = {c: F.col(c) for c in agg.columns}
     for f in spec.flags:
         vals[spec.apm(f)] = F.col(f)
-    vals["dw_create_timestamp"] = ctx.run_ts_col()
+    vals["dw_create_timestamp"] = ctx.run_ts_col() if created is None else created
     vals["dw_update_timestamp"] = ctx.run_ts_col()
     return agg.select(*[vals[c].cast(t).alias(c) for c, t in spec.columns])
 
 
+def monthly_insert(monthly: DataFrame, daily: DataFrame, spec: RollupSpec, ctx: BatchContext,
+                   null_safe_keys: bool = False) -> DataFrame:
+    """Rows inserted for (month, id) pairs the monthly table lacks.
+
+    The daily rows are aggregated first, so the anti join meets one row per
+    pair, on the partitioning that the aggregate left. Pairs of a NULL id
+    match nothing (unless ``null_safe_keys``) and bypass the join."""
+    existing = monthly.select(F.col(MONTH).alias("_m_month"), F.col(spec.key).alias("_m_key"))
+    match = _key_match(F.col(MONTH), F.col(spec.key), F.col("_m_month"), F.col("_m_key"), null_safe_keys)
+    if null_safe_keys:
+        return _fresh(_aggregate_daily(daily, spec).join(existing, match, "left_anti"), spec, ctx)
+    named = daily.where(F.col(spec.key).isNotNull())
+    absent = _aggregate_daily(named, spec).join(existing, match, "left_anti")
+    nameless = _aggregate_daily(daily.where(F.col(spec.key).isNull()), spec)
+    return _fresh(absent.unionByName(nameless), spec, ctx)
+
+
+def recomputed_pairs(monthly: DataFrame, daily: DataFrame, spec: RollupSpec, ctx: BatchContext) -> DataFrame:
+    """Monthly rows of every (month, id) that this batch's daily rows touch
+    or that the monthly table lacks, aggregated from all its daily rows; an
+    existing row keeps its create time."""
+    touched = F.max(F.coalesce(on_or_after("summary_date", ctx.date_col()), F.lit(False)))
+    again = _aggregate_daily(daily, spec, touched.alias("_touched"))
+    existing = monthly.groupBy(F.col(MONTH).alias("_m_month"), F.col(spec.key).alias("_m_key")).agg(
+        F.min("dw_create_timestamp").alias("_created"), F.lit(True).alias("_m_row"))
+    met = again.join(existing, _key_match(F.col(MONTH), F.col(spec.key), F.col("_m_month"), F.col("_m_key"), True), "left")
+    met = met.where(F.col("_touched") | F.col("_m_row").isNull())
+    return _fresh(met, spec, ctx, F.coalesce("_created", ctx.run_ts_col()))
+
+
 def monthly_recompute(monthly: DataFrame, daily: DataFrame, spec: RollupSpec, ctx: BatchContext) -> DataFrame:
-    """Alternative to update+insert that is safe to rerun: every (month,
-    id) touched by this batch's daily rows is re-aggregated from all its
-    daily rows; untouched monthly rows pass through."""
-    touched = (daily.where(on_or_after("summary_date", ctx.date_col()))
-               .select(month_start("summary_date").alias("_t_month"), F.col(spec.key).alias("_t_key"))
-               .distinct())
-    dm = daily.withColumn("_month", month_start("summary_date"))
-    cond = (F.col("_month") == F.col("_t_month")) & F.col(spec.key).eqNullSafe(F.col("_t_key"))
-    again = _aggregate_daily(dm.join(touched, cond, "left_semi").drop("_month"), spec)
-    vals = {c: F.col(c) for c in again.columns}
-    for f in spec.flags:
-        vals[spec.apm(f)] = F.col(f)
-    vals["dw_create_timestamp"] = ctx.run_ts_col()
-    vals["dw_update_timestamp"] = ctx.run_ts_col()
-    again = again.select(*[vals[c].cast(t).alias(c) for c, t in spec.columns])
-    keep = monthly.join(touched, (F.col(MONTH) == F.col("_t_month"))
+    """Alternative to update+insert that is safe to rerun: touched and
+    absent pairs are aggregated again, other monthly rows pass through."""
+    again = write_through(recomputed_pairs(monthly, daily, spec, ctx), "monthly_again")
+    pairs = again.select(F.col(MONTH).alias("_t_month"), F.col(spec.key).alias("_t_key"))
+    keep = monthly.join(pairs, (F.col(MONTH) == F.col("_t_month"))
                         & F.col(spec.key).eqNullSafe(F.col("_t_key")), "left_anti")
     return keep.unionByName(again)
 

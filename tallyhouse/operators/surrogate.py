@@ -9,41 +9,38 @@ from pyspark.sql import functions as F
 
 from tallyhouse.session import estimated_size_bytes, materialize
 
-# New rows whose estimated size is below this are numbered in one sorted
-# partition (no sampling, checkpoint or count job); larger inputs take the
-# distributed range-partition recipe.
-SMALL_INPUT_BYTES = 16 * 1024 * 1024
+# Input bytes per range partition when numbering rows. The number of
+# partitions changes no id: every input is numbered in one total order.
+BYTES_PER_PARTITION = 16 * 1024 * 1024
 
 _PID = "_sk_pid"
 _POS = "_sk_pos"
 
 
 def _partitions_for(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_size_bytes(df)
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return most if size is None else max(1, min(most, -(-size // BYTES_PER_PARTITION)))
 
 
 def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], id_col: str,
                           start_after: int = 0, num_partitions: int | None = None) -> DataFrame:
     """Number the rows of ``df`` as ``start_after + 1 ...`` in key order.
 
-    Recipe: range-partition by key, sort within partitions, tag each row
-    with its partition and position (``monotonically_increasing_id`` is
-    ``partition << 33 | position``), checkpoint so the tags are fixed,
-    count rows per partition (one small row per partition), turn the counts
-    into offsets on the driver and broadcast them back. No step gathers the
-    rows in one task; the driver only sees one number per partition.
-
-    Ids equal ``start_after + row_number() OVER (ORDER BY keys)`` when the
-    keys are unique (they are after de-duplication and the anti-join).
+    Rows are ordered by the keys and, where keys repeat, by all other
+    columns, so ids depend on the rows alone. Recipe: range-partition in
+    that order, sort within partitions, tag each row with its partition
+    and position (``monotonically_increasing_id`` is ``partition << 33 |
+    position``), checkpoint so the tags are fixed, count rows per partition
+    (one small row per partition), turn the counts into offsets on the
+    driver and broadcast them back. The driver only sees one number per
+    partition; a small input has one partition.
     """
     spark = df.sparkSession
     keys = list(keys)
-    size = estimated_size_bytes(df)
-    if num_partitions is None and size is not None and size <= SMALL_INPUT_BYTES:
-        return _number_small(df, keys, id_col, start_after)
+    order = [F.col(c).asc_nulls_first() for c in keys + [c for c in df.columns if c not in keys]]
     n = num_partitions or _partitions_for(df)
-    tagged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
-              .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys])
+    tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_POS, F.monotonically_increasing_id()))
     tagged = materialize(tagged)
@@ -52,9 +49,6 @@ def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], id_col: str,
     for pid, cnt in counts:
         offsets.append((pid, running))
         running += cnt
-    if not offsets:
-        return tagged.drop(_PID, _POS).withColumn(id_col, F.lit(None).cast("long")) \
-            .select(id_col, *df.columns)
     off_df = spark.createDataFrame(offsets, f"{_PID} int, _sk_off long")
     within = F.col(_POS) - F.shiftleft(F.col(_PID).cast("long"), 33)
     out = (tagged.join(F.broadcast(off_df), _PID)
@@ -62,18 +56,6 @@ def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], id_col: str,
     return out.select(id_col, *df.columns)
 
 
-def _number_small(df: DataFrame, keys: list[str], id_col: str, start_after: int) -> DataFrame:
-    """Size-checked small input: one partition sorted by the keys and then
-    every other column (a total order, so a recomputation after a lost
-    executor gives the same ids); position = monotonically_increasing_id
-    in partition 0."""
-    rest = [c for c in df.columns if c not in keys]
-    order = [F.col(c).asc_nulls_first() for c in keys + rest]
-    one = df.repartition(1).sortWithinPartitions(*order)
-    ids = F.lit(start_after).cast("long") + F.monotonically_increasing_id() + 1
-    return one.select(ids.alias(id_col), *df.columns)
-
-
 def max_id(df: DataFrame, id_col: str) -> int:
     """Largest id already given out (0 for an empty table); one value."""
     row = df.agg(F.max(id_col).alias("m")).collect()[0]

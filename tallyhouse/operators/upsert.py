@@ -10,12 +10,11 @@ inputs, and the next snapshot is ``updated(target) UNION inserted``:
 * ``upsert_inserts``: stage LEFT ANTI JOIN target on the insert keys,
   then fresh surrogate ids after the largest existing one.
 
-A delta whose estimated size is under the broadcast limit is broadcast
-into the update join, so the (large) target is streamed without a
-shuffle; a larger delta gets a sort-merge join (AQE may still switch it
-at run time). The insert side streams the target's key columns through a
-semi join with the broadcast stage keys, then anti-joins the stage with
-that small result.
+``upsert`` de-duplicates and writes the delta once, then picks the plan. A
+delta under the broadcast limit is broadcast: the (large) target is
+streamed, its keys once more, and nothing of it is shuffled. A larger
+delta of a table whose two keys agree is joined to the target once, by a
+full outer join that gives both updates and inserts.
 """
 
 from __future__ import annotations
@@ -25,9 +24,10 @@ from pyspark.sql import functions as F
 
 from tallyhouse.context import BatchContext
 from tallyhouse.operators.dedupe import latest_per_key
-from tallyhouse.operators.joins import broadcast_if_small
+from tallyhouse.operators.joins import broadcast_if_small, broadcast_limit
 from tallyhouse.operators.surrogate import assign_surrogate_keys, max_id
 from tallyhouse.schemas import TableSpec
+from tallyhouse.session import estimated_size_bytes, write_through
 
 
 def stage_to_warehouse(stage: DataFrame, spec: TableSpec) -> DataFrame:
@@ -37,33 +37,40 @@ def stage_to_warehouse(stage: DataFrame, spec: TableSpec) -> DataFrame:
     return s.select(*[F.col(c).alias(spec.wh(c)) for c in spec.source_names])
 
 
-def upsert_updates(target: DataFrame, stage: DataFrame, spec: TableSpec,
-                   ctx: BatchContext) -> DataFrame:
-    """Target rows after the UPDATE step (every target row, same columns)."""
-    s = stage_to_warehouse(stage, spec)
+def _replaced(target: DataFrame, spec: TableSpec, ctx: BatchContext) -> list:
+    """The target's columns where ``_s_`` columns hold the stage row."""
+    newer = F.coalesce(F.col("_s_src_update_timestamp") > F.col("src_update_timestamp"), F.lit(False))
+    new = {spec.wh(c): F.col(f"_s_{spec.wh(c)}") for c in spec.update_cols}
+    new |= {"src_update_timestamp": F.col("_s_src_update_timestamp"),
+            "etl_batch_no": ctx.no_col(), "etl_batch_date": ctx.date_col()}
+    return [(F.when(newer, new[c]).otherwise(F.col(c)) if c in new else F.col(c)).alias(c)
+            for c in target.columns]
+
+
+def _new_rows(rows: DataFrame, spec: TableSpec, ctx: BatchContext, start_after: int) -> DataFrame:
+    """Stage rows (warehouse names) as new warehouse rows: fresh ids, NULL
+    references, current batch stamps."""
+    cols = {c: F.col(c) for c in rows.columns}
+    cols |= {r: F.lit(None).cast("long") for r in spec.refs}
+    cols |= {"etl_batch_no": ctx.no_col(), "etl_batch_date": ctx.date_col()}
+    names = [c for c, _ in spec.warehouse_columns() if c != spec.id_col]
+    out = rows.select(*[cols[c].alias(c) for c in names])
+    if spec.id_col:
+        out = assign_surrogate_keys(out, [spec.wh(k) for k in spec.insert_keys], spec.id_col, start_after)
+    return out.select(*[c for c, _ in spec.warehouse_columns()])
+
+
+def _updates(target: DataFrame, s: DataFrame, spec: TableSpec, ctx: BatchContext) -> DataFrame:
     keys = [spec.wh(k) for k in spec.update_keys]
-    upd = [spec.wh(c) for c in spec.update_cols]
-    s_cols = keys + upd + ["src_update_timestamp"]
+    used = keys + [spec.wh(c) for c in spec.update_cols] + ["src_update_timestamp"]
     # A delta under the size limit is broadcast: the target is then read
     # and streamed through the join without a shuffle.
-    s = broadcast_if_small(s.select(*[F.col(c).alias(f"_s_{c}") for c in s_cols]))
-    cond = [F.col(k) == F.col(f"_s_{k}") for k in keys]
-    j = target.join(s, cond, "left")
-    newer = F.coalesce(F.col("_s_src_update_timestamp") > F.col("src_update_timestamp"),
-                       F.lit(False))
-    replaced = {c: F.when(newer, F.col(f"_s_{c}")).otherwise(F.col(c)) for c in upd}
-    replaced["src_update_timestamp"] = F.when(newer, F.col("_s_src_update_timestamp")) \
-        .otherwise(F.col("src_update_timestamp"))
-    replaced["etl_batch_no"] = F.when(newer, ctx.no_col()).otherwise(F.col("etl_batch_no"))
-    replaced["etl_batch_date"] = F.when(newer, ctx.date_col()).otherwise(F.col("etl_batch_date"))
-    return j.select(*[replaced.get(c, F.col(c)).alias(c) for c in target.columns])
+    s = broadcast_if_small(s.select(*[F.col(c).alias(f"_s_{c}") for c in used]))
+    joined = target.join(s, [F.col(k) == F.col(f"_s_{k}") for k in keys], "left")
+    return joined.select(*_replaced(target, spec, ctx))
 
 
-def upsert_inserts(target: DataFrame, stage: DataFrame, spec: TableSpec,
-                   ctx: BatchContext, assign_ids: bool = True) -> DataFrame:
-    """Stage rows whose insert key is absent from the target, as new
-    warehouse rows (fresh ids, NULL references, current batch stamps)."""
-    s = stage_to_warehouse(stage, spec)
+def _inserts(target: DataFrame, s: DataFrame, spec: TableSpec, ctx: BatchContext, start_after: int) -> DataFrame:
     keys = [spec.wh(k) for k in spec.insert_keys]
     # Target keys that the stage mentions: the target's key columns are
     # streamed through a semi join against the (broadcast, when small)
@@ -72,25 +79,41 @@ def upsert_inserts(target: DataFrame, stage: DataFrame, spec: TableSpec,
     tkeys = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
     skeys = broadcast_if_small(s.select(*[F.col(k).alias(f"_s_{k}") for k in keys]))
     hit = tkeys.join(skeys, [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in keys], "left_semi")
-    cond = [F.col(k) == F.col(f"_t_{k}") for k in keys]
-    new = s.join(hit, cond, "left_anti")
-    cols = {c: F.col(c) for c in new.columns}
-    for r in spec.refs:
-        cols[r] = F.lit(None).cast("long")
-    cols["etl_batch_no"] = ctx.no_col()
-    cols["etl_batch_date"] = ctx.date_col()
-    names = [c for c, _ in spec.warehouse_columns() if c != spec.id_col]
-    rows = new.select(*[cols[c].alias(c) for c in names])
-    if spec.id_col and assign_ids:
-        rows = assign_surrogate_keys(rows, keys, spec.id_col,
-                                     start_after=max_id(target, spec.id_col))
-    elif spec.id_col:
-        rows = rows.withColumn(spec.id_col, F.lit(None).cast("long"))
-    return rows.select(*[c for c, _ in spec.warehouse_columns()])
+    return _new_rows(s.join(hit, [F.col(k) == F.col(f"_t_{k}") for k in keys], "left_anti"), spec, ctx, start_after)
+
+
+def _first_free(target: DataFrame, spec: TableSpec, start_after: int | None) -> int:
+    if start_after is not None or not spec.id_col:
+        return start_after or 0
+    return max_id(target, spec.id_col)
+
+
+def upsert_updates(target: DataFrame, stage: DataFrame, spec: TableSpec,
+                   ctx: BatchContext) -> DataFrame:
+    """Target rows after the UPDATE step (every target row, same columns)."""
+    return _updates(target, stage_to_warehouse(stage, spec), spec, ctx)
+
+
+def upsert_inserts(target: DataFrame, stage: DataFrame, spec: TableSpec,
+                   ctx: BatchContext, start_after: int | None = None) -> DataFrame:
+    """Stage rows whose insert key is absent from the target, as new
+    warehouse rows. Ids follow ``start_after`` (the target's largest id)."""
+    return _inserts(target, stage_to_warehouse(stage, spec), spec, ctx, _first_free(target, spec, start_after))
 
 
 def upsert(target: DataFrame, stage: DataFrame, spec: TableSpec,
-           ctx: BatchContext) -> DataFrame:
-    """Complete next snapshot of an SCD1 table."""
-    return upsert_updates(target, stage, spec, ctx) \
-        .unionByName(upsert_inserts(target, stage, spec, ctx))
+           ctx: BatchContext, start_after: int | None = None) -> DataFrame:
+    """Complete next snapshot of an SCD1 table. Reads the stage once."""
+    s = write_through(stage_to_warehouse(stage, spec), f"delta-{spec.name}")
+    start_after = _first_free(target, spec, start_after)
+    size = estimated_size_bytes(s)
+    small = size is not None and size <= broadcast_limit(s)
+    if small or spec.insert_keys != spec.update_keys:
+        return _updates(target, s, spec, ctx).unionByName(_inserts(target, s, spec, ctx, start_after))
+    keys = [spec.wh(k) for k in spec.update_keys]
+    marked = s.select(*[F.col(c).alias(f"_s_{c}") for c in s.columns], F.lit(True).alias("_s_row"))
+    joined = target.withColumn("_t_row", F.lit(True)).join(
+        marked, [F.col(k) == F.col(f"_s_{k}") for k in keys], "full_outer")
+    updated = joined.where("_t_row").select(*_replaced(target, spec, ctx))
+    fresh = joined.where("_t_row is null").select(*[F.col(f"_s_{c}").alias(c) for c in s.columns])
+    return updated.unionByName(_new_rows(fresh, spec, ctx, start_after))

@@ -24,8 +24,9 @@ from tallyhouse.operators.surrogate import assign_surrogate_keys
 from tallyhouse.plans.testbed import Testbed
 from tallyhouse.schemas import SPECS
 from tallyhouse.session import ensure_checkpoint_dir
-from tallyhouse.sources.csv_stage import (parse_auto_timestamp, read_stage, truncate_columns,
-                                          write_delta_csv)
+from tallyhouse.functions.columns import norm_text
+from tallyhouse.sources.csv_stage import (parse_auto_date, parse_auto_timestamp, read_stage,
+                                          truncate_columns, write_delta_csv)
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -108,7 +109,18 @@ def _scratch(tb: Testbed) -> str:
 def q_csv_roundtrip(tb):
     root = _scratch(tb)
     path = write_delta_csv(tb.stage("orders"), root, "orders", tb.ctx.batch_date)
-    return read_stage(tb.spark, path, SPECS["orders"])
+    return read_stage(tb.spark, path, SPECS["orders"], empty_text="null")
+
+
+@register("stage_empty_status")
+def q_stage_empty_status(tb):
+    """Orders without a status come back from the stage with an empty one,
+    which makes them open orders (the default of the load)."""
+    root = _scratch(tb)
+    orders = tb.stage("orders").withColumn("status", F.when(F.col("orderNumber") % 5 != 0, F.col("status")))
+    path = write_delta_csv(orders, root, "orders", tb.ctx.batch_date)
+    back = read_stage(tb.spark, path, SPECS["orders"])
+    return back.select("orderNumber", "status", (~norm_text("status").isin(D.CANCELLED, D.SHIPPED)).alias("is_open"))
 
 
 @register("stage_reload")
@@ -127,17 +139,26 @@ def q_truncate_columns(tb):
     return truncate_columns(tb.stage("customers"), TEST_WIDTHS)
 
 
+@register("truncate_columns_bytes")
+def q_truncate_columns_bytes(tb):
+    """Widths count bytes; a letter that would be cut in two is left out."""
+    o = tb.stage("offices").withColumn("cut", F.concat("city", F.lit("é")))
+    return truncate_columns(o, {"cut": 5}).select("officeCode", "city", "cut")
+
+
 @register("parse_auto_dates")
 def q_parse_auto_dates(tb):
     o = tb.source("orders")
-    k = F.col("orderNumber") % 3
     ts = F.col("create_timestamp")
-    text = F.when(k == 0, F.date_format(ts, "yyyy-MM-dd HH:mm:ss")) \
-        .when(k == 1, F.date_format(ts, "yyyy/MM/dd HH:mm:ss")) \
-        .otherwise(F.date_format(ts, "MM/dd/yyyy"))
+    iso = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    plain = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    forms = [plain, F.date_format(ts, "yyyy/MM/dd HH:mm:ss"), F.date_format(ts, "MM/dd/yyyy"), F.concat(iso, F.lit(".123")),
+             F.concat(iso, F.lit("Z")), F.date_format(ts, "M/d/yyyy"), F.date_format(ts, "yyyy-MM-dd HH:mm"),
+             F.concat(plain, F.lit(".1234567")), F.concat(iso, F.lit("+02:00"))]
+    text = F.element_at(F.array(*forms), F.col("orderNumber") % len(forms) + 1)
     parsed = parse_auto_timestamp(text)
     return o.select("orderNumber", text.alias("ts_text"), parsed.alias("parsed_ts"),
-                    parsed.cast("date").alias("parsed_date"))
+                    parsed.cast("date").alias("parsed_date"), parse_auto_date(text).alias("auto_date"))
 
 
 # ----------------------------------------------------------------- upserts
@@ -149,8 +170,7 @@ for _t in SPECS:
 
 @register("surrogate_keys")
 def q_surrogate_keys(tb):
-    # Always the distributed range-partition recipe (the path a large
-    # initial load takes), whatever the input size.
+    # Numbered in several range partitions, whatever the input size.
     keys = tb.source("orderdetails").select("orderNumber", "productCode").distinct()
     n = int(tb.spark.conf.get("spark.sql.shuffle.partitions"))
     return assign_surrogate_keys(keys, ["orderNumber", "productCode"], "dw_orderdetail_id",

@@ -1,32 +1,39 @@
 """The retail batch: extract -> stage -> warehouse -> history -> summaries.
 
-``run_batch`` composes the operators in dependency order. Each table's
-next version is written once and re-read by the steps after it (so later
-steps see same-batch changes and lineage stays short); nothing is
-published until every step succeeded, then all pointers move. The audit
-log gets 'R' first and 'C' or 'F' last; the first error stops the batch.
+``run_batch`` composes the operators in dependency order. A batch writes
+only what its delta touches: the large tables are kept in hash buckets of
+their key, histories in active and closed rows, daily summaries by date
+and monthly ones by month; folders that do not change are named again by
+the batch's commit. That one commit publishes all tables or none. The
+audit log gets 'R' first, before the extract, and 'C' or 'F' last; the
+first error stops the batch.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.context import BatchContext
+from tallyhouse.functions.columns import month_start, on_or_after
 from tallyhouse.operators import daily as D
 from tallyhouse.operators import monthly as M
-from tallyhouse.operators.audit import COMPLETED, EVENT_SCHEMA, FAILED, RUNNING, batch_state, log_event
+from tallyhouse.operators.audit import (COMPLETED, EVENT_SCHEMA, FAILED, RUNNING, STEP_SCHEMA, batch_state,
+                                        log_event, log_step)
 from tallyhouse.operators.refs import resolve_ref, touched_or_unresolved
-from tallyhouse.operators.scd2 import scd2
+from tallyhouse.operators.scd2 import scd2_active
+from tallyhouse.operators.surrogate import max_id
 from tallyhouse.operators.upsert import upsert
-from tallyhouse.schemas import LOAD_ORDER, SPECS, history_schema
-from tallyhouse.session import configure
-from tallyhouse.sources.csv_stage import delta_path, read_stage, write_delta_csv
+from tallyhouse.schemas import LOAD_ORDER, SPECS, TableSpec, history_schema
+from tallyhouse.session import configure, write_through
+from tallyhouse.sources.csv_stage import delta_path, read_stage, write_delta
 from tallyhouse.sources.extract import delta_extract
-from tallyhouse.sources.store import AppendLog, TableStore
+from tallyhouse.sources.store import Commit, ConcurrentCommit, Part, TableStore
 
 # Reference resolution steps, in the order they run after each upsert:
 # (child table, child key, parent table, parent key, parent id, child column)
@@ -50,138 +57,260 @@ REFS = {
 HISTORIES = {"customer_history": ("customers", "dw_customer_id", "creditLimit"),
              "product_history": ("products", "dw_product_id", "MSRP")}
 
+# Hash buckets of the tables that grow with the business; the others are
+# one part. Buckets follow the insert key, which every update key contains.
+BUCKETS = {"customers": 32, "orders": 32, "orderdetails": 32, "payments": 32}
+
+ACTIVE, CLOSED = "active", "closed"
+EVENTS, STEPS = "batch_log_events", "batch_log_steps"
+
 
 @dataclass
 class BatchOptions:
-    empty_text: str = "null"          # Q4: 'null' or 'empty'
+    empty_text: str = "empty"         # Q4: 'empty' (as the original load) or 'null'
     null_safe_scd2: bool = False      # Q12
     additive: str = "reference"       # Q15: 'reference' or 'sum'
     new_customer: str = "reference"   # Q16: 'reference' or 'customers_only'
     daily_write: str = "append"       # Q18: 'append' or 'replace_dates'
     monthly_mode: str = "incremental"  # Q23: 'incremental' or 'recompute'
     null_safe_keys: bool = False      # Q28
-    ref_scope: str = "all"            # 'all' (every row, as the original) or 'touched'
-                                      # (rows written this batch or still unresolved)
+    ref_scope: str = "touched"        # 'touched' (rows written this batch or still
+                                      # unresolved) or 'all' (every row, as the original)
+    stage_format: str = "csv"         # delta folders: 'csv' or 'parquet'
+    missing_stage: str = "raise"      # a delta folder that is not there: 'raise' or 'empty'
+    widths: dict = field(default_factory=dict)   # S6: table -> column -> bytes
+    buckets: dict = field(default_factory=lambda: dict(BUCKETS))
     tables: tuple = field(default=LOAD_ORDER)
 
 
-def extract_deltas(sources: dict[str, DataFrame], stage_root: str, ctx: BatchContext) -> dict[str, str]:
-    """S1 + S3: delta of every source written as the batch's CSV folder."""
+def extract_deltas(sources: dict[str, DataFrame], stage_root: str, ctx: BatchContext,
+                   stage_format: str = "csv") -> dict[str, str]:
+    """S1 + S3: delta of every source written as the batch's stage folder."""
     out = {}
     for name, src in sources.items():
-        out[name] = write_delta_csv(delta_extract(src, SPECS[name].source_names, ctx),
-                                    stage_root, name, ctx.batch_date)
+        out[name] = write_delta(delta_extract(src, SPECS[name].source_names, ctx),
+                                stage_root, name, ctx.batch_date, stage_format)
     return out
 
 
+def _schema(cols) -> T.StructType:
+    return T.StructType([T.StructField(c, t, True) for c, t in cols])
+
+
+def _bucket(cols: list[str], count: int):
+    """Part value of a row: number of buckets and bucket."""
+    return F.concat(F.lit(f"{count}-"), F.pmod(F.xxhash64(*cols), F.lit(count)).cast("string"))
+
+
+def _unresolved(spec: TableSpec):
+    """Rows whose reference may still be found when its parent arrives."""
+    waiting = F.lit(False)
+    for child_key, _, _, _, col in REFS.get(spec.name, []):
+        waiting = waiting | (F.col(col).isNull() & F.col(child_key).isNotNull())
+    return waiting
+
+
 class Batch:
+    """One batch on top of a commit: ``pending`` holds the part lists of
+    the tables it has written so far."""
+
     def __init__(self, spark: SparkSession, store: TableStore, ctx: BatchContext,
                  opts: BatchOptions | None = None):
         self.spark = configure(spark)
         self.store = store
-        self.facts = AppendLog(store)
+        self.base = store.begin()
         self.ctx = ctx
         self.opts = opts or BatchOptions()
-        self.pending: dict[str, int] = {}
+        self.pending: dict[str, tuple[Part, ...]] = {}
+        self.rows: list[tuple[str, int]] = []  # (step, rows) for the audit
 
-    def current(self, table: str, schema) -> DataFrame:
-        """Table as this batch sees it: own new version, else published."""
-        if table in self.pending:
-            return self.spark.read.parquet(f"{self.store.root}/{table}/v={self.pending[table]}")
-        return self.store.read(table, schema)
+    # ------------------------------------------------------------- tables
+    def parts(self, table: str) -> tuple[Part, ...]:
+        return self.pending.get(table, self.base.tables.get(table, ()))
 
-    def write(self, table: str, df: DataFrame) -> None:
-        base = self.pending.get(table) or self.store.current_version(table) or 0
-        self.pending[table] = self.store.write(table, df, version=base + 1)
+    def current(self, table: str, schema: T.StructType) -> DataFrame:
+        """Table as this batch sees it: its own new parts, else published."""
+        return self.store.load(self.parts(table), schema)
 
+    def _warehouse_table(self, name: str) -> DataFrame:
+        return self.current(name, SPECS[name].warehouse_schema())
+
+    def counted(self, step: str, parts: tuple[Part, ...], schema: T.StructType) -> None:
+        """Row count of a step, from the files it wrote."""
+        self.rows.append((step, self.store.load(parts, schema).count()))
+
+    # -------------------------------------------------------------- steps
     def warehouse(self, stage_root: str) -> None:
         for name in self.opts.tables:
-            spec = SPECS[name]
-            stage = read_stage(self.spark, delta_path(stage_root, name, self.ctx.batch_date), spec,
-                               empty_text=self.opts.empty_text)
-            target = self.current(name, spec.warehouse_schema())
-            nxt = upsert(target, stage, spec, self.ctx)
-            # Upsert and reference steps form one plan and the table is
-            # written once per batch. Parents are earlier tables already
-            # written this batch, or (self reference) this same plan.
-            for ckey, parent, pkey, pid, col in REFS.get(name, []):
-                par = nxt if parent == name else self.current(parent, SPECS[parent].warehouse_schema())
-                only = (touched_or_unresolved(col, self.ctx.no_col())
-                        if self.opts.ref_scope == "touched" else None)
-                nxt = resolve_ref(nxt, par, ckey, pkey, pid, col, only)
-            self.write(name, nxt)
+            self._load_table(SPECS[name], stage_root)
+
+    def _load_table(self, spec: TableSpec, stage_root: str) -> None:
+        name, opts, schema = spec.name, self.opts, spec.warehouse_schema()
+        stage = read_stage(self.spark, delta_path(stage_root, name, self.ctx.batch_date), spec,
+                           empty_text=opts.empty_text, widths=opts.widths.get(name),
+                           stage_format=opts.stage_format, missing=opts.missing_stage)
+        stage = write_through(stage, f"stage-{name}")  # the delta is parsed once
+        self.rows.append((f"stage {name}", stage.count()))
+        count = opts.buckets.get(name, 1)
+        keys = [spec.wh(k) for k in spec.insert_keys]
+        # Buckets that the delta mentions (at most one row each) or that
+        # wait for a parent.
+        asked = {r[0] for r in stage.select(_bucket(list(spec.insert_keys), count)).distinct().collect()}
+        old = self.parts(name)
+        bucketed = all(p.value is not None and p.value.startswith(f"{count}-") for p in old)
+        # Rows that were not written by a batch get a full pass, too: their
+        # references may never have been resolved.
+        every = not bucketed or opts.ref_scope == "all"
+        touched = tuple(p for p in old if every or p.value in asked or p.open)
+        kept = tuple(p for p in old if p not in touched)
+        if not touched and not asked:
+            self.pending[name] = old
+            self.rows.append((f"warehouse {name}", 0))
+            return
+        target = self.store.load(touched, schema)
+        start = max_id(self.store.load(old, schema), spec.id_col) if spec.id_col else 0
+        nxt = upsert(target, stage, spec, self.ctx, start)
+        # Upsert and reference steps form one plan and the table is written
+        # once per batch. Parents are earlier tables already written this
+        # batch, or (self reference) this same plan and the kept parts.
+        for ckey, parent, pkey, pid, col in REFS.get(name, []):
+            par = (nxt.unionByName(self.store.load(kept, schema)) if kept else nxt) if parent == name \
+                else self._warehouse_table(parent)
+            only = None if every else touched_or_unresolved(col, self.ctx.no_col())
+            nxt = resolve_ref(nxt, par, ckey, pkey, pid, col, only)
+        new = self.store.write_parts(name, nxt, _bucket(keys, count), _unresolved(spec))
+        self.pending[name] = kept + new
+        self.counted(f"warehouse {name}", new, schema)
 
     def histories(self) -> None:
         for table, (dim, key, tracked) in HISTORIES.items():
-            hist = self.current(table, history_schema(key, tracked))
-            d = self.current(dim, SPECS[dim].warehouse_schema())
-            self.write(table, scd2(hist, d, key, tracked, self.ctx, self.opts.null_safe_scd2))
+            schema, old = history_schema(key, tracked), self.parts(table)
+            if old and self.parts(dim) == self.base.tables.get(dim, ()):
+                continue  # the dimension did not change
+            mixed = tuple(p for p in old if p.value not in (ACTIVE, CLOSED))  # loaded from elsewhere
+            active = self.store.load(tuple(p for p in old if p.value == ACTIVE) + mixed, schema)
+            closed = tuple(p for p in old if p.value == CLOSED)
+            is_active = F.coalesce(F.col("dw_active_record_ind") == 1, F.lit(False))
+            nxt = scd2_active(active, self._warehouse_table(dim), key, tracked, self.ctx, self.opts.null_safe_scd2)
+            if mixed:
+                nxt = nxt.unionByName(self.store.load(mixed, schema).where(~is_active))
+            new = self.store.write_parts(table, nxt, F.when(is_active, ACTIVE).otherwise(CLOSED))
+            self.pending[table] = closed + new
+            self.counted(f"history {table}", new, schema)
 
     def summaries(self) -> None:
-        w = {n: self.current(n, SPECS[n].warehouse_schema()) for n in
-             ("customers", "orders", "orderdetails", "products", "payments")}
+        w = {n: self._warehouse_table(n) for n in ("customers", "orders", "orderdetails", "products", "payments")}
         dc = D.daily_customer_summary(w["customers"], w["orders"], w["orderdetails"], w["products"],
                                       w["payments"], self.ctx, self.opts.additive, self.opts.new_customer)
         dp = D.daily_product_summary(w["orders"], w["orderdetails"], w["products"], self.ctx)
         for table, new, cols in (("daily_customer_summary", dc, D.CUSTOMER_COLUMNS),
                                  ("daily_product_summary", dp, D.PRODUCT_COLUMNS)):
-            schema = _schema(cols)
-            if self.opts.daily_write == "append":
-                self.pending[table] = self.facts.append(table, new)
-            else:  # replace the rows of the dates this batch produced
-                old = self.current_daily(table, schema)
-                keep = old.join(new.select("summary_date").distinct(), "summary_date", "left_anti")
-                self.write(table, keep.unionByName(new))
+            self._add_daily(table, new, _schema(cols))
         for table, daily, spec in (("monthly_customer_summary", "daily_customer_summary", M.CUSTOMER_ROLLUP),
                                    ("monthly_product_summary", "daily_product_summary", M.PRODUCT_ROLLUP)):
             cols = D.CUSTOMER_COLUMNS if daily.startswith("daily_customer") else D.PRODUCT_COLUMNS
-            dly = self.current_daily(daily, _schema(cols))
-            mon = self.current(table, M.monthly_schema(spec))
-            self.write(table, M.monthly_rollup(mon, dly, spec, self.ctx, self.opts.monthly_mode,
-                                               self.opts.null_safe_keys))
-
-    def current_daily(self, table: str, schema) -> DataFrame:
-        if self.opts.daily_write == "append":
-            v = self.pending.get(table, self.store.current_version(table))
-            if v is None:
-                return self.spark.createDataFrame([], schema)
-            df = self.spark.read.parquet(f"{self.store.root}/{table}")
-            return df.where(F.col("v") <= v).select(*schema.fieldNames())
-        return self.current(table, schema)
-
-    def publish(self) -> None:
-        for table, v in self.pending.items():
-            self.store.publish(table, v)
-        self.pending.clear()
-
-
-def _schema(cols):
-    from pyspark.sql import types as T
-    return T.StructType([T.StructField(c, t, True) for c, t in cols])
+            self._roll_up(table, self.current(daily, _schema(cols)), spec)
+
+    def _add_daily(self, table: str, new: DataFrame, schema: T.StructType) -> None:
+        """Daily rows by date. Both write modes keep this layout and differ
+        only in whether parts of the same dates stay."""
+        by_date = F.coalesce(F.col("summary_date").cast("string"), F.lit("none"))
+        old = self.parts(table)
+        written = self.store.write_parts(table, new, by_date)
+        if self.opts.daily_write == "replace_dates":
+            dates = {p.value for p in written}
+            undated = tuple(p for p in old if p.value is None)  # loaded without dates
+            if undated:
+                rest = self.store.load(undated, schema).where(~by_date.isin(*dates)) if dates else None
+                again = self.store.write_parts(table, rest, by_date) if rest is not None else undated
+                old = tuple(p for p in old if p.value is not None) + again
+            old = tuple(p for p in old if p.value not in dates)
+        self.pending[table] = old + written
+        self.counted(f"daily {table}", written, schema)
+
+    def _roll_up(self, table: str, daily: DataFrame, spec: M.RollupSpec) -> None:
+        """Monthly rows by month; only months that get or change rows are
+        written."""
+        schema, old, opts = M.monthly_schema(spec), self.parts(table), self.opts
+        by_month = F.coalesce(F.col(M.MONTH).cast("string"), F.lit("none"))
+        monthly = self.store.load(old, schema)
+        if opts.monthly_mode == "recompute":
+            again = write_through(M.recomputed_pairs(monthly, daily, spec, self.ctx), "monthly_again")
+            months = {r[0] for r in again.select(by_month).distinct().collect()}  # one row a month
+        else:
+            delta = daily.where(on_or_after("summary_date", self.ctx.date_col()))
+            months = {r[0] for r in delta.select(month_start("summary_date").cast("string")).distinct().collect()}
+        touched = tuple(p for p in old if p.value is None or p.value in months)
+        kept = tuple(p for p in old if p not in touched)
+        part = self.store.load(touched, schema)
+        if opts.monthly_mode == "recompute":
+            pairs = again.select(F.col(M.MONTH).alias("_t_month"), F.col(spec.key).alias("_t_key"))
+            rest = part.join(pairs, (F.col(M.MONTH) == F.col("_t_month"))
+                             & F.col(spec.key).eqNullSafe(F.col("_t_key")), "left_anti")
+            nxt = rest.unionByName(again)
+        else:
+            nxt = M.monthly_update(part, daily, spec, self.ctx, opts.null_safe_keys).unionByName(
+                M.monthly_insert(monthly, daily, spec, self.ctx, opts.null_safe_keys))
+        written = self.store.write_parts(table, nxt, by_month)
+        self.pending[table] = kept + written
+        self.counted(f"monthly {table}", written, schema)
+
+    def publish(self) -> Commit:
+        """All tables of the batch become visible together."""
+        return self.store.commit(self.pending, self.base)
+
+
+class BatchLog:
+    """Append-only batch log in a store of its own, so that logging does
+    not stand between a batch's start and its commit."""
+
+    def __init__(self, store: TableStore):
+        self.store = TableStore(store.spark, f"{store.root}/_log")
+
+    def _append(self, table: str, make: Callable[[int], DataFrame]) -> None:
+        """``make`` gets the number of earlier entries: the next sequence."""
+        for _ in range(20):  # another batch may log at the same time
+            base = self.store.begin()
+            old = base.tables.get(table, ())
+            try:
+                self.store.commit({table: old + self.store.write(table, make(len(old) + 1))}, base)
+                return
+            except ConcurrentCommit:
+                continue
+        raise ConcurrentCommit("the batch log is busy")
+
+    def event(self, ctx: BatchContext, event: str, at: dt.datetime) -> None:
+        self._append(EVENTS, lambda seq: log_event(self.store.spark, ctx.batch_no, ctx.batch_date, event, at, seq))
+
+    def steps(self, ctx: BatchContext, rows: list[tuple[str, int]], at: dt.datetime) -> None:
+        if rows:
+            self._append(STEPS, lambda seq: log_step(self.store.spark, ctx.batch_no, rows, at, seq))
+
+    def events(self) -> DataFrame:
+        return self.store.read(EVENTS, EVENT_SCHEMA)
+
+    def step_rows(self) -> DataFrame:
+        return self.store.read(STEPS, STEP_SCHEMA)
 
 
 def run_batch(spark: SparkSession, store: TableStore, ctx: BatchContext, stage_root: str,
-              opts: BatchOptions | None = None, clock=dt.datetime.now) -> DataFrame:
-    """Run one batch end to end; returns the batch log state."""
-    log = AppendLog(store)
-    events = lambda: log.read("batch_log_events", EVENT_SCHEMA)
-    seq = [0]
-
-    def emit(event: str) -> None:
-        seq[0] += 1
-        v = log.append("batch_log_events",
-                       log_event(spark, ctx.batch_no, ctx.batch_date, event, clock(), seq[0]))
-        store.publish("batch_log_events", v)
-
-    emit(RUNNING)
-    batch = Batch(spark, store, ctx, opts)
+              opts: BatchOptions | None = None, clock=dt.datetime.now,
+              sources: Callable[[], dict[str, DataFrame]] | None = None) -> DataFrame:
+    """Run one batch end to end; returns the batch log state. With
+    ``sources`` the deltas are extracted first, inside the logged batch."""
+    log = BatchLog(store)
+    log.event(ctx, RUNNING, clock())
     try:
+        batch = Batch(spark, store, ctx, opts)
+        if sources is not None:
+            extract_deltas(sources(), stage_root, ctx, batch.opts.stage_format)
         batch.warehouse(stage_root)
         batch.histories()
         batch.summaries()
+        log.steps(ctx, batch.rows, clock())
         batch.publish()
     except Exception:
-        emit(FAILED)
+        log.event(ctx, FAILED, clock())
         raise
-    emit(COMPLETED)
-    return batch_state(events())
+    log.event(ctx, COMPLETED, clock())
+    return batch_state(log.events())

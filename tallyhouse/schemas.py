@@ -198,11 +198,5 @@ def history_schema(key: str, tracked: str, tracked_type=MONEY) -> T.StructType:
     return T.StructType([T.StructField(c, t, True) for c, t in cols])
 
 
-BATCH_LOG_SCHEMA = T.StructType([
-    T.StructField("etl_batch_no", INT), T.StructField("etl_batch_date", DATE),
-    T.StructField("etl_batch_status", STR), T.StructField("etl_batch_start_time", TS),
-    T.StructField("etl_batch_end_time", TS),
-])
-
 CONTROL_SCHEMA = T.StructType([T.StructField("etl_batch_no", INT),
                                T.StructField("etl_batch_date", DATE)])

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.context import BatchContext, latest_batch, snapshot_name
@@ -27,12 +28,16 @@ def test_watermark_is_inclusive(spark):
 
 def test_empty_and_missing_delta(spark, scratch):
     # Q2: an empty delta still writes a folder that reads as 0 rows; a
-    # missing folder reads as an empty stage instead of failing.
+    # missing folder means that the extract did not run: an error unless
+    # asked for.
     empty = spark.createDataFrame([], PRODUCTLINES.stage_schema())
     path = write_delta_csv(empty, scratch, "productlines", CTX.batch_date)
     assert path.endswith("PRODUCTLINES/2024-03-10")
     assert read_stage(spark, path, PRODUCTLINES).count() == 0
-    assert read_stage(spark, delta_path(scratch, "nothing", CTX.batch_date), PRODUCTLINES).count() == 0
+    nothing = delta_path(scratch, "nothing", CTX.batch_date)
+    assert read_stage(spark, nothing, PRODUCTLINES, missing="empty").count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_stage(spark, nothing, PRODUCTLINES)
 
 
 def test_csv_text_round_trip(spark, scratch):
@@ -43,12 +48,12 @@ def test_csv_text_round_trip(spark, scratch):
             for i, t in enumerate(texts)]
     src = spark.createDataFrame(data, PRODUCTLINES.stage_schema()).repartition(3)
     path = write_delta_csv(src, scratch, "productlines", CTX.batch_date)
-    back = read_stage(spark, path, PRODUCTLINES)
+    back = read_stage(spark, path, PRODUCTLINES, empty_text="null")
     got = dict(rows(back, "productLine", "textDescription"))
     want = {f"k{i}": (None if t == "" else t) for i, t in enumerate(texts)}
     assert got == want
     assert {r["create_timestamp"] for r in back.collect()} == {ts("2024-01-01 10:11:12.123456")}
-    filled = dict(rows(read_stage(spark, path, PRODUCTLINES, empty_text="empty"),
+    filled = dict(rows(read_stage(spark, path, PRODUCTLINES),
                        "productLine", "textDescription"))
     assert filled["k5"] == "" and filled["k4"] == ""
 
@@ -56,6 +61,13 @@ def test_csv_text_round_trip(spark, scratch):
 def test_truncate_columns(spark):
     df = spark.createDataFrame([("abcdefgh", "xy")], "customerName string, city string")
     assert truncate_columns(df, {"customerName": 3}).collect()[0] == ("abc", "xy")
+    # widths count bytes and never cut a character
+    texts = ["ééééé", "aé", "日本語", "😀x", "", None, "abc", "a😀"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for width in range(0, 9):
+        got = [r[0] for r in truncate_columns(df, {"t": width}).collect()]
+        want = [None if t is None else max((t[:i] for i in range(len(t) + 1) if len(t[:i].encode()) <= width), key=len) for t in texts]
+        assert got == want, width
 
 
 def test_parse_auto(spark):
@@ -66,6 +78,14 @@ def test_parse_auto(spark):
                    ts("2024-03-10 00:00:00"), None]
     days = [r[0] for r in df.select(parse_auto_date(F.col("t"))).collect()]
     assert days == [d("2024-03-10")] * 4 + [None]
+    more = {"2005-06-09T10:11:12.123": "2005-06-09 10:11:12.123", "2005-06-09T10:11:12Z": "2005-06-09 10:11:12",
+            "6/9/2005": "2005-06-09 00:00:00", "2005-06-09 10:11": "2005-06-09 10:11:00", "2005-06-09 10:11:12+02:00": "2005-06-09 10:11:12",
+            "2005-06-09 10:11:12.12345678": "2005-06-09 10:11:12.123456", "2005-6-9": "2005-06-09 00:00:00", "20050609": "2005-06-09 00:00:00",
+            "20050609101112": "2005-06-09 10:11:12", "9-Jun-2005": "2005-06-09 00:00:00", " 6/9/2005 10:11 ": "2005-06-09 10:11:00",
+            "2005": None, "2005-13-01": None, "10:11": None}
+    df = spark.createDataFrame([(t,) for t in more], "t string")
+    got = [tuple(r) for r in df.select("t", parse_auto_timestamp(F.col("t")), parse_auto_date(F.col("t"))).collect()]
+    assert got == [(t, ts(x), ts(x).date() if x else None) for t, x in more.items()]
 
 
 def test_control_and_snapshot(spark):

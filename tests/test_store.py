@@ -1,0 +1,170 @@
+"""The table store and the batch commit: nothing is lost, nothing is half
+published, and only what a delta touches is written."""
+
+import datetime as dt
+import os
+
+import pytest
+
+from tallyhouse.context import BatchContext
+from tallyhouse.operators.surrogate import assign_surrogate_keys
+from tallyhouse.plans import retail
+from tallyhouse.plans.retail import BatchLog, BatchOptions, run_batch
+from tallyhouse.schemas import SPECS
+from tallyhouse.sources.csv_stage import write_delta_csv
+from tallyhouse.sources.store import ConcurrentCommit, Part, TableStore
+
+from helpers import rows, ts
+
+SCHEMA = "id long, x string"
+
+
+def _df(spark, *ids):
+    return spark.createDataFrame([(i, f"x{i}") for i in ids], SCHEMA)
+
+
+def test_commits_are_atomic_and_kept(spark, scratch):
+    store = TableStore(spark, f"{scratch}/wh")
+    a, b = store.write("a", _df(spark, 1, 2)), store.write("b", _df(spark, 3))
+    assert not store.exists("a")  # written, not published
+    first = store.commit({"a": a, "b": b}, store.head())
+    assert rows(store.read("a"), "id") == [(1,), (2,)]
+    second = store.commit({"a": a + store.write("a", _df(spark, 4))}, first)
+    assert store.read("a").count() == 3 and store.read("b").count() == 1
+    assert store.read("a", commit=first).count() == 2  # an older commit is still whole
+    assert store.head() == second
+
+
+def test_a_dying_writer_leaves_the_previous_commit(spark, scratch):
+    root = f"{scratch}/wh"
+    store = TableStore(spark, root)
+    head = store.publish("a", store.write("a", _df(spark, 1)))
+    store.write("a", _df(spark, 2))  # dies after writing data
+    assert store.head() == head
+    for text in ("", '{"tables": {"a": [', '{"tables": {"a": [{"nope": 1}]}}'):  # dies while writing the commit
+        n = max(int(x[:-5]) for x in os.listdir(f"{root}/_commits") if x.endswith(".json")) + 1
+        with open(f"{root}/_commits/{n:012d}.json", "w") as f:
+            f.write(text)
+        assert store.head() == head and rows(store.read("a"), "id") == [(1,)]
+    later = store.commit({"a": head.tables["a"] + store.write("a", _df(spark, 3))}, store.head())
+    assert rows(store.read("a"), "id") == [(1,), (3,)] and later.number > head.number + 3
+
+
+def test_tables_without_a_commit_are_an_error(spark, scratch):
+    root = f"{scratch}/wh"
+    _df(spark, 1).write.parquet(f"{root}/a/lost")
+    with pytest.raises(LookupError):
+        TableStore(spark, root).head()
+
+
+def test_of_two_writers_one_fails(spark, scratch):
+    store = TableStore(spark, f"{scratch}/wh")
+    base = store.begin()
+    a, b = store.write("a", _df(spark, 1)), store.write("a", _df(spark, 2))
+    store.commit({"a": a}, base)
+    with pytest.raises(ConcurrentCommit):
+        store.commit({"a": b}, base)
+    assert rows(store.read("a"), "id") == [(1,)]
+
+
+def test_vacuum_keeps_what_kept_commits_name(spark, scratch):
+    store = TableStore(spark, f"{scratch}/wh")
+    for i in range(4):
+        store.publish("a", store.write("a", _df(spark, i)))
+    store.publish("b", store.write("b", _df(spark, 9)))
+    removed = store.vacuum(keep=2)
+    assert len(removed) == 3 and store.vacuum(keep=2) == []
+    assert rows(store.read("a"), "id") == [(3,)] and store.read("b").count() == 1
+
+
+def _office(code, terr, upd):
+    return (code, f"city {code}", None, None, None, None, "X", None, terr, ts("2024-01-01 00:00:00"), ts(upd))
+
+
+def _customer(no, credit, upd):
+    return (no, f"name {no}", "L", None, None, None, None, None, None, None, None, None, credit,
+            ts("2024-01-01 00:00:00"), ts(upd))
+
+
+TABLES = ("offices", "customers")
+
+
+def _batch(spark, store, scratch, n, data, opts=None, day=1):
+    ctx = BatchContext(n, dt.date(2024, 1, day), ts(f"2024-01-0{day} 05:00:00"))
+    root = f"{scratch}/stage{n}"
+    for t in TABLES:
+        write_delta_csv(spark.createDataFrame(data.get(t, []), SPECS[t].stage_schema()), root, t, ctx.batch_date)
+    return run_batch(spark, store, ctx, root, opts or BatchOptions(tables=TABLES), clock=lambda: ctx.run_ts)
+
+
+FIRST = {"offices": [_office("1", "A", "2024-01-01 01:00:00")],
+         "customers": [_customer(i, None, "2024-01-01 01:00:00") for i in range(100)]}
+
+
+def test_publish_error_publishes_nothing_and_a_rerun_is_clean(spark, scratch, monkeypatch):
+    store = TableStore(spark, f"{scratch}/wh")
+    step = retail.Batch._roll_up
+
+    def broken(self, table, daily, spec):
+        if table == "monthly_product_summary":
+            raise RuntimeError("lost")
+        return step(self, table, daily, spec)
+
+    for method, bad in (("_roll_up", broken), ("publish", lambda self: 1 / 0)):
+        with monkeypatch.context() as m:
+            m.setattr(retail.Batch, method, bad)
+            with pytest.raises(Exception):
+                _batch(spark, store, scratch, 1, FIRST)
+        assert store.head().tables == {}
+    state = _batch(spark, store, scratch, 1, FIRST)
+    # the log's order is its own sequence: equal times do not matter
+    assert [r["etl_batch_status"] for r in state.collect()] == ["C"]
+    assert rows(BatchLog(store).events(), "seq", "event") == [(1, "R"), (2, "F"), (3, "R"), (4, "F"), (5, "R"), (6, "C")]
+    assert store.read("daily_customer_summary").count() == 100
+
+
+def test_a_small_delta_rewrites_its_bucket_alone(spark, scratch):
+    store = TableStore(spark, f"{scratch}/wh")
+    opts = BatchOptions(tables=TABLES, buckets={"customers": 16})
+    _batch(spark, store, scratch, 1, FIRST, opts)
+    before = store.head().tables
+    assert len(before["customers"]) == 16
+    _batch(spark, store, scratch, 2, {"customers": [_customer(7, None, "2024-01-02 01:00:00")]}, opts, day=2)
+    after = store.head().tables
+    assert len(set(after["customers"]) - set(before["customers"])) == 1 and len(after["customers"]) == 16
+    assert after["offices"] == before["offices"]
+    got = store.read("customers")
+    assert got.count() == 100 and got.where("etl_batch_no = 2").count() == 1
+    # a new key continues the ids of the whole table, not of its bucket
+    _batch(spark, store, scratch, 3, {"customers": [_customer(500, None, "2024-01-03 01:00:00")]}, opts, day=3)
+    assert rows(store.read("customers").where("src_customerNumber = 500"), "dw_customer_id") == [(101,)]
+    # other bucket counts: the table is written anew, with the same rows
+    _batch(spark, store, scratch, 4, {"customers": [_customer(7, None, "2024-01-04 01:00:00")]},
+           BatchOptions(tables=TABLES, buckets={"customers": 4}), day=4)
+    assert len(store.head().tables["customers"]) == 4 and store.read("customers").count() == 101
+
+
+def test_closed_history_rows_are_not_rewritten(spark, scratch):
+    from decimal import Decimal
+    store = TableStore(spark, f"{scratch}/wh")
+    for n, credit in enumerate((1, 2, 3), 1):
+        data = {"customers": [_customer(1, Decimal(credit), f"2024-01-0{n} 01:00:00")]}
+        _batch(spark, store, scratch, n, data, day=n)
+    parts = store.head().tables["customer_history"]
+    assert sorted(p.value for p in parts) == ["active", "closed", "closed"]
+    assert store.read("customer_history").count() == 3
+    _batch(spark, store, scratch, 4, {}, day=4)
+    assert store.head().tables["customer_history"] == parts  # the dimension did not change
+
+
+def test_ids_do_not_depend_on_partitions_even_for_repeated_keys(spark):
+    df = spark.createDataFrame([(i % 37, f"v{i % 91}", i) for i in range(400)], "k long, v string, w long")
+    one = rows(assign_surrogate_keys(df, ["k"], "sk", 5, num_partitions=1), "sk", "k", "v", "w")
+    assert [r[0] for r in sorted(one)] == list(range(6, 406))
+    for n in (None, 3, 8):
+        assert rows(assign_surrogate_keys(df.repartition(4), ["k"], "sk", 5, num_partitions=n), "sk", "k", "v", "w") == one
+    assert assign_surrogate_keys(df.limit(0), ["k"], "sk").count() == 0
+
+
+def test_parts_are_plain_values():
+    assert Part("a/b") == Part("a/b", None, False)
