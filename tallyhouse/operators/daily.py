@@ -12,6 +12,8 @@ or day is pre-reduced in every map task before the shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,48 +93,62 @@ def new_customers(customers: DataFrame, ctx: BatchContext) -> DataFrame:
     }))
 
 
+LINE_BRANCHES = (ORDERED, CANCEL, SHIP, OPEN)
+
+
+def _line_conditions(b: Column) -> dict[str, tuple[str, Column]]:
+    """Date column and order condition of each line branch."""
+    return {
+        ORDERED: ("orderDate", on_or_after("orderDate", b)),
+        CANCEL: ("cancelledDate", on_or_after("cancelledDate", b) & (F.col("_st") == CANCELLED)),
+        SHIP: ("shippedDate", on_or_after("shippedDate", b) & (F.col("_st") == SHIPPED)),
+        # NOT IN: a NULL status is excluded, as in SQL.
+        OPEN: ("orderDate", on_or_after("orderDate", b) & ~F.col("_st").isin(CANCELLED, SHIPPED)),
+    }
+
+
+def _spread_null(key: str, other: str) -> Column:
+    """A join key whose NULLs, which match nothing, do not meet in one
+    partition. Surrogate ids are positive."""
+    return F.coalesce(F.col(key), -1 - F.pmod(F.xxhash64(other), F.lit(4096)))
+
+
 def _line_events(orders: DataFrame, orderdetails: DataFrame, products: DataFrame,
-                 ctx: BatchContext) -> DataFrame:
+                 ctx: BatchContext, branches: tuple[str, ...] = LINE_BRANCHES) -> DataFrame:
     """Order lines exploded into (branch, summary_date) events.
 
     Joins on surrogate ids: lines to orders inner, products left (only the
-    'ordered' branch requires a product, as its inner join does).
+    'ordered' branch requires a product, as its inner join does, so other
+    branches alone do without).
     """
-    b = ctx.date_col()
-    st = norm_text("status")
+    conditions = {k: v for k, v in _line_conditions(ctx.date_col()).items() if k in branches}
     o = orders.select(F.col("dw_order_id").alias("_o_id"), "dw_customer_id", "orderDate",
-                      "cancelledDate", "shippedDate", st.alias("_st"),
+                      "cancelledDate", "shippedDate", norm_text("status").alias("_st"),
                       F.col("src_create_timestamp").alias("_o_cts"),
                       F.col("src_update_timestamp").alias("_o_uts"))
-    any_branch = (on_or_after("orderDate", b)
-                  | (on_or_after("cancelledDate", b) & (F.col("_st") == CANCELLED))
-                  | (on_or_after("shippedDate", b) & (F.col("_st") == SHIPPED)))
+    any_branch = reduce(lambda x, y: x | y, [c for _, c in conditions.values()])
     # Orders with a branch on/after the batch date: a small slice of the
     # history, broadcast once measured so order lines are not shuffled.
     o = broadcast_if_measured_small(o.where(any_branch), "batch_orders")
     od = orderdetails.select("dw_order_id", "dw_product_id", "quantityOrdered", "priceEach",
                              "etl_batch_no", "etl_batch_date")
-    p = broadcast_if_small(products.select(F.col("dw_product_id").alias("_p_id"), "MSRP")
-                           .where(F.col("_p_id").isNotNull()))
-    lines = (od.join(o, F.col("dw_order_id") == F.col("_o_id"), "inner")
-             .join(p, F.col("dw_product_id") == F.col("_p_id"), "left"))
-
-    def ev(name, day, cond):
-        return F.when(cond, F.struct(F.lit(name).alias("br"), F.col(day).cast("date").alias("day")))
-
-    events = F.array(
-        ev(ORDERED, "orderDate", on_or_after("orderDate", b) & F.col("_p_id").isNotNull()),
-        ev(CANCEL, "cancelledDate", on_or_after("cancelledDate", b) & (F.col("_st") == CANCELLED)),
-        ev(SHIP, "shippedDate", on_or_after("shippedDate", b) & (F.col("_st") == SHIPPED)),
-        # NOT IN: a NULL status is excluded, as in SQL.
-        ev(OPEN, "orderDate", on_or_after("orderDate", b) & ~F.col("_st").isin(CANCELLED, SHIPPED)),
-    )
+    lines = od.join(o, F.col("dw_order_id") == F.col("_o_id"), "inner")
+    if ORDERED in branches:
+        p = broadcast_if_small(products.select(F.col("dw_product_id").alias("_p_id"), "MSRP")
+                               .where(F.col("_p_id").isNotNull()))
+        lines = lines.join(p, _spread_null("dw_product_id", "dw_order_id") == F.col("_p_id"), "left")
+        day, cond = conditions[ORDERED]
+        conditions[ORDERED] = day, cond & F.col("_p_id").isNotNull()
+    else:
+        lines = lines.withColumn("MSRP", F.lit(None).cast(products.schema["MSRP"].dataType))
+    events = F.array(*[F.when(cond, F.struct(F.lit(name).alias("br"), F.col(day).cast("date").alias("day")))
+                       for name, (day, cond) in conditions.items()])
     return (lines.select("*", F.explode(events).alias("_ev")).where(F.col("_ev").isNotNull())
             .select("*", F.col("_ev.br").alias("br"), F.col("_ev.day").alias("summary_date")))
 
 
-def _line_inner_groups(orders, orderdetails, products, ctx) -> DataFrame:
-    ev = _line_events(orders, orderdetails, products, ctx)
+def _line_inner_groups(orders, orderdetails, products, ctx, branches=LINE_BRANCHES) -> DataFrame:
+    ev = _line_events(orders, orderdetails, products, ctx, branches)
     is_ordered = F.col("br") == ORDERED
     item = F.when(is_ordered, F.col("dw_product_id")).otherwise(F.col("dw_order_id"))
     amount = F.when(is_ordered, F.col("quantityOrdered") * F.col("MSRP")) \
@@ -166,14 +182,15 @@ def _line_inner_groups(orders, orderdetails, products, ctx) -> DataFrame:
 
 def line_branch(name: str, orders, orderdetails, products, ctx) -> DataFrame:
     """D2 (ordered), D3 (cancelled), D4 (shipped), D6 (open): padded rows."""
-    g = _line_inner_groups(orders, orderdetails, products, ctx)
-    return g.where(F.col("br") == name).drop("br")
+    return _line_inner_groups(orders, orderdetails, products, ctx, (name,)).drop("br")
 
 
 def payment_branch(payments: DataFrame, ctx: BatchContext) -> DataFrame:
-    """Payments on/after the batch date joined to D0 (inner)."""
-    fp = broadcast_if_small(first_payment(payments).where(F.col("dw_customer_id").isNotNull()))
+    """Payments on/after the batch date joined to D0 (inner). Only the
+    history of customers who pay in this batch is aggregated."""
     p = payments.where(on_or_after("paymentDate", ctx.date_col()) & F.col("dw_customer_id").isNotNull())
+    payers = broadcast_if_measured_small(p.select("dw_customer_id").distinct(), "payers")
+    fp = broadcast_if_small(first_payment(payments.join(payers, "dw_customer_id", "left_semi")))
     g = p.join(fp, "dw_customer_id", "inner") \
         .groupBy("paymentDate", "dw_customer_id", "first_payment_date", "src_create_timestamp",
                  "src_update_timestamp", "etl_batch_no", "etl_batch_date") \

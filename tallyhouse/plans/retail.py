@@ -30,7 +30,7 @@ from tallyhouse.operators.scd2 import scd2_active
 from tallyhouse.operators.surrogate import max_id
 from tallyhouse.operators.upsert import upsert
 from tallyhouse.schemas import LOAD_ORDER, SPECS, TableSpec, history_schema
-from tallyhouse.session import configure, write_through
+from tallyhouse.session import configure, scratch_folder, write_through
 from tallyhouse.sources.csv_stage import delta_path, read_stage, write_delta
 from tallyhouse.sources.extract import delta_extract
 from tallyhouse.sources.store import Commit, ConcurrentCommit, Part, TableStore
@@ -304,9 +304,10 @@ def run_batch(spark: SparkSession, store: TableStore, ctx: BatchContext, stage_r
         batch = Batch(spark, store, ctx, opts)
         if sources is not None:
             extract_deltas(sources(), stage_root, ctx, batch.opts.stage_format)
-        batch.warehouse(stage_root)
-        batch.histories()
-        batch.summaries()
+        with scratch_folder(spark):  # steps read the store, not each other's scratch
+            batch.warehouse(stage_root)
+            batch.histories()
+            batch.summaries()
         log.steps(ctx, batch.rows, clock())
         batch.publish()
     except Exception:

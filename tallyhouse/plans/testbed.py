@@ -153,8 +153,11 @@ class Testbed:
         p = self.table("part").select("p_type").distinct()
         return p.select(
             F.col("p_type").alias("productLine"), F.lower("p_type").alias("textDescription"),
-            _ts_of_day(_d("1994-01-01")).alias("create_timestamp"),
-            _ts_of_day(_plus_days(_d("1997-01-01"), F.length("p_type") * 100)).alias("update_timestamp"))
+            # lines of an even name length are new in this batch
+            _ts_of_day(F.when(F.length("p_type") % 2 == 0, _d("1999-02-01")).otherwise(_d("1994-01-01")))
+             .alias("create_timestamp"),
+            _ts_of_day(F.when(F.length("p_type") % 2 == 0, _d("1999-02-02"))
+                       .otherwise(_plus_days(_d("1997-01-01"), F.length("p_type") * 100))).alias("update_timestamp"))
 
     def _src_products(self) -> DataFrame:
         p = self.table("part")
@@ -182,10 +185,11 @@ class Testbed:
         return o.select(
             k.cast("int").alias("orderNumber"), od.alias("orderDate"),
             _plus_days(od, F.lit(7)).alias("requiredDate"), shipped.alias("shippedDate"),
-            F.when(st == "F", " Shipped").when(st == "P", "cancelled ").otherwise("In Process")
-             .alias("status"),
+            # some orders have no status, an empty one, or no customer
+            F.when((st == "O") & (k % 40 == 3), None).when((st == "O") & (k % 40 == 5), "")
+             .when(st == "F", " Shipped").when(st == "P", "cancelled ").otherwise("In Process").alias("status"),
             F.col("o_orderpriority").alias("comments"),
-            F.col("o_custkey").cast("int").alias("customerNumber"),
+            F.when(k % 50 != 7, F.col("o_custkey")).cast("int").alias("customerNumber"),
             _hours(_ts_of_day(od), k % 24).alias("create_timestamp"),
             _hours(_ts_of_day(F.coalesce(shipped, cancelled, od)), k % 24).alias("update_timestamp"),
             cancelled.alias("cancelledDate"))
@@ -363,8 +367,10 @@ class Testbed:
 
     # ------------------------------------------------------------ history
     def prior_history(self, name: str) -> DataFrame:
-        """One active history row per prior dimension row, opened when the
-        row was created, holding its pre-batch value."""
+        """History of the prior dimension rows: an active row opened when
+        the row was created, holding its pre-batch value (none where the id
+        divides by 7), and a closed row of a lower value where it divides
+        by 5. Ids that divide by 11 have only a closed row, to be re-opened."""
         key, tracked = ("dw_customer_id", "creditLimit") if name == "customers" \
             else ("dw_product_id", "MSRP")
         p = self.prior(name)
@@ -376,7 +382,15 @@ class Testbed:
                 "dw_create_timestamp": pc.run_ts_col(), "dw_update_timestamp": pc.run_ts_col(),
                 "create_etl_batch_no": pc.no_col(), "create_etl_batch_date": pc.date_col(),
                 "update_etl_batch_no": F.lit(None), "update_etl_batch_date": F.lit(None)}
-        return p.select(*[vals[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+        def shaped(rows: DataFrame, **other) -> DataFrame:
+            return rows.select(*[{**vals, **other}[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+
+        k = F.col(key)
+        active = shaped(p.where(k % 11 != 0), **{tracked: F.when(k % 7 != 0, F.col(tracked))})
+        closed = shaped(p.where((k % 5 == 0) | (k % 11 == 0)), **{
+            tracked: F.col(tracked) - 10, "effective_to_date": pc.date_col(), "dw_active_record_ind": F.lit(0),
+            "update_etl_batch_no": pc.no_col(), "update_etl_batch_date": pc.date_col()})
+        return active.unionByName(closed)
 
     # ------------------------------------------------------------ summaries
     def daily_customer(self, ctx: BatchContext | None = None, **kw) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,16 @@ def build_local_session(cores: int = 8, shuffle_partitions: int = 8,
     return configure(spark)
 
 
+def _shared(path: str, local: bool) -> str:
+    """A checkpoint folder, unless it is in a machine's temporary folder on
+    a cluster: other machines would not see what is written there."""
+    plain = path.removeprefix("file:").lstrip("/")
+    own = os.environ.get("TMPDIR", "").lstrip("/").rstrip("/")
+    if not local and path.startswith(("file:", "/")) and own and plain.startswith(f"{own}/"):
+        raise RuntimeError(f"spark.checkpoint.dir is this machine's temporary folder: {path}")
+    return path
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
@@ -53,13 +65,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
+    local = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
     if current:
-        return current
+        return _shared(current, local)
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+        return _shared(sc.getCheckpointDir(), local)
+    if not local:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder")
     path = tempfile.mkdtemp(prefix="tallyhouse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
@@ -80,11 +93,31 @@ def write_through(df: DataFrame, label: str = "table") -> DataFrame:
     broadcasts work), column pruning and filter pushdown."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/tallyhouse-tables/{label}-{uuid.uuid4().hex}"
+    folder = _SCRATCH[-1] if _SCRATCH else "tallyhouse-tables"
+    path = f"{root}/{folder}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+# Scratch folders of the batches being run, innermost last.
+_SCRATCH: list[str] = []
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """Within it, ``write_through`` writes to one folder, which is removed
+    at the end: what is read later must have been written elsewhere."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    name = f"tallyhouse-tables/scratch-{uuid.uuid4().hex}"
+    _SCRATCH.append(name)
+    try:
+        yield f"{root}/{name}"
+    finally:
+        _SCRATCH.remove(name)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def estimated_size_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimised plan, if available."""
     try:

@@ -168,3 +168,13 @@ def test_ids_do_not_depend_on_partitions_even_for_repeated_keys(spark):
 
 def test_parts_are_plain_values():
     assert Part("a/b") == Part("a/b", None, False)
+
+
+def test_scratch_of_a_batch_is_removed(spark, scratch):
+    from tallyhouse.session import ensure_checkpoint_dir
+    store = TableStore(spark, f"{scratch}/wh")
+    root = ensure_checkpoint_dir(spark).removeprefix("file:") + "/tallyhouse-tables"
+    before = set(os.listdir(root)) if os.path.exists(root) else set()
+    _batch(spark, store, scratch, 1, FIRST)
+    assert set(os.listdir(root)) - before == set()
+    assert store.read("daily_customer_summary").count() == 100
