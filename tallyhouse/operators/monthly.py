@@ -137,16 +137,11 @@ def monthly_insert(monthly: DataFrame, daily: DataFrame, spec: RollupSpec, ctx:
     """Rows inserted for (month, id) pairs the monthly table lacks.
 
     The daily rows are aggregated first, so the anti join meets one row per
-    pair, on the partitioning that the aggregate left. Pairs of a NULL id
-    match nothing (unless ``null_safe_keys``) and bypass the join."""
+    pair, on the partitioning that the aggregate left. Pairs of a NULL id,
+    one per month by then, match nothing (unless ``null_safe_keys``)."""
     existing = monthly.select(F.col(MONTH).alias("_m_month"), F.col(spec.key).alias("_m_key"))
     match = _key_match(F.col(MONTH), F.col(spec.key), F.col("_m_month"), F.col("_m_key"), null_safe_keys)
-    if null_safe_keys:
-        return _fresh(_aggregate_daily(daily, spec).join(existing, match, "left_anti"), spec, ctx)
-    named = daily.where(F.col(spec.key).isNotNull())
-    absent = _aggregate_daily(named, spec).join(existing, match, "left_anti")
-    nameless = _aggregate_daily(daily.where(F.col(spec.key).isNull()), spec)
-    return _fresh(absent.unionByName(nameless), spec, ctx)
+    return _fresh(_aggregate_daily(daily, spec).join(existing, match, "left_anti"), spec, ctx)
 
 
 def recomputed_pairs(monthly: DataFrame, daily: DataFrame, spec: RollupSpec, ctx: BatchContext) -> DataFrame:

@@ -13,8 +13,9 @@ inputs, and the next snapshot is ``updated(target) UNION inserted``:
 ``upsert`` de-duplicates and writes the delta once, then picks the plan. A
 delta under the broadcast limit is broadcast: the (large) target is
 streamed, its keys once more, and nothing of it is shuffled. A larger
-delta of a table whose two keys agree is joined to the target once, by a
-full outer join that gives both updates and inserts.
+delta of a table whose two keys agree takes one outer join, of which
+Catalyst keeps the target's side for the updates and the stage's side for
+the rows to be numbered.
 """
 
 from __future__ import annotations
@@ -70,7 +71,8 @@ def _updates(target: DataFrame, s: DataFrame, spec: TableSpec, ctx: BatchContext
     return joined.select(*_replaced(target, spec, ctx))
 
 
-def _inserts(target: DataFrame, s: DataFrame, spec: TableSpec, ctx: BatchContext, start_after: int) -> DataFrame:
+def absent_rows(target: DataFrame, s: DataFrame, spec: TableSpec) -> DataFrame:
+    """De-duplicated stage rows whose insert key the target lacks."""
     keys = [spec.wh(k) for k in spec.insert_keys]
     # Target keys that the stage mentions: the target's key columns are
     # streamed through a semi join against the (broadcast, when small)
@@ -79,7 +81,11 @@ def _inserts(target: DataFrame, s: DataFrame, spec: TableSpec, ctx: BatchContext
     tkeys = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
     skeys = broadcast_if_small(s.select(*[F.col(k).alias(f"_s_{k}") for k in keys]))
     hit = tkeys.join(skeys, [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in keys], "left_semi")
-    return _new_rows(s.join(hit, [F.col(k) == F.col(f"_t_{k}") for k in keys], "left_anti"), spec, ctx, start_after)
+    return s.join(hit, [F.col(k) == F.col(f"_t_{k}") for k in keys], "left_anti")
+
+
+def _inserts(target: DataFrame, s: DataFrame, spec: TableSpec, ctx: BatchContext, start_after: int) -> DataFrame:
+    return _new_rows(absent_rows(target, s, spec), spec, ctx, start_after)
 
 
 def _first_free(target: DataFrame, spec: TableSpec, start_after: int | None) -> int:

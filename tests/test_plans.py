@@ -1,5 +1,6 @@
 """Plan shape checks: pushdown, pruning and size-checked broadcasts."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.refs import resolve_ref
@@ -74,7 +75,7 @@ def test_selective_side_is_measured_then_broadcast(spark, scratch):
 
 
 def test_insert_side_streams_target_keys(spark, scratch):
-    from tallyhouse.operators.upsert import upsert_inserts
+    from tallyhouse.operators.upsert import absent_rows, stage_to_warehouse, upsert_inserts
     spark.range(300000).select(
         F.concat(F.lit("L"), F.col("id").cast("string")).alias("productLine"),
         F.lit("t").alias("textDescription"), F.col("id").alias("dw_product_line_id"),
@@ -87,7 +88,85 @@ def test_insert_side_streams_target_keys(spark, scratch):
                                    ("NEW", "y", None, ts("2024-03-10 00:00:00"))], PRODUCTLINES.stage_schema())
     stage = read_stage(spark, write_delta_csv(rows_, scratch, "productlines", CTX.batch_date), PRODUCTLINES)
     ins = upsert_inserts(target, stage, PRODUCTLINES, CTX)
-    plan = _plan(ins)
+    # numbering the new rows cuts the plan; the join stands before it
+    plan = _plan(absent_rows(target, stage_to_warehouse(stage, PRODUCTLINES), PRODUCTLINES))
     assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
     got = [(r["productLine"], r["dw_product_line_id"]) for r in ins.collect()]
     assert got == [("NEW", 300000)]
+
+
+# ---- plans when nothing is small enough to broadcast
+
+@pytest.fixture()
+def no_broadcast(spark):
+    spark.conf.set("spark.tallyhouse.broadcastMaxBytes", "1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.unset("spark.tallyhouse.broadcastMaxBytes")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _final_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def _count(plan, *names):
+    return sum(line.lstrip(" +-:*()0123456789").startswith(names) for line in plan.splitlines())
+
+
+def test_large_upsert_is_one_join_and_one_stage_scan(no_broadcast, scratch):
+    from tallyhouse.operators.upsert import upsert
+    spark = no_broadcast
+    spark.range(3000).select(
+        F.concat(F.lit("L"), F.col("id").cast("string")).alias("productLine"),
+        F.lit("t").alias("textDescription"), F.col("id").alias("dw_product_line_id"),
+        F.lit(ts("2024-01-01 00:00:00")).cast("timestamp_ntz").alias("src_create_timestamp"),
+        F.lit(ts("2024-01-01 00:00:00")).cast("timestamp_ntz").alias("src_update_timestamp"),
+        F.lit(1).alias("etl_batch_no"), F.lit(None).cast("date").alias("etl_batch_date")) \
+        .write.parquet(f"{scratch}/target")
+    target = spark.read.parquet(f"{scratch}/target")
+    data = [(f"L{i}", "new", ts("2024-01-01 00:00:00"), ts("2024-03-10 00:00:00")) for i in range(2990, 3010)] + \
+        [(None, "no key", ts("2024-01-01 00:00:00"), ts("2024-03-10 00:00:00"))]
+    stage = read_stage(spark, write_delta_csv(spark.createDataFrame(data, PRODUCTLINES.stage_schema()), scratch,
+                                              "productlines", CTX.batch_date), PRODUCTLINES, empty_text="null")
+    out = upsert(target, stage, PRODUCTLINES, CTX)
+    plan = _final_plan(out)
+    assert _count(plan, "SortMergeJoin") == 1 and "Scan csv" not in plan
+    got = out.collect()
+    assert len(got) == 3011 and sum(r["textDescription"] == "new" for r in got) == 20
+    fresh = sorted((r["dw_product_line_id"], r["productLine"]) for r in got if r["etl_batch_no"] == CTX.batch_no and r["dw_product_line_id"] >= 3000)
+    assert fresh == [(3000, None), *[(3001 + i, f"L{3000 + i}") for i in range(10)]]
+    # the same rows as the two steps with broadcasts
+    spark.conf.unset("spark.tallyhouse.broadcastMaxBytes")
+    both = upsert(target, stage, PRODUCTLINES, CTX)
+    assert "SortMergeJoin" not in _final_plan(both)
+    assert sorted(map(str, both.collect())) == sorted(map(str, got))
+
+
+def test_history_is_one_join(no_broadcast, scratch):
+    from tallyhouse.operators.scd2 import scd2
+    from tallyhouse.schemas import history_schema
+    spark = no_broadcast
+    schema = history_schema("dw_customer_id", "creditLimit")
+    spark.createDataFrame([], schema).write.parquet(f"{scratch}/h")
+    dim = spark.range(100).select(F.col("id").alias("dw_customer_id"), F.lit(1).cast("decimal(10,2)").alias("creditLimit"))
+    dim.write.parquet(f"{scratch}/d")
+    out = scd2(spark.read.schema(schema).parquet(f"{scratch}/h"), spark.read.parquet(f"{scratch}/d"), "dw_customer_id", "creditLimit", CTX)
+    assert _count(_final_plan(out), "SortMergeJoin", "ShuffledHashJoin", "BroadcastHashJoin") == 1
+    assert out.count() == 100
+
+
+def test_monthly_insert_aggregates_before_the_join(no_broadcast, scratch):
+    from tallyhouse.operators import monthly as M
+    spark = no_broadcast
+    from pyspark.sql import types as T
+    from tallyhouse.operators.daily import PRODUCT_COLUMNS
+    daily_schema = T.StructType([T.StructField(c, t, True) for c, t in PRODUCT_COLUMNS])
+    spark.createDataFrame([], daily_schema).write.parquet(f"{scratch}/daily")
+    spark.createDataFrame([], M.monthly_schema(M.PRODUCT_ROLLUP)).write.parquet(f"{scratch}/monthly")
+    daily = spark.read.parquet(f"{scratch}/daily").where("dw_product_id is not null")
+    monthly = spark.read.parquet(f"{scratch}/monthly")
+    plan = M.monthly_insert(monthly, daily, M.PRODUCT_ROLLUP, CTX)._jdf.queryExecution().executedPlan().toString()
+    assert _count(plan, "Exchange") == 2  # the aggregate's and the monthly side's
+    assert plan.index("SortMergeJoin") < plan.index("HashAggregate")

@@ -146,3 +146,45 @@ def test_batch_stamps_and_late_orders(spark):
     ps = daily_product_summary(o, od, p, CTX)
     assert rows(ps, "summary_date", "etl_batch_no") == [(d("2024-03-12"), 7)]
     assert cs.unionByName(cs).count() == 2 * cs.count()
+
+
+def test_monthly_recompute_from_an_empty_table_equals_aggregate(spark):
+    # Touched and absent pairs: whatever the monthly table held, afterwards
+    # it is the aggregate of the daily rows; create times of known pairs stay.
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+    from pyspark.sql import types as T
+    from tallyhouse.operators import monthly as M
+    from tallyhouse.operators.daily import PRODUCT_COLUMNS
+    schema = T.StructType([T.StructField(c, t, True) for c, t in PRODUCT_COLUMNS])
+    spec = M.PRODUCT_ROLLUP
+
+    def row(day, pid, qty):
+        vals = {"summary_date": d(day), "dw_product_id": pid, "cancelled_product_qty": qty}
+        return tuple(vals.get(c) for c, _ in PRODUCT_COLUMNS)
+
+    days = ["2024-01-05", "2024-02-01", "2024-03-09", "2024-03-10", "2024-03-20", "2024-04-01"]
+
+    @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(st.sampled_from(days), st.sampled_from([1, 2, None]), st.integers(0, 5)), max_size=12),
+           st.sets(st.tuples(st.sampled_from(["2024-01-01", "2024-03-01"]), st.sampled_from([1, 2, None])), max_size=3))
+    def check(rows_, known):
+        daily = spark.createDataFrame([row(*r) for r in rows_], schema)
+        old = ts("2020-01-01 00:00:00")
+        held = [tuple({M.MONTH: d(m_), "dw_product_id": p, "cancelled_product_qty": -1, "dw_create_timestamp": old}.get(c)
+                      for c, _ in spec.columns) for m_, p in known]
+        monthly = spark.createDataFrame(held, M.monthly_schema(spec))
+        out = {(str(r[M.MONTH]), r["dw_product_id"]): r for r in M.monthly_recompute(monthly, daily, spec, CTX).collect()}
+        want = {}
+        for day, p, q in rows_:
+            want.setdefault((day[:7] + "-01", p), []).append((day, q))
+        touched = {k for k, v in want.items() if any(day >= "2024-03-10" for day, _ in v)}
+        assert set(out) == set(want) | known
+        for k, r in out.items():
+            if k in touched or k not in known:
+                assert r["cancelled_product_qty"] == sum(q for _, q in want[k])
+            else:
+                assert r["cancelled_product_qty"] == -1
+            assert (r["dw_create_timestamp"] == old) == (k in known)
+
+    check()
