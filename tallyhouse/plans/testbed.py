@@ -26,7 +26,7 @@ from tallyhouse.operators import monthly as M
 from tallyhouse.operators.dedupe import latest_per_key
 from tallyhouse.operators.refs import resolve_ref
 from tallyhouse.operators.surrogate import assign_surrogate_keys
-from tallyhouse.operators.upsert import upsert_inserts, upsert_updates
+from tallyhouse.operators.upsert import upsert, upsert_inserts, upsert_updates
 from tallyhouse.schemas import SPECS, history_schema
 from tallyhouse.session import configure, write_through
 from tallyhouse.sources.extract import delta_extract
@@ -304,7 +304,8 @@ class Testbed:
         return self.__dict__[key]
 
     def upserted(self, name: str) -> DataFrame:
-        return self.updated(name).unionByName(self.inserted(name))
+        return self._memo(f"_ups_{name}", lambda: upsert(
+            self.prior(name), self.stage(name), SPECS[name], self.ctx))
 
     def mat(self, attr: str) -> DataFrame:
         """A warehouse table as the next step reads it: written once (as
