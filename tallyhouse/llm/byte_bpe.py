@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,9 +31,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from tallyhouse.llm.common import MEMO_ENTRIES, text_or_empty
+from tallyhouse.llm.common import MEMO_ENTRIES, Memo, text_or_empty
 
-ENCODED = "struct<n_tokens:bigint,ids:array<int>>"
+ENCODED = "struct<n_tokens:bigint,ids:array<int>,decodes:boolean>"
 DIGESTS = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
 
 
@@ -82,56 +83,62 @@ class Codec:
         self.pieces = {piece: i for i, piece in enumerate(vocabulary)}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(vocabulary))
         self.pattern = regex.compile(pattern)
-        # A space starts a new chunk unless it stands between white space:
-        # matches of the pattern never reach over such a start, so chunks
-        # can be encoded (and remembered) one by one.
-        self.joined_space = regex.compile(r"\s (?:\s|\Z)")
+        self.double_space = regex.compile(r"\s\s")
         self.to_chars = dict(enumerate(byte_characters()))
         # inverse mapping: id -> characters of its piece -> bytes
         back = {c: b for b, c in self.to_chars.items()}
         self.id_bytes = [bytes(back[c] for c in self.model.id_to_piece(i))
                          for i in range(len(vocabulary))]
+        self.id_packed = [struct.pack("<I", i) for i in range(len(vocabulary))]
         self.id_text = [str(i) for i in range(len(vocabulary))]
-        self.memo: dict[str, bytes] = {}
-        self.limit = memo
+        self.memo = Memo(memo)  # chunk -> packed ids
 
     def chunks(self, text: str) -> list[str]:
-        if self.joined_space.search(text):
+        """The text in pieces that no match of the pattern reaches over, so
+        that they can be encoded (and remembered) one by one. Without double
+        white space these are: a line end, a word with the space before it,
+        and the sentence sign after a letter or digit at a word's end."""
+        if self.double_space.search(text):
             return self.pattern.findall(text)
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [f" {x}" for x in rest]
+        out: list[str] = []
+        for i, line in enumerate(text.split("\n")):
+            if i:
+                out.append("\n")
+            first = True
+            for word in line.split(" "):
+                if first:
+                    first = False
+                    if not word:
+                        continue
+                else:
+                    word = " " + word
+                if word[-1] in ".," and word[-2:-1].isalnum():
+                    out.append(word[:-1])
+                    out.append(word[-1])
+                else:
+                    out.append(word)
+        return out
 
     def learn(self, chunks: list[str]) -> None:
         """Encode chunks that the memo lacks: one library call for all their
         pre-tokens."""
-        new = [c for c in dict.fromkeys(chunks) if c not in self.memo]
-        if not new:
-            return
-        if len(self.memo) + len(new) > self.limit:
-            self.memo.clear()
-            new = list(dict.fromkeys(chunks))
-        cut = [[m.encode() for m in self.pattern.findall(c)] for c in new]
-        todo = list({p for parts in cut for p in parts if p not in self.pieces})
-        ids = self.model.encode([p.decode("latin-1").translate(self.to_chars) for p in todo],
-                                num_threads=1)
-        done = dict(zip(todo, ids))
-        whole = self.pieces
-        for c, parts in zip(new, cut):
-            own: list[int] = []
-            for p in parts:
-                if p in whole:  # a whole pre-token of the vocabulary is its own id
-                    own.append(whole[p])
-                else:
-                    own += done[p]
-            self.memo[c] = np.array(own, dtype="<u4").tobytes()
+        new, pieces, cut = self.memo.missing(chunks), self.pieces, self.pattern.findall
+        parts = [[m.encode() for m in cut(c)] for c in new]
+        todo = list({p for own in parts for p in own if p not in pieces})
+        found = self.model.encode([p.decode("latin-1").translate(self.to_chars) for p in todo], num_threads=1)
+        done = {p: struct.pack(f"<{len(ids)}I", *ids) for p, ids in zip(todo, found)}
+        known = self.memo.now
+        for c, own in zip(new, parts):
+            # a whole pre-token of the vocabulary is its own id
+            known[c] = b"".join([self.id_packed[pieces[p]] if p in pieces else done[p] for p in own])
 
     def encode(self, text: str) -> np.ndarray:
         chunks = self.chunks(text)
         try:
-            return np.frombuffer(b"".join(map(self.memo.__getitem__, chunks)), dtype="<u4")
+            return np.frombuffer(b"".join(map(self.memo.now.__getitem__, chunks)), dtype="<u4")
         except KeyError:
             self.learn(chunks)
-            return np.frombuffer(b"".join(map(self.memo.__getitem__, chunks)), dtype="<u4")
+            return np.frombuffer(b"".join(map(self.memo.now.__getitem__, chunks)), dtype="<u4")
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.id_bytes.__getitem__, ids))
@@ -150,20 +157,24 @@ def _shipped(spark: SparkSession, path: str) -> str:
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
            output: str = "encoded") -> DataFrame:
-    """Add ``output``: struct of n_tokens and ids, of every whole text.
-    ``vocabulary`` is the path of a rank file on the driver."""
+    """Add ``output``: struct of n_tokens and ids of every whole text, and
+    whether the ids decode to it. ``vocabulary`` is the path of a rank file
+    on the driver."""
     name = _shipped(docs.sparkSession, vocabulary)
 
     @F.arrow_udf(ENCODED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(name, pattern)
         for batch in batches:
-            found = [codec.encode(text) for text in batch.to_pylist()]
+            texts = batch.to_pylist()
+            found = [codec.encode(text) for text in texts]
+            same = [codec.decode(ids.tolist()) == text.encode() for ids, text in zip(found, texts)]
             sizes = np.array([len(x) for x in found], dtype=np.int64)
             ids = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()),
                 pa.array(np.concatenate([np.zeros(0, "<u4"), *found]).astype(np.int32)))
-            yield pa.StructArray.from_arrays([pa.array(sizes), ids], names=["n_tokens", "ids"])
+            yield pa.StructArray.from_arrays([pa.array(sizes), ids, pa.array(same, pa.bool_())],
+                                             names=["n_tokens", "ids", "decodes"])
 
     return docs.withColumn(output, run(text_or_empty(text_col)))
 

@@ -8,10 +8,11 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.joins import broadcast_if_small
 from tallyhouse.session import ensure_checkpoint_dir
 
 #: Entries of each of the two generations of a worker's memo.
-MEMO_ENTRIES = 150_000
+MEMO_ENTRIES = 120_000
 
 
 class Memo:
@@ -51,6 +52,16 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(done, "true")
 
 
+#: Written size up to which a join side is broadcast beside whole texts; in
+#: memory it is a few times that.
+BROADCAST_BYTES = 8 << 20
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` marked for a broadcast if its measured size allows."""
+    return broadcast_if_small(df, BROADCAST_BYTES)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
