@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import saved, text_or_empty
+from tallyhouse.llm.common import saved, small, text_or_empty
 from tallyhouse.operators.joins import broadcast_if_small, broadcast_limit
 from tallyhouse.session import estimated_size_bytes
 
@@ -110,4 +110,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     leaked = overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col).select(
         F.col("doc_id").alias(name)).distinct()
     leaked = saved(leaked, "leaked-ids")
-    return docs.join(broadcast_if_small(leaked), docs[f"`{id_col}`"].eqNullSafe(F.col(name)), "left_anti")
+    return docs.join(small(leaked), docs[f"`{id_col}`"].eqNullSafe(F.col(name)), "left_anti")

@@ -41,9 +41,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import saved, text_or_empty
+from tallyhouse.llm.common import saved, small, text_or_empty
 from tallyhouse.llm.components import components
-from tallyhouse.operators.joins import broadcast_if_small
 
 SHINGLE = 3
 BLOCK_ROWS = 128  # rows of a row block
@@ -162,7 +161,7 @@ def _candidates(classes: DataFrame) -> DataFrame:
     column block that it shares with another one."""
     rows = _unpacked(classes)
     shared = saved(rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "shared-blocks")
-    members = saved(rows.join(broadcast_if_small(shared), "key"), "block-members")
+    members = saved(rows.join(small(shared), "key"), "block-members")
     weight = members.groupBy("rid").agg(F.sum("members").alias("weight"))
     ranked = members.select("rid", "key").join(weight, "rid")
     leader = ranked.groupBy("key").agg(F.max(F.struct("weight", (-F.col("rid")).alias("minus"))).alias("best"))
@@ -305,10 +304,10 @@ def _found_of(docs: DataFrame, involved: DataFrame, id_col: str, text_col: str)
     name = "__wanted_id"
     ids = involved.select(F.col("min_id").alias(name)).distinct()
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    source = source.join(broadcast_if_small(ids), F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
+    source = source.join(small(ids), F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
     found = source.select("text").mapInArrow(run, "set_key binary, found binary")
     wanted = involved.select("rid", "cluster", "n", "set_key")
-    found = saved(found.join(broadcast_if_small(wanted), "set_key").drop("set_key"), "involved-sets")
+    found = saved(found.join(small(wanted), "set_key").drop("set_key"), "involved-sets")
     if found.count() != involved.count():  # rows that repeat an id and a set
         found = saved(found.dropDuplicates(["rid"]), "involved-sets")
     return found
@@ -340,11 +339,11 @@ def link_classes(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "do
                .agg(F.max(F.struct("weight", (-F.col("rid")).alias("minus"))).alias("best"))
                .select("cluster", (-F.col("best.minus")).alias("leader")))
     leaders = saved(leaders, "cluster-leaders")
-    leader_found = broadcast_if_small(leaders.select(F.col("leader").alias("rid"))).join(found, "rid").select(
+    leader_found = small(leaders.select(F.col("leader").alias("rid"))).join(found, "rid").select(
         "cluster", F.col("found").alias("leader_found"))
     star = _star_links(found.select("rid", "cluster", "found").join(saved(leader_found, "leader-sets"), "cluster"), num, den)
     star = saved(star.where("linked"), "star-links")
-    members = involved.select("rid", "cluster", "n").join(broadcast_if_small(star), "rid", "left")
+    members = involved.select("rid", "cluster", "n").join(small(star), "rid", "left")
     members = members.withColumn("linked", F.coalesce("linked", F.lit(False)))
     blocks = saved(_row_blocks(members), "row-blocks")
     stats = blocks.groupBy("cluster", "block").agg(
@@ -359,7 +358,7 @@ def link_classes(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "do
     sides = block_pairs.select("left", "right", F.explode(F.array_distinct(F.array("left", "right"))).alias("block"))
     # Which pairs a row goes to is small beside the sets, which move once.
     places = saved(blocks.select("rid", "linked", "block").join(sides, "block"), "row-places")
-    links = _block_links(found.select("rid", "found").join(broadcast_if_small(places), "rid"), num, den)
+    links = _block_links(found.select("rid", "found").join(small(places), "rid"), num, den)
     star_pairs = star.join(cluster, "rid").join(leaders, "cluster").select(
         F.col("leader").alias("a"), F.col("rid").alias("b"))
     groups = components(links.unionAll(star_pairs), "a", "b").withColumnsRenamed({"node": "rid", "component": "group"})
@@ -376,9 +375,10 @@ def ngram_components(docs: DataFrame, num: int = 9, den: int = 10, id_col: str =
     """Per row of ``docs``: doc_id, n_shingles and component_id, the
     smallest id that links reach."""
     rows, classes = link_classes(docs, num, den, id_col, text_col)
-    out = rows.join(broadcast_if_small(classes), "set_key", "left")
-    return out.select("doc_id", "n_shingles",
-                      F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    found = rows.join(small(classes), "set_key").select("doc_id", "n_shingles", "component_id")
+    # Rows without words, however many, take no part in the join.
+    wordless = rows.where("set_key is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return found.unionByName(wordless)
 
 
 def keep_one(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -386,18 +386,24 @@ def keep_one(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id
     each component the row with the smallest id stays (of rows that repeat
     this id, one of the smallest shingle set). Rows without words stay."""
     rows, classes = link_classes(docs, num, den, id_col, text_col)
-    claims = rows.join(broadcast_if_small(classes), "set_key").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    met = rows.join(small(classes), "set_key")
+    own_id = F.col(f"`{id_col}`").cast("long")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if not rows.where("doc_id is null").limit(1).count() and not (
+            rows.groupBy("doc_id").count().where("count > 1").limit(1).count()):
+        # Every row has an id of its own: the ids that go are enough.
+        gone = met.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone_id"))
+        return docs.join(small(saved(gone, "gone-ids")), own_id == F.col("__gone_id"), "left_anti")
+    claims = met.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keepers = claims.groupBy("group_id").agg(F.min(F.struct("set_key", F.col("doc_id").alias("id"))).alias("best"),
                                              F.count("*").alias("claims"))
     names = {"set_key": "__set_key", "id": "__kept_id", "group_id": "__group", "claims": "__claims"}
     keepers = saved(keepers.select(*[F.col(f"best.{c}" if c in ("set_key", "id") else c).alias(n) for c, n in names.items()]),
                     "keepers")
     keyed = docs.withColumn("__key", set_key_of(text_or_empty(text_col)))
-    met = keyed.join(broadcast_if_small(keepers), (F.col("__key") == F.col("__set_key"))
-                     & F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__kept_id")), "left")
-    kept = met.where("__key is null or __claims = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
-    if keepers.where("__claims > 1").limit(1).count():
-        # Several rows carry the id to be kept: one of each group.
-        repeated = met.where("__claims > 1").dropDuplicates(["__group"])
-        kept = kept.unionByName(repeated.select(*[F.col(f"`{c}`") for c in docs.columns]))
-    return kept
+    found = keyed.join(small(keepers), (F.col("__key") == F.col("__set_key"))
+                       & own_id.eqNullSafe(F.col("__kept_id")))
+    single = found.where("__claims = 1").select(*columns).unionByName(keyed.where("__key is null").select(*columns))
+    # Where several rows carry the id to be kept, one of each group.
+    several = found.where("__claims > 1").dropDuplicates(["__group"]).select(*columns)
+    return single.unionByName(several)
