@@ -30,6 +30,10 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import saved, text_or_empty
 
 LOW = -(1 << 63)
+#: Most ranges that rows are dealt to; beyond it ranges grow with the data.
+MAX_RANGES = 1 << 14
+#: Most probes of one round, over all splitters.
+MAX_PROBES = 1 << 17
 _SPAN = 1 << 64  # values of one long
 
 
@@ -87,8 +91,16 @@ def _probes(low: int, high: int, count: int) -> list[int]:
     """Keys strictly between two keys; between first parts where possible."""
     unit = _SPAN if (high - 1) // _SPAN > low // _SPAN else 1
     first, last = low // unit + 1, (high - 1) // unit
-    n = min(count, last - first + 1)
-    return [(first + (last - first) * i // max(n - 1, 1)) * unit for i in range(n)]
+    between = last - first + 1
+    if between <= count:
+        return [k * unit for k in range(first, last + 1)]
+    return [(first + between * (i + 1) // (count + 1)) * unit for i in range(count)]
+
+
+def ranges_of(total: int, range_bytes: int, multiple: int = 1) -> int:
+    """Number of ranges of about ``range_bytes``, a multiple of ``multiple``."""
+    most = max(1, MAX_RANGES // multiple)
+    return multiple * min(most, max(1, -(-total // (multiple * range_bytes))))
 
 
 def find_splitters(keys: DataFrame, parts: int, tolerance: float, probes: int = 64) -> list[Splitter]:
@@ -111,8 +123,9 @@ def find_splitters(keys: DataFrame, parts: int, tolerance: float, probes: int =
     for i in range(len(wanted)):
         settle(i)
     while len(done) < len(wanted):
+        count = max(2, min(probes, MAX_PROBES // (len(wanted) - len(done))))
         asked = {p for i in range(len(wanted)) if i not in done
-                 for p in _probes(around[i][0].key, around[i][1].key, probes)}
+                 for p in _probes(around[i][0].key, around[i][1].key, count)}
         ordered = sorted(asked)
         known = [Splitter(p, *x) for p, x in zip(ordered, _histogram(keys, ordered))]
         sizes = [s.size for s in known]
@@ -164,8 +177,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     a, b = F.xxhash64(text_or_empty(text_col)), key_part(id_col)
     keys = saved(docs.select(a.alias("a"), b.alias("b"), text_size(text_col).alias("size")), "shard-keys")
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()["size"]
-    per_shard = max(1, -(-total // (shards * range_bytes)))
-    parts = shards * per_shard
+    parts = ranges_of(total, range_bytes, shards)
+    per_shard = parts // shards
     splitters = find_splitters(keys, parts, tolerance)
     below = [0, *(s.rows for s in splitters)]
     # Rows of the shard before each range.
@@ -176,7 +189,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     placed = placed.repartitionById(parts, F.col(part)).sortWithinPartitions(a_name, b_name)
     # A partition is one range, so the low 33 bits count its rows from 0.
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    offset = F.element_at(F.array(*[F.lit(n).cast("long") for n in before]), F.col(part) + 1)
+    offset = F.element_at(F.lit(before).cast("array<long>"), F.col(part) + 1)
     return (placed.withColumns({"size": text_size(text_col),
                                 "shard": F.floor(F.col(part) / per_shard).cast("int"),
                                 "slot": row + offset})

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.byte_bpe import byte_characters
 from tallyhouse.llm.common import MEMO_ENTRIES, Memo, saved, text_or_empty
-from tallyhouse.llm.sharding import find_splitters, key_part, range_of, text_size
+from tallyhouse.llm.sharding import find_splitters, key_part, range_of, ranges_of, text_size
 
 MANIFEST = "part int, file string, documents long, tokens long, sequences long"
 
@@ -209,7 +209,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     a, b = key_part(id_col), F.xxhash64(text_or_empty(text_col))
     keys = saved(docs.select(a.alias("a"), b.alias("b"), text_size(text_col).alias("size")), "token-keys")
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()["size"]
-    parts = max(1, -(-total // range_bytes))
+    parts = ranges_of(total, range_bytes)
     splitters = find_splitters(keys, parts, tolerance=0.1)
 
     @F.arrow_udf("binary")

@@ -185,6 +185,15 @@ def test_shards_of_hot_text_and_odd_rows(spark):
     assert len(one) == 1 and one[0]["slot"] == 0
 
 
+def test_few_probes_a_round_find_the_same_boundaries(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    many = sharding.shard_by_bytes(docs, range_bytes=2000, tolerance=0.0).select("doc_id", "shard", "slot").collect()
+    monkeypatch.setattr(sharding, "MAX_PROBES", 1)
+    few = sharding.shard_by_bytes(docs, range_bytes=2000, tolerance=0.0).select("doc_id", "shard", "slot").collect()
+    assert sorted(map(tuple, many)) == sorted(map(tuple, few))
+    assert sharding.ranges_of(10 ** 14, 32 << 20, 16) == sharding.MAX_RANGES
+
+
 def test_same_rows_same_place_for_any_partitioning(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     a = sharding.shard_by_bytes(docs.repartition(7)).select("doc_id", "shard", "slot")
