@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import saved
 
-PIVOTS = 64
 SAMPLE = 2048  # data rows that lower bounds are taken from; pivots are among them
+PIVOTS = 1024  # most cells; below that a quarter of the root of the number of vectors
 GROUP_QUERIES = 1024  # queries of a group
 SLICE_ROWS = 16384  # distinct data vectors of a slice
 EXACT = float(1 << 53)
@@ -114,6 +114,23 @@ def nearest_cells(pivots: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.nda
         return cell, np.sqrt(((x - pivots[cell]) ** 2).sum(1))
 
 
+def packed(counts: list[int], room: int) -> tuple[list[int], list[int]]:
+    """Put cells in order into bins of about ``room`` rows. A larger cell is
+    split over several bins: the first bin of each cell, and how many."""
+    first, parts, last, left = [], [], -1, 0
+    for n in counts:
+        share = max(1, -(-n // room))
+        if share > 1 or n > left or last < 0:
+            last, left = last + 1, room - n
+        else:
+            left -= n
+        first.append(last)
+        parts.append(share)
+        if share > 1:
+            last, left = last + share - 1, 0
+    return first, parts
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
           scale: int = 256) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` rows of highest
@@ -135,7 +152,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     sample = data.orderBy(F.xxhash64("vector"), "vector").limit(SAMPLE).collect()
     sample_x = _matrix([bytes(r["vector"]) for r in sample], width)
     sample_ids = [list(r["ids"]) for r in sample]
-    pivots = sample_x[:PIVOTS]
+    pivots = sample_x[:min(PIVOTS, max(16, int(total ** 0.5) // 4))]
     cells = len(pivots)
 
     def with_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,26 +163,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
 
     data = saved(data.mapInArrow(with_cells, "vector binary, ids array<long>, cell int, away double"), "data-cells")
     queries = saved(queries.mapInArrow(with_cells, "vector binary, cell int, away double"), "query-cells")
-    radius = np.full(cells, -1.0)  # cells without data need no visit
-    for r in data.groupBy("cell").agg(F.max("away").alias("radius")).collect():
-        radius[r["cell"]] = r["radius"]
-
-    # Groups: cells of queries in order, put together or split to the bound.
-    counts = {r["cell"]: r["count"] for r in queries.groupBy("cell").count().collect()}
-    first, parts, group, room = [0] * cells, [1] * cells, -1, 0
-    for cell in range(cells):
-        n = counts.get(cell, 0)
-        parts[cell] = max(1, -(-n // GROUP_QUERIES))
-        if parts[cell] > 1 or n > room or group < 0:
-            group, room = group + 1, GROUP_QUERIES - n
-        else:
-            room -= n
-        first[cell] = group
-        if parts[cell] > 1:
-            group, room = group + parts[cell] - 1, 0
-    lookup = [F.array(*[F.lit(v) for v in values]) for values in (first, parts)]
-    of = [F.element_at(x, F.col("cell") + 1) for x in lookup]
-    queries = queries.withColumn("group", of[0] + F.pmod(F.xxhash64("vector"), of[1]).cast("int"))
+    radius, rows_of = np.full(cells, -1.0), [0] * cells  # cells without data need no visit
+    for r in data.groupBy("cell").agg(F.max("away").alias("radius"), F.count("*").alias("rows")).collect():
+        radius[r["cell"]], rows_of[r["cell"]] = r["radius"], r["rows"]
+    asked_of = {r["cell"]: r["count"] for r in queries.groupBy("cell").count().collect()}
+
+    def bin_of(counts: list[int], room: int) -> Column:
+        first, parts = (F.element_at(F.lit(x).cast("array<int>"), F.col("cell") + 1) for x in packed(counts, room))
+        return first + F.pmod(F.xxhash64("vector"), parts).cast("int")
+
+    queries = queries.withColumn("group", bin_of([asked_of.get(c, 0) for c in range(cells)], GROUP_QUERIES))
+    data = data.withColumn("slice", bin_of(rows_of, SLICE_ROWS))
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = np.concatenate([np.full(len(x), i) for i, x in enumerate(sample_ids)])
@@ -186,11 +194,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
             yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()) for p in pairs], names=["group", "cell"])
 
     visits = queries.select("vector", "group").mapInArrow(needed, "group int, cell int").distinct()
-    slices = max(1, -(-total // SLICE_ROWS))
-    placed = data.withColumn("slice", F.pmod(F.xxhash64("vector"), F.lit(slices)).cast("int"))
-    # cells x groups rows at most, so the visits are small beside the data
-    sent = placed.join(visits, "cell").select("group", "slice", "vector", "ids")
-    asking = queries.select("group", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), "vector")
+    # groups x cells rows at most: small beside the data
+    visits = saved(visits, "cell-visits")
+    slices = data.select("cell", "slice").distinct()
+    sent = data.join(visits, "cell").select("group", "slice", "vector", "ids")
+    met = saved(visits.join(slices, "cell").select("group", "slice").distinct(), "slice-visits")
+    asking = queries.select("group", "vector").join(met, "group")
 
     def solve(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []

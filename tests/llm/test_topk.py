@@ -64,6 +64,11 @@ def test_hot_vectors_ties_and_odd_rows(spark, monkeypatch):
     assert set(found) == brute(rows, 5) and len(found) == len(set(found))
 
 
+def test_cells_are_packed_into_bins():
+    assert topk.packed([3, 4, 5, 0, 25, 2, 9], 10) == ([0, 0, 1, 1, 2, 5, 6], [1, 1, 1, 1, 3, 1, 1])
+    assert topk.packed([], 10) == ([], []) and topk.packed([0, 0], 10) == ([0, 0], [1, 1])
+
+
 def test_few_rows_and_large_values(spark):
     assert solve(spark, []) == []
     assert solve(spark, [(50, [1.0])]) == []
