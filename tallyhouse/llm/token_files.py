@@ -37,9 +37,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.byte_bpe import byte_characters
-from tallyhouse.llm.common import MEMO_ENTRIES, Memo, saved, text_or_empty
+from tallyhouse.llm.common import Memo, saved, text_or_empty
 from tallyhouse.llm.sharding import find_splitters, key_part, range_of, ranges_of, text_size
 
+#: Entries of a generation of the words and word parts that a worker keeps.
+WORDS = 200_000
 MANIFEST = "part int, file string, documents long, tokens long, sequences long"
 
 
@@ -54,7 +56,7 @@ class Encoder:
     LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
     COMBINING = re.compile("[\u0300-\u036f]")
 
-    def __init__(self, path: str, memo: int = MEMO_ENTRIES):
+    def __init__(self, path: str, memo: int = WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
