@@ -1,6 +1,7 @@
 """N-gram Jaccard join by a blocked sparse matrix product (operator 9).
 
-Rows of the matrix are documents, columns are 3-word shingles. Documents
+Rows of the matrix are documents, columns are word shingles (of 3 words
+unless ``width`` says otherwise). Documents
 link when the Jaccard similarity of their shingle sets reaches a bound.
 
 1. Equal sets are one class; only classes are compared.
@@ -21,8 +22,8 @@ link when the Jaccard similarity of their shingle sets reaches a bound.
 5. Links become components.
 
 Words are what white space (space, tab to carriage return) separates,
-with A-Z in lower case; texts of one or two words have their whole
-sequence as the only shingle. Shingles are compared by 64-bit hashes.
+with A-Z in lower case; texts of fewer words than a shingle have their
+whole sequence as the only shingle. Shingles are compared by 64-bit hashes.
 
 Results in special cases: null and empty texts and texts of white space
 have no shingles and link with nothing, their component is their own id;
@@ -59,13 +60,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(raw: bytes) -> np.ndarray:
+def shingles(raw: bytes, width: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a UTF-8 text."""
     words = raw.lower().split()  # bytes: A-Z alone, ASCII white space alone
     if not words:
         return np.zeros(0, dtype=np.uint64)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
-    width = min(SHINGLE, len(h))
+    width = min(width, len(h))
     total = np.full(len(h) - width + 1, width, dtype=np.uint64)
     for i in range(width):
         total = _mixed(total * _MIX[0] + h[i:len(h) - width + 1 + i])
@@ -109,14 +110,14 @@ class Bands:
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, bands: Bands) -> DataFrame:
+def _sets(docs: DataFrame, id_col: str, text_col: str, bands: Bands, width: int) -> DataFrame:
     """doc_id, n_shingles, set_key and the packed block keys of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes, names, keys = [], [], []
             for raw in b["text"].cast(pa.binary()).to_pylist():
-                found = shingles(raw)
+                found = shingles(raw, width)
                 sizes.append(len(found))
                 names.append(set_key(found))
                 keys.append(bands.keys(found).tobytes() if len(found) else None)
@@ -133,11 +134,11 @@ def set_key(found: np.ndarray) -> bytes | None:
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
 
 
-def set_key_of(text: Column) -> Column:
+def set_key_of(text: Column, width: int = SHINGLE) -> Column:
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for b in batches:
-            yield pa.array([set_key(shingles(raw)) for raw in b.cast(pa.binary()).to_pylist()], pa.binary())
+            yield pa.array([set_key(shingles(raw, width)) for raw in b.cast(pa.binary()).to_pylist()], pa.binary())
 
     return run(text)
 
@@ -290,13 +291,13 @@ def _block_links(pairs: DataFrame, num: int, den: int) -> DataFrame:
             .select("left", "right", "block", "rid", "linked", "found").mapInArrow(run, "a long, b long"))
 
 
-def _found_of(docs: DataFrame, involved: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _found_of(docs: DataFrame, involved: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """rid, cluster, n and the shingles (``found``) of the involved classes,
     read again from the documents that name them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [shingles(raw) for raw in b["text"].cast(pa.binary()).to_pylist()]
+            found = [shingles(raw, width) for raw in b["text"].cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([set_key(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())],
                 names=["set_key", "found"])
@@ -314,14 +315,16 @@ def _found_of(docs: DataFrame, involved: DataFrame, id_col: str, text_col: str)
 
 
 def link_classes(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id",
-                 text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+                 text_col: str = "text", width: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """Two tables: the rows (doc_id, n_shingles, set_key) and the classes
     (set_key, group_id, component_id). ``group_id`` names a component even
     where ids are missing."""
     if not 0 < num <= den:
         raise ValueError("the bound must be above 0 and at most 1")
+    if width < 1:
+        raise ValueError("a shingle has at least one word")
     bands = Bands(num, den)
-    rows = saved(_sets(docs, id_col, text_col, bands), "shingle-sets")
+    rows = saved(_sets(docs, id_col, text_col, bands, width), "shingle-sets")
     classes = (rows.where("set_key is not null").groupBy("set_key")
                .agg(F.min("doc_id").alias("min_id"), F.max("n_shingles").alias("n"), F.max("block_keys").alias("block_keys")))
     classes = saved(classes.withColumn("rid", F.monotonically_increasing_id()), "classes")
@@ -330,7 +333,7 @@ def link_classes(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "do
     candidates = _candidates(classes)
     cluster = saved(components(candidates, "leader", "rid").withColumnsRenamed({"node": "rid", "component": "cluster"}), "clusters")
     involved = saved(slim.join(cluster, "rid"), "involved")
-    found = _found_of(docs, involved, id_col, text_col)
+    found = _found_of(docs, involved, id_col, text_col, width)
     # Clusters of more than one row block are first compared with their
     # leader, the most connected class.
     large = involved.groupBy("cluster").count().where(F.col("count") > BLOCK_ROWS).select("cluster")
@@ -381,11 +384,12 @@ def ngram_components(docs: DataFrame, num: int = 9, den: int = 10, id_col: str =
     return found.unionByName(wordless)
 
 
-def keep_one(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text",
+             width: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` without near duplicates, all columns kept: of
     each component the row with the smallest id stays (of rows that repeat
     this id, one of the smallest shingle set). Rows without words stay."""
-    rows, classes = link_classes(docs, num, den, id_col, text_col)
+    rows, classes = link_classes(docs, num, den, id_col, text_col, width)
     met = rows.join(small(classes), "set_key")
     own_id = F.col(f"`{id_col}`").cast("long")
     columns = [F.col(f"`{c}`") for c in docs.columns]
@@ -400,7 +404,7 @@ def keep_one(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id
     names = {"set_key": "__set_key", "id": "__kept_id", "group_id": "__group", "claims": "__claims"}
     keepers = saved(keepers.select(*[F.col(f"best.{c}" if c in ("set_key", "id") else c).alias(n) for c, n in names.items()]),
                     "keepers")
-    keyed = docs.withColumn("__key", set_key_of(text_or_empty(text_col)))
+    keyed = docs.withColumn("__key", set_key_of(text_or_empty(text_col), width))
     found = keyed.join(small(keepers), (F.col("__key") == F.col("__set_key"))
                        & own_id.eqNullSafe(F.col("__kept_id")))
     single = found.where("__claims = 1").select(*columns).unionByName(keyed.where("__key is null").select(*columns))

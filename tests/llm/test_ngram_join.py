@@ -136,3 +136,27 @@ def test_components_of_chains_stars_and_rings(spark):
     got = {r["node"]: r["component"] for r in components.components(df, "a", "b").collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 300)}, **{i: 500 for i in range(500, 507)}}
     assert components.components(df.limit(0), "a", "b").count() == 0
+
+
+def test_keep_one_by_five_word_shingles(spark):
+    """Width 5 and four fifths keep the smallest id of every group that a
+    brute force on five words links; three words and nine tenths keep more."""
+    rng = random.Random(45)
+    texts = [t for n, size in ((8, 60), (8, 90), (8, 14), (8, 5)) for t in variants(rng, n, size, 2, [f"w{i}" for i in range(400)])]
+    rows = list(enumerate(texts))
+    sets = []
+    for text in texts:
+        words = text.split()
+        sets.append({tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))})
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b) and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in ngram_join.keep_one(docs, 4, 5, width=5).collect()}
+    assert kept == set(group)
+    assert kept < {r["doc_id"] for r in ngram_join.keep_one(docs, 9, 10).collect()}
+    with pytest.raises(ValueError):
+        ngram_join.keep_one(docs, 4, 5, width=0)
