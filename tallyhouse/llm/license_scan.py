@@ -3,8 +3,9 @@
 Candidate blocks are the word ranges that a template would fill if one of
 its cue words stood where the text has that word. Each block is compressed
 alone and with each template as a raw zstandard dictionary; templates are
-ranked by the share of the size that the dictionary saves. The best ranked
-are confirmed by the exact differences in wording: at least nine tenths of
+ranked by the share of the size that the dictionary saves. All whose words
+can still be in the block, by their counts, are confirmed by the exact
+differences in wording: at least nine tenths of
 the template's words must stand in the block in order (in templates below
 ten words: all of them), with at most a tenth of foreign words between
 them. Among confirmed templates the one with the longest common wording
@@ -22,6 +23,7 @@ columns are not used.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from difflib import SequenceMatcher
@@ -60,6 +62,7 @@ class Template:
         if not self.cues:
             raise ValueError(f"template without a cue word: {text}")
         self.first = {c: at[0] for c, at in self.cues.items()}
+        self.counts = Counter(self.words)
         raw = " ".join(self.words).encode()
         known = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.press = zstandard.ZstdCompressor(level=9, dict_data=known, write_content_size=False, write_dict_id=False)
@@ -68,10 +71,13 @@ class Template:
     def foreign(self) -> int:
         return len(self.words) // 10
 
+    def can_fit(self, block: list[str]) -> bool:
+        """Whether the block has enough of the template's words in any order;
+        no wording has more words in common than that."""
+        return len(self.words) - (self.counts & Counter(block)).total() <= len(self.words) // 10
 
-class Scanner:
-    RANKED = 6  # templates that are compared word by word, best savings first
 
+class Scanner:
     def __init__(self, templates: Sequence[tuple[str, str]]):
         self.templates = [Template(*t) for t in templates]
         self.plain = zstandard.ZstdCompressor(level=9, write_content_size=False)
@@ -112,8 +118,8 @@ class Scanner:
                 ranked.append((self.saving(t, block), len(t.words), t, low, block))
         ranked.sort(key=lambda r: (-r[0], -r[1]))
         confirmed = []
-        for saved, _, t, low, block in ranked[:self.RANKED]:
-            if (same := self.wording(t, block)) is not None:
+        for saved, _, t, low, block in ranked:
+            if t.can_fit(block) and (same := self.wording(t, block)) is not None:
                 common, first, end, differences = same
                 confirmed.append((-common, len(differences), -saved, t.name, low + first, low + end, differences))
         if not confirmed:

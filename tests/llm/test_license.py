@@ -74,3 +74,13 @@ def test_op8_query_finds_every_notice(spark):
     expected = sorted((r["doc_id"], short[line], r["text"].index(line)) for r in rows for line in set(r["text"].split("\n")) if line in short)
     found = queries.op8_license_scan(spark, SF).collect()
     assert expected and sorted((r["doc_id"], r["license"], r["start"]) for r in found) == expected
+
+
+def test_short_notice_beside_part_of_a_long_text(scanner):
+    """One long template fills many ranks; the notice is found all the same."""
+    notice = "Released under the MIT License."
+    header = next(text for name, text in TEMPLATES if name == "Apache-2.0" and len(text) > 120).split()
+    for share in (0.5, 0.6, 0.7, 0.8):
+        part = " ".join(header[:int(len(header) * share)])
+        found = scanner.scan(f"{notice}\n{part} {' '.join(['filler'] * 40)}")
+        assert ("MIT", 0, len(notice) - 1) in {(f.license, f.start, f.end) for f in found}, share
