@@ -8,8 +8,8 @@ can still be in the block, by their counts, are confirmed by the exact
 differences in wording: at least nine tenths of
 the template's words must stand in the block in order (in templates below
 ten words: all of them), with at most a tenth of foreign words between
-them. Among confirmed templates the one with the longest common wording
-wins, then the one with fewest differences.
+them. Among confirmed templates whose wording covers the cue word the one with
+the longest common wording wins, then the one with fewest differences.
 
 Words are runs of letters, digits and inner points and hyphens, compared
 in lower case, so line breaks, punctuation and case do not matter.
@@ -106,9 +106,9 @@ class Scanner:
                 found += [f"+{w}" for w in block[max(k, first):min(n, end)]]
         return common, first, end, tuple(found)
 
-    def best(self, words: list[str], at: int) -> tuple | None:
+    def confirmed(self, words: list[str], at: int) -> list[tuple]:
         """(name, first word, end word, common words, saving, differences) of
-        the licence whose first cue stands at word ``at``."""
+        every licence whose wording covers the cue at word ``at``, best first."""
         ranked = []
         for t in self.templates:
             for offset in t.cues.get(words[at], ()):
@@ -121,11 +121,10 @@ class Scanner:
         for saved, _, t, low, block in ranked:
             if t.can_fit(block) and (same := self.wording(t, block)) is not None:
                 common, first, end, differences = same
-                confirmed.append((-common, len(differences), -saved, t.name, low + first, low + end, differences))
-        if not confirmed:
-            return None
-        common, _, saved, name, first, end, differences = min(confirmed)
-        return name, first, end, -common, -saved, differences
+                if low + first <= at < low + end:  # otherwise it is another cue's
+                    confirmed.append((-common, len(differences), -saved, t.name, low + first, low + end, differences))
+        return [(name, first, end, -common, -saved, differences)
+                for common, _, saved, name, first, end, differences in sorted(set(confirmed))]
 
     def scan(self, text: str) -> list[Finding]:
         spans = [m.span() for m in _WORD.finditer(text)]
@@ -140,15 +139,15 @@ class Scanner:
             around = tuple(words[low:at + reach])
             key = (at - low, around)
             for k in self.memo.missing([key]):
-                self.memo.now[k] = self.best(list(around), at - low)
-            if (hit := self.memo.now[key]) is not None:
-                name, first, end, common, saved, differences = hit
+                self.memo.now[k] = self.confirmed(list(around), at - low)
+            for name, first, end, common, saved, differences in self.memo.now[key]:
                 first, end = first + low, end + low
-                if found and first < found[-1][2]:
-                    if common <= found[-1][3]:
-                        continue
-                    found.pop()
-                found.append((name, first, end, common, saved, differences))
+                apart = len(found)
+                while apart and first < found[apart - 1][2]:
+                    apart -= 1
+                if all(common > f[3] for f in found[apart:]):
+                    found[apart:] = [(name, first, end, common, saved, differences)]
+                    break
         return [Finding(name, spans[a][0], spans[b - 1][1], common, saved, differences)
                 for name, a, b, common, saved, differences in found]
 

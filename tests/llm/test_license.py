@@ -84,3 +84,18 @@ def test_short_notice_beside_part_of_a_long_text(scanner):
         part = " ".join(header[:int(len(header) * share)])
         found = scanner.scan(f"{notice}\n{part} {' '.join(['filler'] * 40)}")
         assert ("MIT", 0, len(notice) - 1) in {(f.license, f.start, f.end) for f in found}, share
+
+
+def test_short_notice_next_to_every_long_text(scanner):
+    """Both licences are found in either order, however near they stand."""
+    notices = ["Released under the MIT License.", "This project is licensed under the MIT License."]
+    for name, text in TEMPLATES:
+        if len(text) < 120:
+            continue
+        for notice in notices:
+            for gap in ("\n", " " + "filler " * 8, " " + "filler " * 40):
+                for body, order in ((notice + gap + text, ["MIT", name]), (text + gap + notice, [name, "MIT"])):
+                    found = scanner.scan(body)
+                    assert [f.license for f in found] == order and not any(f.differences for f in found), (body, found)
+                    at = body.index(notice)
+                    assert (at, at + len(notice) - 1) in {(f.start, f.end) for f in found}
