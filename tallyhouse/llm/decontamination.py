@@ -13,8 +13,8 @@ replaced keep at least one seed, so no such overlap is missed. An item of
 Results in special cases: null and empty texts and items below 7 words
 overlap with nothing; benchmark items of equal words are one item (the
 smallest id names it); repeated rows and documents of one id are reported
-together under that id (null ids too); empty tables give an empty result;
-other columns are not used.
+together under that id (null ids too), but the filter goes by id and words;
+empty tables give an empty result; other columns are not used.
 """
 
 from __future__ import annotations
@@ -70,11 +70,9 @@ def best_match() -> Column:
     return F.array_max(windows) - need
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per (doc_id, item_id) that overlap, with the word range of
-    the document that the verified seeds span (``first_word`` from 0, and
-    ``end_word`` behind the last) and the number of ``hits``."""
+def _checked(texts: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
+    """The verified hits of ``texts`` (doc_id, text_key, words) with text_key,
+    item_id, at and span."""
     items = benchmark.select(F.col(f"`{item_col}`").alias("item_id"), words_of(item_text_col).alias("item_words"))
     items = items.where(F.size("item_words") >= SHORTEST).groupBy("item_words").agg(F.min("item_id").alias("item_id"))
     # A key of its own per distinct item, fixed by writing the table.
@@ -82,21 +80,32 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     item_seeds = seeds(items.select("item_key", F.col("item_words").alias("words")))
     item_seeds = saved(item_seeds.select("item_key", F.col("at").alias("item_at"), "span", "seed"), "benchmark-seeds")
 
-    texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), words_of(text_col).alias("words"))
     size = estimated_size_bytes(item_seeds)
-    if size is not None and size <= broadcast_limit(docs):
+    if size is not None and size <= broadcast_limit(texts):
         # The measured seeds are small: one pass over the documents.
         hits = seeds(texts).join(F.broadcast(item_seeds), ["seed", "span"])
     else:
         # Otherwise positions travel without their text, and only texts
         # with hits are fetched again.
-        texts = texts.withColumn("text_key", F.xxhash64("words"))
         found = (seeds(texts).select("doc_id", "text_key", "at", "span", "seed")
                  .join(item_seeds, ["seed", "span"]).drop("seed"))
         found = saved(found.withColumnRenamed("doc_id", "hit_id"), "benchmark-hits")
         hits = found.join(texts.dropDuplicates(["doc_id", "text_key"]).withColumnRenamed("text_key", "key"),
                           (F.col("text_key") == F.col("key")) & F.col("hit_id").eqNullSafe(F.col("doc_id")))
-    checked = hits.join(broadcast_if_small(items), "item_key").where(best_match() >= 0)
+    return hits.join(broadcast_if_small(items), "item_key").where(best_match() >= 0)
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), words_of(text_col).alias("words"))
+    return texts.withColumn("text_key", F.xxhash64("words"))
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """One row per (doc_id, item_id) that overlap, with the word range of
+    the document that the verified seeds span (``first_word`` from 0, and
+    ``end_word`` behind the last) and the number of ``hits``."""
+    checked = _checked(_texts(docs, id_col, text_col), benchmark, item_col, item_text_col)
     return checked.groupBy("doc_id", "item_id").agg(
         (F.min("at") - 1).alias("first_word"), F.max(F.col("at") + F.col("span") - 1).alias("end_word"),
         F.count("*").alias("hits"))
@@ -105,9 +114,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that overlap with no item, all columns kept.
-    Rows share the fate of their id."""
-    name = "__leaked_id"
-    leaked = overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col).select(
-        F.col("doc_id").alias(name)).distinct()
-    leaked = saved(leaked, "leaked-ids")
-    return docs.join(small(leaked), docs[f"`{id_col}`"].eqNullSafe(F.col(name)), "left_anti")
+    Rows go by id and words: clean texts of a leaked text's id stay."""
+    leaked = _checked(_texts(docs, id_col, text_col), benchmark, item_col, item_text_col).select(
+        F.col("doc_id").alias("__leaked_id"), F.col("text_key").alias("__leaked_key")).distinct()
+    leaked = saved(leaked, "leaked-texts")
+    keyed = docs.withColumn("__text_key", F.xxhash64(words_of(text_col)))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__leaked_id")) & (F.col("__text_key") == F.col("__leaked_key"))
+    return keyed.join(small(leaked), same, "left_anti").drop("__text_key")

@@ -127,6 +127,26 @@ def test_overlaps_equal_brute_force(spark):
     assert dec.overlaps(d, b.limit(0)).count() == 0 and dec.overlaps(d.limit(0), b).count() == 0
 
 
+def test_clean_texts_of_a_leaked_id_stay(spark):
+    """Null and repeated ids: only the texts that overlap go."""
+    item = " ".join(f"w{i}" for i in range(20))
+    rows = [(None, item), (None, "clean text without id"), (None, None), (7, "before " + item), (7, "clean text"), (7, "clean text"),
+            (8, item.upper()), (9, "")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    b = spark.createDataFrame([(0, item)], "item_id long, text string")
+    clean = sorted(((k, t) for k, t in rows if not overlap(words(t), words(item))), key=str)
+
+    def kept():
+        return sorted(map(tuple, dec.decontaminate(d, b).collect()), key=str)
+
+    assert kept() == clean and len(clean) == 5
+    spark.conf.set("spark.tallyhouse.broadcastMaxBytes", "1")
+    try:
+        assert kept() == clean
+    finally:
+        spark.conf.unset("spark.tallyhouse.broadcastMaxBytes")
+
+
 def test_op5_query_equals_brute_force(spark):
     docs = [(r["doc_id"], words(r["text"])) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     items = [(r["item_id"], words(r["text"])) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
