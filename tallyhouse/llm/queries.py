@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import byte_bpe, decontamination, hmm, license_scan, ngram_join, quality, sharding, token_count, token_files, topk
+from tallyhouse.llm import byte_bpe, decontamination, hard_negatives, hmm, license_scan, ngram_join, quality, sharding, token_count, token_files, topk
 from tallyhouse.llm.common import crc32_of, read_table, shared_path
 
 
@@ -75,14 +75,38 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(docs, model).select("doc_id", "n_tokens")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_byte_bpe, op2_token_files, op3_histogram_sort, op4_quality_trees, op5_spaced_seeds, op6_voronoi_join, op7_hidden_markov, op8_license_scan, op9_ngram_product,
-        op10_token_counts)}
+        op10_token_counts, op12_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_voronoi_join": """
+    return {"op12_hard_negatives": """
+        with vectors as (
+          select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+          where vec_id is not null and label is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scored as (
+          select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_dot_product(a.v, c.v)::bigint as score
+          from vectors a join vectors c on a.vec_id <> c.vec_id where a.vec_id % 100 = 0),
+        positives as (
+          select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+          qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+        select p.anchor_id, p.positive_id, row_number() over (
+            partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id)::int as rank,
+          n.vec_id as negative_id, p.positive_score, n.score as negative_score
+        from positives p join scored n on p.anchor_id = n.anchor_id and not n.same
+          and 80 * p.positive_score <= 100 * n.score and n.score <= p.positive_score
+        qualify rank <= 5""",
+            "op6_voronoi_join": """
         with vectors as (
           select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
           where vec_id is not null and embedding is not null
