@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import byte_bpe, decontamination, hard_negatives, hmm, license_scan, ngram_join, quality, sharding, token_count, token_files, topk
+from tallyhouse.llm import byte_bpe, decontamination, hard_negatives, hmm, license_scan, ngram_join, quality, sharding, token_count, token_files, topk, vector_codes
 from tallyhouse.llm.common import crc32_of, read_table, shared_path
 
 
@@ -75,6 +75,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(docs, model).select("doc_id", "n_tokens")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
@@ -84,11 +88,48 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_byte_bpe, op2_token_files, op3_histogram_sort, op4_quality_trees, op5_spaced_seeds, op6_voronoi_join, op7_hidden_markov, op8_license_scan, op9_ngram_product,
-        op10_token_counts, op12_hard_negatives)}
+        op10_token_counts, op11_vector_codes, op12_hard_negatives)}
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Codebooks of 16 entries refined step by step, one statement part a
+    round."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        near{r} as materialized (
+          select t.*, k % 256 as e, k // 256 as d from (
+            select t.vec_id, t.p, any_value(t.x) as x, min(256 * (list_dot_product(t.x, t.x) - 2 * list_dot_product(t.x, b.x)
+              + list_dot_product(b.x, b.x))::hugeint + b.e) as k
+            from parts t join book{r} b on t.p = b.p group by t.vec_id, t.p) t)""")
+        if r < rounds:
+            steps.append(f"""
+        mean{r} as materialized (
+          select p, e, list(m order by i) as x from (
+            select p, e, i, floor(sum(x[i]) / count(*))::bigint as m from near{r}, range(1, 1 + len(x)) s(i) group by p, e, i)
+          group by p, e),
+        book{r + 1} as materialized (
+          select b.p, b.e, coalesce(m.x, b.x) as x from book{r} b left join mean{r} m on b.p = m.p and b.e = m.e)""")
+    return """
+        with kept as (
+          select vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as v from embeddings
+          where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        parts as materialized (
+          select vec_id, p, v[p * len(v) // 8 + 1:(p + 1) * len(v) // 8] as x from kept, range(8) s(p)),
+        book0 as materialized (
+          select p, row_number() over (partition by p order by vec_id) - 1 as e, x from parts qualify e < 16),""" + ",".join(
+            steps) + f""",
+        coded as (
+          select vec_id, string_agg(printf('%02x', e), '' order by p) as code, sum(d)::bigint as error
+          from near{rounds} group by vec_id)
+        select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error,
+          (select sha256(string_agg(array_to_string(x, ','), ',' order by p, e)) from book{rounds}) as codebooks_sha256
+        from coded join kept using (vec_id)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_hard_negatives": """
+    return {"op11_vector_codes": _codes_sql(),
+            "op12_hard_negatives": """
         with vectors as (
           select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
             list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
