@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import byte_bpe, decontamination, hard_negatives, hmm, license_scan, ngram_join, quality, sharding, token_count, token_files, topk, vector_codes
+from tallyhouse.llm import byte_bpe, decontamination, hard_negatives, hmm, html_text, license_scan, ngram_join, quality, sharding, token_count, token_files, topk, vector_codes
 from tallyhouse.llm.common import crc32_of, read_table, shared_path
 
 
@@ -88,7 +88,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_byte_bpe, op2_token_files, op3_histogram_sort, op4_quality_trees, op5_spaced_seeds, op6_voronoi_join, op7_hidden_markov, op8_license_scan, op9_ngram_product,
-        op10_token_counts, op11_vector_codes, op12_hard_negatives)}
+        op10_token_counts, op11_vector_codes, op12_hard_negatives, op13_html_text)}
+
+
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.main_text(pages, html_text.fit(pages)).select("page_id", "url", "text", "n_chars")
 
 
 def _codes_sql(rounds: int = 6) -> str:
