@@ -34,10 +34,10 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of 3-word shingle sets that link at
-    a Jaccard similarity of nine tenths."""
+    """Keep one document of each group of five-word shingle sets that link
+    at a Jaccard similarity of four fifths or more."""
     bound_batches(spark)
-    return ngram_join.keep_one(docs, 9, 10)
+    return ngram_join.keep_one(docs, 4, 5, width=5)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,16 +14,16 @@ from tallyhouse.llm import components, ngram_join, queries
 SF = "/root/testdata/sf0.01"
 
 
-def shingle_set(text):
+def shingle_set(text, width=3):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i:i + 3]) for i in range(max(1, len(words) - 2)))
+    return frozenset(tuple(words[i:i + width]) for i in range(max(1, len(words) - width + 1)))
 
 
-def brute(rows, num=9, den=10):
+def brute(rows, num=9, den=10, width=3):
     """Counter of (doc_id, n_shingles, component_id)."""
-    sets = [shingle_set(t) for _, t in rows]
+    sets = [shingle_set(t, width) for _, t in rows]
     parent = list(range(len(rows)))
 
     def root(x):

@@ -45,7 +45,7 @@ def test_stages_equal_brute_force(spark, steps):
     right = [(i in kept) == bool(q) for i, q in labels.items()]
     assert sum(right) / len(right) > 0.9
 
-    groups = brute([r[:2] for r in good])
+    groups = brute([r[:2] for r in good], 4, 5, width=5)
     assert {r[0] for r in single} == {c if c is not None else d for d, n, c in groups} and set(single) <= set(good)
     assert len(single) < len(good)
 
@@ -79,6 +79,14 @@ def test_odd_rows_through_all_stages(spark, tmp_path):
     got = sorted(((r["doc_id"] or 0, r["text"] or "") for r in single.collect()))
     assert [i for i, _ in got] == [0, 1, 1, 2, 3, 5]
     assert len({t.lower() for i, t in got if i == 1}) == 2
+    # Five-word shingles: a word more keeps 26 of 27 and five words less 21 of
+    # 26, which link; another word in the middle keeps 21 of 31.
+    base = [f"w{i}" for i in range(30)]
+    near = [(10, " ".join(base)), (11, " ".join([*base, "more"])), (12, " ".join([*base[:15], "x", *base[16:]])),
+            (13, " ".join(base[:25])), (14, " ".join([*base[:3], "y", *base[4:]]))]
+    kept = cp.near_duplicates(spark, spark.createDataFrame([(*r, "en", "s", 1) for r in near], docs.schema), folder)
+    want = {c for _, _, c in brute(near, 4, 5, width=5)}
+    assert {r["doc_id"] for r in kept.collect()} == want and 11 not in want
     empty = docs.limit(0)
     for _, stage in cp.STAGES:
         assert stage(spark, empty, folder).count() == 0
