@@ -185,12 +185,16 @@ def line_branch(name: str, orders, orderdetails, products, ctx) -> DataFrame:
     return _line_inner_groups(orders, orderdetails, products, ctx, (name,)).drop("br")
 
 
-def payment_branch(payments: DataFrame, ctx: BatchContext) -> DataFrame:
+def payment_branch(payments: DataFrame, ctx: BatchContext, first: DataFrame | None = None) -> DataFrame:
     """Payments on/after the batch date joined to D0 (inner). Only the
-    history of customers who pay in this batch is aggregated."""
+    history of customers who pay in this batch is aggregated; with ``first``
+    (the kept result of D0) none is read."""
     p = payments.where(on_or_after("paymentDate", ctx.date_col()) & F.col("dw_customer_id").isNotNull())
-    payers = broadcast_if_measured_small(p.select("dw_customer_id").distinct(), "payers")
-    fp = broadcast_if_small(first_payment(payments.join(payers, "dw_customer_id", "left_semi")))
+    if first is not None:
+        fp = broadcast_if_small(first)
+    else:
+        payers = broadcast_if_measured_small(p.select("dw_customer_id").distinct(), "payers")
+        fp = broadcast_if_small(first_payment(payments.join(payers, "dw_customer_id", "left_semi")))
     g = p.join(fp, "dw_customer_id", "inner") \
         .groupBy("paymentDate", "dw_customer_id", "first_payment_date", "src_create_timestamp",
                  "src_update_timestamp", "etl_batch_no", "etl_batch_date") \
@@ -208,7 +212,8 @@ def payment_branch(payments: DataFrame, ctx: BatchContext) -> DataFrame:
 
 def daily_customer_summary(customers: DataFrame, orders: DataFrame, orderdetails: DataFrame,
                            products: DataFrame, payments: DataFrame, ctx: BatchContext,
-                           additive: str = "reference", new_customer: str = "reference") -> DataFrame:
+                           additive: str = "reference", new_customer: str = "reference",
+                           first: DataFrame | None = None) -> DataFrame:
     """Rows appended to daily_customer_summary for this batch.
 
     ``additive='reference'`` keeps MAX for counts, cost and quantities
@@ -216,10 +221,12 @@ def daily_customer_summary(customers: DataFrame, orders: DataFrame, orderdetails
     ``'sum'`` adds them up. ``new_customer='reference'`` flags a day equal
     to the date of the newest create timestamp of any branch;
     ``'customers_only'`` flags only days with a customer-created row.
+    ``first`` are first payment dates kept by earlier batches; ``payments``
+    then need not go back before the batch date.
     """
     lines = _line_inner_groups(orders, orderdetails, products, ctx)
     new = new_customers(customers, ctx).select(F.lit(NEW).alias("br"), "*")
-    pay = payment_branch(payments, ctx).select(F.lit(PAY).alias("br"), "*")
+    pay = payment_branch(payments, ctx, first).select(F.lit(PAY).alias("br"), "*")
     u = lines.unionByName(new).unionByName(pay)
     aggs = []
     for c, t in CUSTOMER_MEASURES:

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.joins import broadcast_if_small
+from tallyhouse.operators.joins import broadcast_if_measured_small, broadcast_if_small, broadcast_limit
+from tallyhouse.session import estimated_size_bytes, write_through
 
 
 def resolve_ref(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
@@ -25,20 +26,44 @@ def resolve_ref(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
 
     ``only_rows`` restricts the join to the child rows it selects; the
     others pass through unchanged without a shuffle (see
-    :func:`touched_or_unresolved`).
+    :func:`touched_or_unresolved`). A parent that cannot be broadcast is
+    then cut to what those rows can meet, see :func:`reduced_parent`.
     """
     p = (parent.select(F.col(parent_key).alias("_ref_key"), F.col(parent_id).alias("_ref_id"))
          .where(F.col("_ref_key").isNotNull()))
-    p = broadcast_if_small(p)
     join_rows = F.col(child_key).isNotNull()
-    if only_rows is not None:
+    asking = child.where(join_rows)
+    if only_rows is None:
+        p = broadcast_if_small(p)
+    else:
         join_rows = join_rows & F.coalesce(only_rows, F.lit(False))
-    j = child.where(join_rows).join(p, F.col(child_key) == F.col("_ref_key"), "left")
+        asking = child.where(join_rows)
+        size = estimated_size_bytes(p)
+        if size is not None and size <= broadcast_limit(p):
+            p = F.broadcast(p)
+        else:
+            asking = write_through(asking, "touched-rows")
+            p = reduced_parent(asking, p, child_key)
+    j = asking.join(p, F.col(child_key) == F.col("_ref_key"), "left")
     resolved = j.select(*[(F.coalesce(F.col("_ref_id"), F.col(c)) if c == as_col else F.col(c)).alias(c)
                           for c in child.columns])
     return resolved.unionByName(child.where(~join_rows))
 
 
+def reduced_parent(child: DataFrame, parent: DataFrame, child_key: str) -> DataFrame:
+    """The rows of ``parent`` (``_ref_key``, ``_ref_id``) that ``child`` can
+    meet. The child's distinct keys are measured; if they are small they are
+    broadcast, so the parent is streamed through a semi join without an
+    exchange, and what is left of it, again measured, is broadcast to the
+    child. Otherwise the parent is returned as it is, for a sort-merge join."""
+    keys = write_through(child.select(F.col(child_key).alias("_asked")).distinct(), "asked-keys")
+    size = estimated_size_bytes(keys)
+    if size is None or size > broadcast_limit(keys):
+        return parent
+    met = parent.join(F.broadcast(keys), F.col("_ref_key") == F.col("_asked"), "left_semi")
+    return broadcast_if_measured_small(met, "met-parents")
+
+
 def touched_or_unresolved(as_col: str, batch_no: Column) -> Column:
     """Rows whose reference can change in this batch, given that every
     earlier batch resolved its references: rows written by this batch

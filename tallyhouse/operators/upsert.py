@@ -94,6 +94,17 @@ def _first_free(target: DataFrame, spec: TableSpec, start_after: int | None) ->
     return max_id(target, spec.id_col)
 
 
+def updated_rows(target: DataFrame, delta: DataFrame, spec: TableSpec, ctx: BatchContext) -> DataFrame:
+    """``target`` after the UPDATE step of a de-duplicated delta (warehouse
+    names)."""
+    return _updates(target, delta, spec, ctx)
+
+
+def inserted_rows(fresh: DataFrame, spec: TableSpec, ctx: BatchContext, start_after: int) -> DataFrame:
+    """Delta rows that the table lacks as new warehouse rows."""
+    return _new_rows(fresh, spec, ctx, start_after)
+
+
 def upsert_updates(target: DataFrame, stage: DataFrame, spec: TableSpec,
                    ctx: BatchContext) -> DataFrame:
     """Target rows after the UPDATE step (every target row, same columns)."""

@@ -32,6 +32,7 @@ SWITCHES = {
     "daily_write": ("append", "replace_dates"),
     "monthly_mode": ("incremental", "recompute"),
     "ref_scope": ("touched", "all"),
+    "history_scope": ("changed", "all"),
     "stage_format": ("csv", "parquet"),
     "missing_stage": ("raise", "empty"),
 }

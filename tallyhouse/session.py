@@ -96,7 +96,7 @@ def write_through(df: DataFrame, label: str = "table") -> DataFrame:
     folder = _SCRATCH[-1] if _SCRATCH else "tallyhouse-tables"
     path = f"{root}/{folder}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # Scratch folders of the batches being run, innermost last.

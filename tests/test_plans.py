@@ -95,6 +95,38 @@ def test_insert_side_streams_target_keys(spark, scratch):
     assert got == [("NEW", 300000)]
 
 
+def test_a_few_touched_rows_cut_the_parent_without_an_exchange(spark, scratch, monkeypatch):
+    from tallyhouse.operators import refs
+    spark.range(200_000).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dw"), F.sha2(F.col("id").cast("string"), 256).alias("pad")) \
+        .write.parquet(f"{scratch}/parent")
+    spark.range(400_000).select(
+        F.when(F.col("id") % 5 != 0, F.col("id") % 250_000).alias("k"), F.lit(None).cast("long").alias("pid"),
+        F.when(F.col("id") % 2000 == 1, 7).otherwise(6).alias("etl_batch_no")).write.parquet(f"{scratch}/child")
+    child, parent = spark.read.parquet(f"{scratch}/child"), spark.read.parquet(f"{scratch}/parent")
+    cut = []
+    measured = refs.broadcast_if_measured_small
+    monkeypatch.setattr(refs, "broadcast_if_measured_small", lambda df, label: cut.append(df) or measured(df, label))
+    spark.conf.set("spark.tallyhouse.broadcastMaxBytes", "100000")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = resolve_ref(child, parent, "k", "src", "dw", "pid", F.col("etl_batch_no") == 7)
+        plan, of_parent = _plan(out), _plan(cut[0])
+        got = {(r["k"], r["pid"]) for r in out.where("etl_batch_no = 7").collect()}
+        # all rows asked: the parent is not cut but joined as it is
+        whole = resolve_ref(child, parent, "k", "src", "dw", "pid", F.lit(True))
+        assert "SortMergeJoin" in _plan(whole) and len(cut) == 1
+        assert whole.where("pid = k + 1").count() == whole.where("k < 200000").count()
+    finally:
+        spark.conf.unset("spark.tallyhouse.broadcastMaxBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for p in (plan, of_parent):
+        assert "BroadcastHashJoin" in p and "hashpartitioning" not in p and "SortMergeJoin" not in p
+    assert "LeftSemi" in of_parent
+    want = {i % 250_000 for i in range(1, 400_000, 2000) if i % 5}
+    assert got == {(k, k + 1 if k < 200_000 else None) for k in want}
+    assert out.count() == 400_000 and out.where("etl_batch_no = 6 and pid is not null").count() == 0
+
+
 # ---- plans when nothing is small enough to broadcast
 
 @pytest.fixture()

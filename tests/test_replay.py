@@ -228,12 +228,16 @@ def _table(store, name):
     return store.read(name, schema)
 
 
-@pytest.mark.parametrize("ref_scope", ["all", "touched"])
-def test_three_batches_match_statement_replay(spark, scratch, ref_scope):
+SCOPES = {"all": {"ref_scope": "all", "history_scope": "all"}, "touched": {},
+          "small parts": {"units": {t: "day" for t in LOAD_ORDER}, "block_ids": 2, "most_parts": 1}}
+
+
+@pytest.mark.parametrize("scope", SCOPES)
+def test_three_batches_match_statement_replay(spark, scratch, scope):
     con = duckdb.connect()
     _create(con, _columns())
     store = TableStore(spark, f"{scratch}/wh")
-    opts = BatchOptions(ref_scope=ref_scope, buckets={"orders": 4, "orderdetails": 4, "customers": 3, "payments": 2})
+    opts = BatchOptions(**SCOPES[scope])
     for i, (ctx, data) in enumerate(FULL):
         root = f"{scratch}/stage{i}"
         _stage(spark, root, ctx, data, LOAD_ORDER)

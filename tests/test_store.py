@@ -5,8 +5,10 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.context import BatchContext
+from tallyhouse.operators import delta_parts
 from tallyhouse.operators.surrogate import assign_surrogate_keys
 from tallyhouse.plans import retail
 from tallyhouse.plans.retail import BatchLog, BatchOptions, run_batch
@@ -41,13 +43,85 @@ def test_a_dying_writer_leaves_the_previous_commit(spark, scratch):
     head = store.publish("a", store.write("a", _df(spark, 1)))
     store.write("a", _df(spark, 2))  # dies after writing data
     assert store.head() == head
-    for text in ("", '{"tables": {"a": [', '{"tables": {"a": [{"nope": 1}]}}'):  # dies while writing the commit
-        n = max(int(x[:-5]) for x in os.listdir(f"{root}/_commits") if x.endswith(".json")) + 1
-        with open(f"{root}/_commits/{n:012d}.json", "w") as f:
-            f.write(text)
-        assert store.head() == head and rows(store.read("a"), "id") == [(1,)]
+    store._write_aside('{"tables": {"a": [')  # dies while or after writing the commit's text
+    assert store.head() == head and rows(store.read("a"), "id") == [(1,)]
     later = store.commit({"a": head.tables["a"] + store.write("a", _df(spark, 3))}, store.head())
-    assert rows(store.read("a"), "id") == [(1,), (3,)] and later.number > head.number + 3
+    assert rows(store.read("a"), "id") == [(1,), (3,)] and later.number == head.number + 1
+    assert any(n.endswith(".tmp") for n in os.listdir(f"{root}/_commits"))
+    store.vacuum(keep=5)
+    assert sorted(n for n in os.listdir(f"{root}/_commits") if not n.endswith(".crc")) == [f"{i:012d}.json" for i in range(3)]
+
+
+def test_an_unreadable_commit_is_an_error_and_a_conflict(spark, scratch):
+    # This store never leaves one; whoever did may still be writing it.
+    root = f"{scratch}/wh"
+    store = TableStore(spark, root)
+    head = store.publish("a", store.write("a", _df(spark, 1)))
+    with open(f"{root}/_commits/{head.number + 1:012d}.json", "w"):
+        pass
+    with pytest.raises(LookupError):
+        store.head()
+    with pytest.raises(ConcurrentCommit):
+        store.commit({"a": ()}, head)
+
+
+class Interrupted(TableStore):
+    """A writer that lets another act just before one of its steps."""
+
+    steps = ("_check", "_write_aside", "_take_number", "_fs", "_numbers")
+
+    def __init__(self, spark, root, step, other):
+        super().__init__(spark, root)
+        plain, calls = getattr(self, step), []
+
+        def first(*args):
+            if not calls:
+                calls.append(1)
+                other()
+            return plain(*args)
+
+        setattr(self, step, first)
+
+
+@pytest.mark.parametrize("step", Interrupted.steps)
+@pytest.mark.parametrize("commits", [1, 3])
+def test_of_two_writers_one_fails_at_every_step(spark, scratch, step, commits):
+    root = f"{scratch}/wh"
+    store = TableStore(spark, root)
+    base = store.publish("a", (Part("a/0"),))
+    other = []
+
+    def act():
+        for i in range(commits):
+            other.append(store.commit({"b": (Part(f"b/{i}"),)}, store.head()))
+        if commits > 1:  # and the numbers between vanish
+            store.vacuum(keep=1)
+
+    with pytest.raises(ConcurrentCommit):
+        Interrupted(spark, root, step, act).commit({"a": (Part("a/1"),)}, base)
+    tables = TableStore(spark, root).head().tables
+    assert tables == other[-1].tables and tables["a"] == (Part("a/0"),) and tables["b"] == (Part(f"b/{commits - 1}"),)
+
+
+def test_many_writers_lose_nothing(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+    root = f"{scratch}/wh"
+    TableStore(spark, root).begin()
+
+    def add(i):
+        store, tries = TableStore(spark, root), 0
+        while True:
+            base = store.head()
+            try:
+                return store.commit({f"t{i}": (Part(f"t{i}/0"),)}, base).number
+            except ConcurrentCommit:
+                tries += 1
+                assert tries < 200
+
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(add, range(24)))
+    assert sorted(numbers) == list(range(1, 25))
+    assert set(TableStore(spark, root).head().tables) == {f"t{i}" for i in range(24)}
 
 
 def test_tables_without_a_commit_are_an_error(spark, scratch):
@@ -123,25 +197,87 @@ def test_publish_error_publishes_nothing_and_a_rerun_is_clean(spark, scratch, mo
     assert store.read("daily_customer_summary").count() == 100
 
 
-def test_a_small_delta_rewrites_its_bucket_alone(spark, scratch):
+def _made(no, month, credit=None, upd=None):
+    row = _customer(no, credit, upd or f"2024-{month:02d}-02 00:00:00")
+    return (*row[:-2], ts(f"2024-{month:02d}-01 00:00:00"), row[-1])
+
+
+def test_a_delta_writes_the_parts_it_changes(spark, scratch):
     store = TableStore(spark, f"{scratch}/wh")
-    opts = BatchOptions(tables=TABLES, buckets={"customers": 16})
-    _batch(spark, store, scratch, 1, FIRST, opts)
-    before = store.head().tables
-    assert len(before["customers"]) == 16
-    _batch(spark, store, scratch, 2, {"customers": [_customer(7, None, "2024-01-02 01:00:00")]}, opts, day=2)
-    after = store.head().tables
-    assert len(set(after["customers"]) - set(before["customers"])) == 1 and len(after["customers"]) == 16
-    assert after["offices"] == before["offices"]
+    first = {"customers": [_made(100 * month + i, month) for month in range(1, 9) for i in range(10)]}
+    _batch(spark, store, scratch, 1, first)
+    before = store.head().tables["customers"]
+    assert [(p.value, p.rows, p.low, p.high) for p in before] == [
+        (f"2024-{m:02d}", 10, 100 * m, 100 * m + 9) for m in range(1, 9)]
+    # one changed row, one row as it was, one older than the table's
+    _batch(spark, store, scratch, 2, {"customers": [_made(307, 3, upd="2024-09-01 00:00:00"), _made(501, 5), _made(
+        702, 7, upd="2024-01-01 00:00:00")]}, day=2)
+    after = store.head().tables["customers"]
+    assert {p.value for p in set(after) - set(before)} == {"2024-03"} and len(after) == 8
     got = store.read("customers")
-    assert got.count() == 100 and got.where("etl_batch_no = 2").count() == 1
-    # a new key continues the ids of the whole table, not of its bucket
-    _batch(spark, store, scratch, 3, {"customers": [_customer(500, None, "2024-01-03 01:00:00")]}, opts, day=3)
-    assert rows(store.read("customers").where("src_customerNumber = 500"), "dw_customer_id") == [(101,)]
-    # other bucket counts: the table is written anew, with the same rows
-    _batch(spark, store, scratch, 4, {"customers": [_customer(7, None, "2024-01-04 01:00:00")]},
-           BatchOptions(tables=TABLES, buckets={"customers": 4}), day=4)
-    assert len(store.head().tables["customers"]) == 4 and store.read("customers").count() == 101
+    assert got.count() == 80 and rows(got.where("etl_batch_no = 2"), "src_customerNumber") == [(307,)]
+    # a new row of an old month gets a part of its own; its id continues the table's
+    _batch(spark, store, scratch, 3, {"customers": [_made(150, 1, upd="2024-09-01 00:00:00")]}, day=3)
+    last = store.head().tables["customers"]
+    assert set(after) < set(last) and [(p.value, p.rows, p.top) for p in set(last) - set(after)] == [("2024-01", 1, 81)]
+    assert store.head().tables["offices"] == ()
+    # many parts of a month are joined when rows go there again
+    opts = BatchOptions(tables=TABLES, most_parts=1)
+    _batch(spark, store, scratch, 4, {"customers": [_made(151, 1, upd="2024-09-01 00:00:00")]}, opts, day=4)
+    parts = store.head().tables["customers"]
+    assert [(p.rows, p.low, p.high) for p in parts if p.value == "2024-01"] == [(12, 100, 151)] and len(parts) == 8
+
+
+def test_a_range_of_keys_leaves_parts_unread(spark, scratch):
+    parts = [Part(f"t/x/_part={i}", str(i), 10, 10 * i, 10 * i + 9) for i in range(20)] + [Part("t/y/_part=z", "z", 3), Part("t/z")]
+    spark.createDataFrame([(5,), (6,), (57,), (None,)], "k int").write.parquet(f"{scratch}/keys")
+    keys = spark.read.parquet(f"{scratch}/keys")
+    assert {p.path for p in delta_parts.overlapping(parts, keys, "k")} == {"t/x/_part=0", "t/x/_part=5", "t/z"}
+    assert [p.path for p in delta_parts.overlapping(parts, keys.where("k is null"), "k")] == ["t/z"]
+    spark.conf.set("spark.tallyhouse.broadcastMaxBytes", "1")  # too many keys: only their whole range counts
+    try:
+        assert len(delta_parts.overlapping(parts, keys, "k")) == 7
+    finally:
+        spark.conf.unset("spark.tallyhouse.broadcastMaxBytes")
+
+
+def test_unresolved_rows_cost_nothing_until_their_parent_arrives(spark, scratch):
+    from tallyhouse.schemas import EMPLOYEES
+    store, tables = TableStore(spark, f"{scratch}/wh"), ("offices", "employees", "customers")
+    opts = BatchOptions(tables=tables)
+
+    def emp(no, upd):
+        return (no, f"e{no}", None, None, None, "1", None, None, ts("2024-01-01 00:00:00"), ts(upd))
+
+    def run(n, data):
+        ctx = BatchContext(n, dt.date(2024, 9, n), ts(f"2024-09-0{n} 05:00:00"))
+        for t in tables:
+            write_delta_csv(spark.createDataFrame(data.get(t, []), SPECS[t].stage_schema()), f"{scratch}/s{n}", t, ctx.batch_date)
+        run_batch(spark, store, ctx, f"{scratch}/s{n}", opts, clock=lambda: ctx.run_ts)
+        return store.head().tables
+
+    def sold_by(no, month, rep):
+        row = list(_made(no, month))
+        row[[c for c, _ in SPECS["customers"].columns].index("salesRepEmployeeNumber")] = rep
+        return tuple(row)
+
+    assert EMPLOYEES.id_col == "dw_employee_id"
+    one = run(1, {"customers": [sold_by(i, m, 70 + m) for m in (1, 2, 3) for i in (10 * m, 10 * m + 1)]})
+    assert len(one["customers_waiting"]) == 3
+    two = run(2, {"customers": [sold_by(90, 4, 74)]})  # nothing arrives: no old part is written
+    assert set(one["customers"]) < set(two["customers"]) and len(two["customers_waiting"]) == 4
+    three = run(3, {"employees": [emp(72, "2024-09-03 00:00:00")]})
+    assert {p.value for p in set(two["customers"]) - set(three["customers"])} == {"2024-02"}
+    got = {r["src_customerNumber"]: r["dw_employee_id"] for r in store.read("customers").collect()}
+    assert got == {10: None, 11: None, 20: 1, 21: 1, 30: None, 31: None, 90: None} and len(three["customers_waiting"]) == 3
+    # a parent that arrives in a batch without the child is not forgotten
+    opts.tables = ("offices", "employees")
+    four = run(4, {"employees": [emp(73, "2024-09-04 00:00:00")]})
+    assert four["customers"] == three["customers"] and [p.value for p in four["customers_due"]] == ["2024-03"]
+    opts.tables = tables
+    five = run(5, {})
+    assert {p.value for p in set(five["customers"]) - set(four["customers"])} == {"2024-03"} and five["customers_due"] == ()
+    assert rows(store.read("customers").where("dw_employee_id = 2"), "src_customerNumber") == [(30,), (31,)]
 
 
 def test_closed_history_rows_are_not_rewritten(spark, scratch):
@@ -151,12 +287,104 @@ def test_closed_history_rows_are_not_rewritten(spark, scratch):
         data = {"customers": [_customer(1, Decimal(credit), f"2024-01-0{n} 01:00:00")]}
         _batch(spark, store, scratch, n, data, day=n)
     parts = store.head().tables["customer_history"]
-    assert sorted(p.value for p in parts) == ["active", "closed", "closed"]
+    assert sorted(p.value for p in parts) == ["active-1000000-0", "closed", "closed"]
     assert store.read("customer_history").count() == 3
     _batch(spark, store, scratch, 4, {}, day=4)
     assert store.head().tables["customer_history"] == parts  # the dimension did not change
 
 
+def test_history_reads_and_writes_blocks_of_changed_ids(spark, scratch):
+    from decimal import Decimal
+    store, opts = TableStore(spark, f"{scratch}/wh"), BatchOptions(tables=TABLES, block_ids=10)
+
+    def credit(no, value, day):
+        return _customer(no, None if value is None else Decimal(value), f"2024-01-{day:02d} 01:00:00")
+
+    _batch(spark, store, scratch, 1, {"customers": [credit(i, 1, 1) for i in range(40)]}, opts)
+    one = store.head().tables["customer_history"]
+    assert sorted(p.value for p in one) == [f"active-10-{i}" for i in range(4)]
+    # one changed value, one changed row of the same value, one to no value
+    _batch(spark, store, scratch, 2, {"customers": [credit(12, 2, 2), credit(25, 1, 2), credit(33, None, 2)]}, opts, day=2)
+    two = store.head().tables["customer_history"]
+    assert {p.value for p in set(one) - set(two)} == {"active-10-1", "active-10-3"}
+    history = store.read("customer_history")
+    assert history.count() == 41 and history.where("dw_active_record_ind = 1").count() == 40
+    # a row that changes without its tracked column touches no history
+    _batch(spark, store, scratch, 3, {"customers": [credit(12, 2, 3)]}, opts, day=3)
+    assert store.head().tables["customer_history"] == two
+    # new ids get parts of their own
+    _batch(spark, store, scratch, 4, {"customers": [credit(99, 5, 4)]}, opts, day=4)
+    four = store.head().tables["customer_history"]
+    assert set(two) < set(four) and [p.value for p in set(four) - set(two)] == ["active-10-4"]
+
+
+def test_summaries_read_parts_of_the_batch(spark, scratch, monkeypatch):
+    store = TableStore(spark, f"{scratch}/wh")
+    opened = []
+    load = TableStore.load
+    monkeypatch.setattr(TableStore, "load", lambda self, parts, schema: opened.extend(p.path for p in parts) or load(self, parts, schema))
+    for day in (1, 2, 3):
+        opened.clear()
+        row = _customer(day, None, f"2024-01-0{day} 01:00:00")
+        _batch(spark, store, scratch, day, {"customers": [(*row[:-2], ts(f"2024-01-0{day} 00:30:00"), row[-1])]}, day=day)
+        tables = store.head().tables
+        daily = [p for p in tables["daily_customer_summary"] if p.path in opened]
+        assert [p.value for p in daily] == [f"2024-01-0{day}"]  # no older daily part
+        assert tables["monthly_customer_summary_rolled"] == tables["daily_customer_summary"]
+    assert store.read("monthly_customer_summary").count() == 3
+
+
+def test_first_payments_are_kept_and_equal_the_minimum(spark, scratch, monkeypatch):
+    import random
+    from tallyhouse.operators.daily import first_payment
+    rng, store = random.Random(3), TableStore(spark, f"{scratch}/wh")
+    opts = BatchOptions(tables=("customers", "payments"), block_ids=4, stage_format="parquet")
+    scans = []
+    minimum = retail.D.first_payment
+    monkeypatch.setattr(retail.D, "first_payment", lambda df: scans.append(sorted(df.inputFiles())) or minimum(df))
+    paid: dict = {}
+    for n in range(1, 6):
+        ctx = BatchContext(n, dt.date(2024, 1, n), ts(f"2024-01-0{n} 05:00:00"))
+        upd, made = ts(f"2024-01-0{n} 04:00:00"), {}
+        for i in range(6):
+            made[f"c{n}-{i}"] = (rng.randrange(1, 14), dt.date(2024, rng.randrange(1, 12), rng.randrange(1, 28)))
+        moved = sorted(paid)[:2] if n in (3, 5) else []  # payments whose date is moved
+        for check in moved:
+            made[check] = (paid[check][0], dt.date(2024, 12, n))
+        paid |= made
+        rows_ = [(c, k, day, 1, ts(f"2024-0{k[1]}-01 00:00:00"), upd) for k, (c, day) in made.items()]
+        frames = {"customers": [_customer(i, None, f"2024-01-0{n} 01:00:00") for i in range(1, 14)], "payments": rows_}
+        for t, data in frames.items():
+            stage = spark.createDataFrame([], SPECS[t].stage_schema())
+            if data:
+                df = spark.createDataFrame([tuple(x) for x in data], [c for c in SPECS[t].source_names]) if t == "payments" else \
+                    spark.createDataFrame(data, SPECS[t].stage_schema())
+                stage = df.select(*[F.col(f.name).cast(f.dataType) for f in SPECS[t].stage_schema()])
+            retail.write_delta(stage, f"{scratch}/s{n}", t, ctx.batch_date, "parquet")
+        batch = retail.Batch(spark, store, ctx, opts)
+        batch.warehouse(f"{scratch}/s{n}")
+        scans.clear()
+        kept = batch._batch_payments()[1]
+        batch.publish()
+        want = first_payment(store.read("payments").where("dw_customer_id is not null"))
+        assert rows(kept, "dw_customer_id", "first_payment_date") == rows(want, "dw_customer_id", "first_payment_date")
+        older = [p.path for p in batch.base.tables.get("payments", ())]
+        read = [f for files in scans for f in files if any(o in f for o in older)]
+        assert bool(read) == bool(moved)  # old payments are read where a date was moved alone
+    assert kept.count() > 8
+
+
+def test_the_log_stays_short(spark, scratch, monkeypatch):
+    monkeypatch.setattr(retail, "LOG_PARTS", 3)
+    log = BatchLog(TableStore(spark, f"{scratch}/wh"))
+    ctx = BatchContext(1, dt.date(2024, 1, 1), ts("2024-01-01 05:00:00"))
+    for i in range(12):
+        log.event(ctx, "R" if i % 2 == 0 else "C", ctx.run_ts)
+        assert len(log.store.head().tables["batch_log_events"]) <= 3
+    assert rows(log.events(), "seq") == sorted((i,) for i in range(1, 13)) or [r[0] for r in sorted(
+        (r["seq"],) for r in log.events().collect())] == list(range(1, 13))
+
+
 def test_ids_do_not_depend_on_partitions_even_for_repeated_keys(spark):
     df = spark.createDataFrame([(i % 37, f"v{i % 91}", i) for i in range(400)], "k long, v string, w long")
     one = rows(assign_surrogate_keys(df, ["k"], "sk", 5, num_partitions=1), "sk", "k", "v", "w")
@@ -167,7 +395,7 @@ def test_ids_do_not_depend_on_partitions_even_for_repeated_keys(spark):
 
 
 def test_parts_are_plain_values():
-    assert Part("a/b") == Part("a/b", None, False)
+    assert Part("a/b") == Part("a/b", None, None)
 
 
 def test_scratch_of_a_batch_is_removed(spark, scratch):
