@@ -363,6 +363,24 @@ def _daily_customer(b: str, run: str, additive: str = "reference", new_customer:
     return f"SELECT {_pad(vals)} FROM ({union}) final GROUP BY summary_date, dw_customer_id"
 
 
+def _daily_customer_exact(b: str, run: str) -> str:
+    """The summed form with direct distinct counts over a day and customer."""
+    lines = "FROM wh_orderdetails od JOIN wh_orders o ON o.dw_order_id = od.dw_order_id"
+    status = "UPPER(TRIM(o.status))"
+    counts = {"order_count": ("orderDate", "od.dw_order_id", f"{status} NOT IN ('CANCELLED', 'SHIPPED')", ""),
+              "cancelled_order_count": ("cancelledDate", "od.dw_order_id", f"{status} = 'CANCELLED'", ""),
+              "shipped_order_count": ("shippedDate", "od.dw_order_id", f"{status} = 'SHIPPED'", ""),
+              "products_ordered_qty": ("orderDate", "od.dw_product_id", "TRUE", "JOIN wh_products p ON od.dw_product_id = p.dw_product_id")}
+    joins, found = [], {}
+    for c, (day, item, cond, more) in counts.items():
+        joins.append(f"LEFT JOIN (SELECT o.{day} AS d, o.dw_customer_id AS k, COUNT(DISTINCT {item}) AS n {lines} {more} "
+                     f"WHERE o.{day} >= {b} AND {cond} GROUP BY 1, 2) x_{c} "
+                     f"ON t.summary_date = x_{c}.d AND t.dw_customer_id IS NOT DISTINCT FROM x_{c}.k")
+        found[c] = f"CAST(COALESCE(x_{c}.n, 0) AS BIGINT)"
+    names = ", ".join(f"{found.get(c, f't.{c}')} AS {c}" for c, _ in D.CUSTOMER_COLUMNS)
+    return f"SELECT {names} FROM ({_daily_customer(b, run, additive='sum')}) t {' '.join(joins)}"
+
+
 def _product_branches(b: str) -> dict[str, str]:
     lines = ("FROM wh_orderdetails od JOIN wh_orders o ON od.src_orderNumber = o.src_orderNumber "
              "JOIN wh_products p ON od.src_productCode = p.src_productCode")
@@ -561,6 +579,7 @@ def oracle_sql() -> dict[str, str]:
         put(key, br[name], ccols, fp)
     put("daily_customer_summary", _daily_customer(B, RUN), ccols, fp)
     put("daily_customer_summary_additive_sum", _daily_customer(B, RUN, additive="sum"), ccols, fp)
+    put("daily_customer_summary_additive_exact", _daily_customer_exact(B, RUN), ccols, fp)
     put("daily_customer_summary_customers_only", _daily_customer(B, RUN, new_customer="customers_only"),
         ccols, fp)
     pb = _product_branches(B)

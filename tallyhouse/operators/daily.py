@@ -49,7 +49,7 @@ CUSTOMER_OUTER_MAX = ("order_count", "order_apd", "order_cost_amount", "cancelle
                       "new_customer_paid_apd")
 CUSTOMER_OUTER_SUM = ("cancelled_order_amount", "shipped_order_amount", "payment_amount",
                       "order_mrp_amount")
-# Measures that 'additive=sum' switches from MAX to SUM.
+# Measures that 'additive=sum' and 'exact' switch from MAX to SUM.
 CUSTOMER_ADDITIVE = ("order_count", "order_cost_amount", "cancelled_order_count",
                      "shipped_order_count", "products_ordered_qty", "products_items_qty")
 
@@ -147,16 +147,19 @@ def _line_events(orders: DataFrame, orderdetails: DataFrame, products: DataFrame
             .select("*", F.col("_ev.br").alias("br"), F.col("_ev.day").alias("summary_date")))
 
 
-def _line_inner_groups(orders, orderdetails, products, ctx, branches=LINE_BRANCHES) -> DataFrame:
+def _line_inner_groups(orders, orderdetails, products, ctx, branches=LINE_BRANCHES, exact: bool = False) -> DataFrame:
+    """Inner groups of the line branches, zero-padded. ``exact`` groups by
+    branch, day and customer alone, so that an order whose lines were loaded
+    by several batches counts once."""
     ev = _line_events(orders, orderdetails, products, ctx, branches)
     is_ordered = F.col("br") == ORDERED
     item = F.when(is_ordered, F.col("dw_product_id")).otherwise(F.col("dw_order_id"))
     amount = F.when(is_ordered, F.col("quantityOrdered") * F.col("MSRP")) \
         .otherwise(F.col("priceEach") * F.col("quantityOrdered"))
-    g = ev.groupBy("br", "summary_date", "dw_customer_id", "_o_cts", "_o_uts",
-                   "etl_batch_no", "etl_batch_date") \
+    inner = ["_o_cts", "_o_uts", "etl_batch_no", "etl_batch_date"]
+    g = ev.groupBy("br", "summary_date", "dw_customer_id", *([] if exact else inner)) \
         .agg(F.count_distinct(item).alias("_n"), F.sum("quantityOrdered").alias("_q"),
-             F.sum(amount).alias("_a"))
+             F.sum(amount).alias("_a"), *([F.max(c).alias(c) for c in inner] if exact else []))
     br = F.col("br")
 
     def on(name, col):
@@ -218,13 +221,15 @@ def daily_customer_summary(customers: DataFrame, orders: DataFrame, orderdetails
 
     ``additive='reference'`` keeps MAX for counts, cost and quantities
     (several inner rows per day and customer then under-report them);
-    ``'sum'`` adds them up. ``new_customer='reference'`` flags a day equal
+    ``'sum'`` adds them up, which counts an order or product once for each
+    of its inner rows; ``'exact'`` adds amounts and quantities and counts
+    every order and product of a day and customer once. ``new_customer='reference'`` flags a day equal
     to the date of the newest create timestamp of any branch;
     ``'customers_only'`` flags only days with a customer-created row.
     ``first`` are first payment dates kept by earlier batches; ``payments``
     then need not go back before the batch date.
     """
-    lines = _line_inner_groups(orders, orderdetails, products, ctx)
+    lines = _line_inner_groups(orders, orderdetails, products, ctx, exact=additive == "exact")
     new = new_customers(customers, ctx).select(F.lit(NEW).alias("br"), "*")
     pay = payment_branch(payments, ctx, first).select(F.lit(PAY).alias("br"), "*")
     u = lines.unionByName(new).unionByName(pay)
@@ -235,7 +240,7 @@ def daily_customer_summary(customers: DataFrame, orders: DataFrame, orderdetails
                 e = F.when(F.col("summary_date") == to_day(F.max("dw_create_timestamp")), 1).otherwise(0)
             else:
                 e = F.max(F.when(F.col("br") == NEW, 1).otherwise(0))
-        elif c in CUSTOMER_OUTER_SUM or (additive == "sum" and c in CUSTOMER_ADDITIVE):
+        elif c in CUSTOMER_OUTER_SUM or (additive in ("sum", "exact") and c in CUSTOMER_ADDITIVE):
             e = F.sum(c)
         else:
             e = F.max(c)
@@ -251,15 +256,14 @@ def daily_customer_summary(customers: DataFrame, orders: DataFrame, orderdetails
 # ----------------------------------------------------------------- product
 
 def _product_events(orders: DataFrame, orderdetails: DataFrame, products: DataFrame,
-                    ctx: BatchContext) -> DataFrame:
-    """Lines joined on source keys, exploded into ordered/cancelled events."""
-    b = ctx.date_col()
-    st = norm_text("status")
+                    ctx: BatchContext, branches: tuple[str, ...] = (ORDERED, CANCEL)) -> DataFrame:
+    """Lines joined on source keys, exploded into the events of ``branches``."""
+    # Cancelled orders are part of the 'ordered' amounts too.
+    conditions = {k: v for k, v in _line_conditions(ctx.date_col()).items() if k in branches}
     o = broadcast_if_measured_small(
-        orders.select(F.col("src_orderNumber").alias("_o_no"), "orderDate", "cancelledDate",
-                      st.alias("_st"))
-        .where(on_or_after("orderDate", b)
-               | (on_or_after("cancelledDate", b) & (F.col("_st") == CANCELLED))), "batch_orders")
+        orders.select(F.col("src_orderNumber").alias("_o_no"), "orderDate", "cancelledDate", "shippedDate",
+                      norm_text("status").alias("_st"))
+        .where(reduce(lambda x, y: x | y, [c for _, c in conditions.values()])), "batch_orders")
     p = broadcast_if_small(products.select(F.col("src_productCode").alias("_p_code"), "MSRP")
                            .where(F.col("_p_code").isNotNull()))
     od = orderdetails.select("src_orderNumber", "src_productCode", "dw_product_id",
@@ -267,14 +271,8 @@ def _product_events(orders: DataFrame, orderdetails: DataFrame, products: DataFr
     lines = (od.join(o, F.col("src_orderNumber") == F.col("_o_no"), "inner")
              .join(p, F.col("src_productCode") == F.col("_p_code"), "inner"))
 
-    def ev(name, day, cond):
-        return F.when(cond, F.struct(F.lit(name).alias("br"), F.col(day).cast("date").alias("day")))
-
-    events = F.array(
-        # Cancelled orders are part of the 'ordered' amounts too.
-        ev(ORDERED, "orderDate", on_or_after("orderDate", b)),
-        ev(CANCEL, "cancelledDate", on_or_after("cancelledDate", b) & (F.col("_st") == CANCELLED)),
-    )
+    events = F.array(*[F.when(cond, F.struct(F.lit(name).alias("br"), F.col(day).cast("date").alias("day")))
+                       for name, (day, cond) in conditions.items()])
     return (lines.select("*", F.explode(events).alias("_ev")).where(F.col("_ev").isNotNull())
             .select("*", F.col("_ev.br").alias("br"), F.col("_ev.day").alias("summary_date")))
 
@@ -296,7 +294,7 @@ def _product_values(br: Column) -> dict:
 
 def product_branch(name: str, orders, orderdetails, products, ctx) -> DataFrame:
     """P1 ('ordered') / P2 ('cancelled'): inner groups, zero-padded."""
-    ev = _product_events(orders, orderdetails, products, ctx).where(F.col("br") == name)
+    ev = _product_events(orders, orderdetails, products, ctx, (name,))
     vals = _product_values(F.col("br"))
     aggs = [(F.max(vals[c]) if c in ("customer_apd", "cancelled_order_apd") else F.sum(vals[c]))
             .cast(t).alias(c) for c, t in PRODUCT_MEASURES]

@@ -27,7 +27,7 @@ from tallyhouse.sources.store import TableStore
 # Option, choices (first is the default) of the switches of BatchOptions.
 SWITCHES = {
     "empty_text": ("empty", "null"),
-    "additive": ("reference", "sum"),
+    "additive": ("reference", "sum", "exact"),
     "new_customer": ("reference", "customers_only"),
     "daily_write": ("append", "replace_dates"),
     "monthly_mode": ("incremental", "recompute"),

@@ -212,6 +212,7 @@ for _key, _br in (("daily_products_ordered", D.ORDERED), ("daily_cancelled_order
 register("daily_customer_summary")(lambda tb: tb.daily_customer())
 # Switch paths of the semantics register, over the same whole tables.
 register("daily_customer_summary_additive_sum")(lambda tb: tb.daily_customer(additive="sum"))
+register("daily_customer_summary_additive_exact")(lambda tb: tb.daily_customer(additive="exact"))
 register("daily_customer_summary_customers_only")(lambda tb: tb.daily_customer(new_customer="customers_only"))
 register("daily_product_ordered")(lambda tb: D.product_branch(
     D.ORDERED, tb.mat("wh_orders"), tb.mat("wh_orderdetails"), tb.mat("wh_products"), tb.ctx))

@@ -94,7 +94,7 @@ EVENTS, STEPS = "batch_log_events", "batch_log_steps"
 class BatchOptions:
     empty_text: str = "empty"         # Q4: 'empty' (as the original load) or 'null'
     null_safe_scd2: bool = False      # Q12
-    additive: str = "reference"       # Q15: 'reference' or 'sum'
+    additive: str = "reference"       # Q15: 'reference', 'sum' or 'exact'
     new_customer: str = "reference"   # Q16: 'reference' or 'customers_only'
     daily_write: str = "append"       # Q18: 'append' or 'replace_dates'
     monthly_mode: str = "incremental"  # Q23: 'incremental' or 'recompute'

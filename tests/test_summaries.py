@@ -38,6 +38,45 @@ def test_same_day_orders_max_vs_sum(spark):
     assert ref["order_mrp_amount"] == m(80)  # SUM in both modes
 
 
+def test_exact_counts_equal_direct_distinct_counts(spark):
+    # Q15: lines of one order loaded by several batches make several inner
+    # rows: 'sum' counts the order in each of them, 'exact' once.
+    import random
+    from collections import defaultdict
+    rng = random.Random(15)
+    day = lambda k: d(f"2024-03-{11 + k % 3}")
+    states = ["In Process", "Shipped", "cancelled", None, "On Hold"]
+    orders = [(i, rng.choice([1, 2, 3, None]), i, day(i), day(i + 1), day(i + 2), rng.choice(states),
+               ts(f"2024-03-0{1 + rng.randrange(3)} 01:00:00"), ts("2024-03-09 01:00:00")) for i in range(1, 41)]
+    lines = [(rng.randrange(1, 44), rng.randrange(1, 4), 0, "P", rng.randrange(1, 5), m(rng.randrange(1, 9)),
+              rng.randrange(5, 9), d("2024-03-10")) for _ in range(300)]
+    c, o, od, p, pa = _inputs(spark, orders, lines)
+    want, groups, plus = defaultdict(set), defaultdict(set), defaultdict(int)
+    by_id = {x[0]: x for x in orders}
+    for line in lines:
+        x = by_id.get(line[0])
+        if x is None:
+            continue
+        state = None if x[6] is None else x[6].strip().upper()
+        hits = [("cancelled_order_count", x[5], line[0])] if state == "CANCELLED" else [
+            ("shipped_order_count", x[4], line[0])] if state == "SHIPPED" else [("order_count", x[3], line[0])] if state else []
+        if line[1] < 3:  # the products that exist
+            hits.append(("products_ordered_qty", x[3], line[1]))
+        for measure, at, item in hits:
+            want[at, x[1], measure].add(item)
+            groups[at, x[1], measure].add((item, x[7], line[6]))
+        plus[x[3], x[1]] += line[4] * (line[1] < 3)
+    out = {}
+    for mode in ("exact", "sum"):
+        got = daily_customer_summary(c, o, od, p, pa, CTX, additive=mode).collect()
+        out[mode] = {(r["summary_date"], r["dw_customer_id"], k): r[k] for r in got for k in (
+            "order_count", "cancelled_order_count", "shipped_order_count", "products_ordered_qty") if r[k]}
+        assert {(r["summary_date"], r["dw_customer_id"]): r["products_items_qty"] for r in got if r["products_items_qty"]} == {
+            k: v for k, v in plus.items() if v}
+    assert out["exact"] == {k: len(v) for k, v in want.items()}
+    assert any(out["sum"][k] > v for k, v in out["exact"].items())
+
+
 def test_new_customer_flag_and_status_forms(spark):
     # Q16: an order created on its order day sets new_customer_apd in
     # 'reference' mode; 'customers_only' only flags customer-created days.
