@@ -406,3 +406,24 @@ def test_scratch_of_a_batch_is_removed(spark, scratch):
     _batch(spark, store, scratch, 1, FIRST)
     assert set(os.listdir(root)) - before == set()
     assert store.read("daily_customer_summary").count() == 100
+
+
+def test_a_delta_of_600_order_lines_rewrites_few_parts(spark, scratch):
+    from tallyhouse.plans.testbed import Testbed
+    name, store = "orderdetails", TableStore(spark, f"{scratch}/wh")
+    lines = Testbed(spark, "/root/testdata/sf0.01").source(name).cache()
+    newest = lines.orderBy(F.desc("create_timestamp"), "orderNumber", "productCode").limit(600)
+    changed = newest.withColumn("quantityOrdered", F.col("quantityOrdered") + 1000).withColumn(
+        "update_timestamp", F.lit(ts("2030-01-01 00:00:00")).cast("timestamp_ntz"))
+    counts = []
+    for n, stage in ((1, lines), (2, changed)):
+        ctx = BatchContext(n, dt.date(2024, 1, n), ts(f"2024-01-0{n} 05:00:00"))
+        retail.write_delta(stage, f"{scratch}/s{n}", name, ctx.batch_date, "parquet")
+        batch = retail.Batch(spark, store, ctx, BatchOptions(tables=(name,), stage_format="parquet"))
+        batch.warehouse(f"{scratch}/s{n}")
+        batch.publish()
+        counts.append(store.read(name).count())
+    first, last = batch.base.tables[name], store.head().tables[name]
+    assert len(first) > 60 and len(set(first) - set(last)) <= len(first) // 10
+    assert counts[0] == counts[1] == sum(p.rows for p in last)
+    assert store.read(name).where("quantityOrdered > 1000").count() == changed.select("orderNumber", "productCode").distinct().count()
