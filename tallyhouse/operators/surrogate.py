@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.session import estimated_size_bytes, materialize
+from tallyhouse.session import estimated_size_bytes, write_through
 
 # Input bytes per range partition when numbering rows. The number of
 # partitions changes no id: every input is numbered in one total order.
@@ -31,19 +31,24 @@ def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], id_col: str,
     columns, so ids depend on the rows alone. Recipe: range-partition in
     that order, sort within partitions, tag each row with its partition
     and position (``monotonically_increasing_id`` is ``partition << 33 |
-    position``), checkpoint so the tags are fixed, count rows per partition
+    position``), write so the tags are fixed, count rows per partition
     (one small row per partition), turn the counts into offsets on the
     driver and broadcast them back. The driver only sees one number per
-    partition; a small input has one partition.
+    partition. A small input has one partition, whose positions are the ids:
+    it is sorted and written in one job.
     """
     spark = df.sparkSession
     keys = list(keys)
     order = [F.col(c).asc_nulls_first() for c in keys + [c for c in df.columns if c not in keys]]
     n = num_partitions or _partitions_for(df)
+    if n == 1:
+        first = F.lit(start_after).cast("long") + 1
+        numbered = df.repartition(1).sortWithinPartitions(*order).select((first + F.monotonically_increasing_id()).alias(id_col), "*")
+        return write_through(numbered, "numbered")
     tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_POS, F.monotonically_increasing_id()))
-    tagged = materialize(tagged)
+    tagged = write_through(tagged, "tagged")
     counts = sorted((r[_PID], r["count"]) for r in tagged.groupBy(_PID).count().collect())
     offsets, running = [], 0
     for pid, cnt in counts:

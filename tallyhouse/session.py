@@ -80,17 +80,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: cuts lineage and pins non-deterministic ids."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def write_through(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` as parquet under the session's checkpoint folder (the
-    cluster's shared scratch) and read it back. Cuts lineage like a
-    checkpoint, but the result keeps file statistics (size-checked
-    broadcasts work), column pruning and filter pushdown."""
+    cluster's shared scratch) and read it back. Cuts lineage and pins
+    non-deterministic ids like a checkpoint, but the result keeps file
+    statistics (size-checked broadcasts work), column pruning and filter
+    pushdown."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     folder = _SCRATCH[-1] if _SCRATCH else "tallyhouse-tables"
