@@ -18,10 +18,11 @@ import json
 
 from pyspark.sql import SparkSession
 
-from tallyhouse.context import context_from_control, source_path
+from tallyhouse.context import context_from_control
 from tallyhouse.plans.retail import BatchOptions, run_batch
 from tallyhouse.schemas import LOAD_ORDER
 from tallyhouse.session import configure
+from tallyhouse.sources.extract import read_source
 from tallyhouse.sources.store import TableStore
 
 # Option, choices (first is the default) of the switches of BatchOptions.
@@ -67,8 +68,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     reader = dict(x.split("=", 1) for x in args.reader)
 
     def sources():
-        return {t: spark.read.format(args.format).options(**reader)
-                .load(source_path(args.sources, t, ctx.batch_date if args.snapshots else None)) for t in tables}
+        day = ctx.batch_date if args.snapshots else None
+        return {t: read_source(spark, args.sources, t, day, args.format, **reader) for t in tables}
 
     opts = BatchOptions(tables=tables, null_safe_scd2=args.null_safe_scd2, null_safe_keys=args.null_safe_keys,
                         widths=json.loads(args.widths), **{name: getattr(args, name) for name in SWITCHES})

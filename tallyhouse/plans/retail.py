@@ -43,7 +43,7 @@ from tallyhouse.operators.refs import resolve_ref, touched_or_unresolved
 from tallyhouse.operators.scd2 import scd2_active
 from tallyhouse.operators.upsert import inserted_rows, stage_to_warehouse, updated_rows, upsert
 from tallyhouse.schemas import LOAD_ORDER, SPECS, TableSpec, history_schema
-from tallyhouse.session import configure, scratch_folder, write_through
+from tallyhouse.session import configured, scratch_folder, write_through
 from tallyhouse.sources.csv_stage import delta_path, read_stage, write_delta
 from tallyhouse.sources.extract import delta_extract
 from tallyhouse.sources.store import Commit, ConcurrentCommit, Part, TableStore
@@ -154,7 +154,7 @@ class Batch:
 
     def __init__(self, spark: SparkSession, store: TableStore, ctx: BatchContext,
                  opts: BatchOptions | None = None):
-        self.spark = configure(spark)
+        self.spark = spark
         self.store = store
         self.base = store.begin()
         self.ctx = ctx
@@ -549,14 +549,15 @@ def run_batch(spark: SparkSession, store: TableStore, ctx: BatchContext, stage_r
               opts: BatchOptions | None = None, clock=dt.datetime.now,
               sources: Callable[[], dict[str, DataFrame]] | None = None) -> DataFrame:
     """Run one batch end to end; returns the batch log state. With
-    ``sources`` the deltas are extracted first, inside the logged batch."""
+    ``sources`` the deltas are extracted first, inside the logged batch.
+    The session's settings are as before when it returns."""
     log = BatchLog(store)
     log.event(ctx, RUNNING, clock())
     try:
-        batch = Batch(spark, store, ctx, opts)
-        if sources is not None:
-            extract_deltas(sources(), stage_root, ctx, batch.opts.stage_format)
-        with scratch_folder(spark):  # steps read the store, not each other's scratch
+        with configured(spark), scratch_folder(spark):  # steps read the store, not each other's scratch
+            batch = Batch(spark, store, ctx, opts)
+            if sources is not None:
+                extract_deltas(sources(), stage_root, ctx, batch.opts.stage_format)
             batch.warehouse(stage_root)
             batch.histories()
             batch.summaries()

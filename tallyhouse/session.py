@@ -28,6 +28,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def configured(spark: SparkSession) -> Iterator[SparkSession]:
+    """The settings the operators rely on, for a while: the session's own
+    come back at the end."""
+    before = {key: spark.conf.get(key, None) for key in _SQL_DEFAULTS}
+    try:
+        yield configure(spark)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            elif spark.conf.get(key, None) != value:
+                spark.conf.set(key, value)
+
+
 def build_local_session(cores: int = 8, shuffle_partitions: int = 8,
                         app: str = "tallyhouse") -> SparkSession:
     """Session used by tests and the benchmark (never on a cluster)."""

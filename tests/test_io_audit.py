@@ -142,3 +142,21 @@ def test_unparseable_date_fails_the_load(spark, scratch):
     with pytest.raises(Exception):
         read_stage(spark, path, ORDERS).collect()
     assert read_stage(spark, path, ORDERS, mode="PERMISSIVE").collect()[0]["orderDate"] is None
+
+
+def test_sources_are_read_with_and_without_dated_snapshots(spark, scratch):
+    from tallyhouse.sources.extract import read_delta, read_source
+    spec = PRODUCTLINES
+
+    def lines(*days):
+        rows_ = [(f"L{day}", "x", ts("2024-01-01 00:00:00"), ts(f"2024-03-{day:02d} 00:00:00")) for day in days]
+        return spark.createDataFrame(rows_, spec.stage_schema()).withColumn("more", F.lit(1))
+
+    lines(9, 10, 11).write.parquet(f"{scratch}/src/productlines")
+    lines(1, 12).write.parquet(f"{scratch}/src/CM_20240310/productlines")
+    lines(7).write.option("header", True).csv(f"{scratch}/src/CM_20050609/productlines")
+    assert rows(read_delta(spark, f"{scratch}/src/", "productlines", CTX), "productLine") == [("L10",), ("L11",)]
+    dated = read_delta(spark, f"{scratch}/src", "productlines", CTX, snapshot=True)
+    assert dated.columns == spec.source_names and rows(dated, "productLine") == [("L12",)]
+    first = BatchContext(1, dt.date(2001, 1, 1), ts("2001-01-01 05:00:00"))
+    assert rows(read_source(spark, f"{scratch}/src", "productlines", first.batch_date, "csv", header="true"), "productLine") == [("L7",)]

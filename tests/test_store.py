@@ -403,7 +403,12 @@ def test_scratch_of_a_batch_is_removed(spark, scratch):
     store = TableStore(spark, f"{scratch}/wh")
     root = ensure_checkpoint_dir(spark).removeprefix("file:") + "/tallyhouse-tables"
     before = set(os.listdir(root)) if os.path.exists(root) else set()
-    _batch(spark, store, scratch, 1, FIRST)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")  # the user's own settings stay
+    try:
+        _batch(spark, store, scratch, 1, FIRST)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert set(os.listdir(root)) - before == set()
     assert store.read("daily_customer_summary").count() == 100
 
