@@ -228,6 +228,7 @@ class Batch:
         target = self.store.load(old, spec.warehouse_schema())
         nxt = self._resolved(spec, upsert(target, stage, spec, self.ctx), (), True)
         self.pending[name] = self._new_parts(spec, nxt)
+        self.pending[f"{name}_due"] = ()
         self.feed[name] = None
         self._note_waiting(spec, (), self.pending[name])
         self._announce(name, self._warehouse_table(name))
@@ -527,7 +528,7 @@ class BatchLog:
             except ConcurrentCommit:
                 continue
             if joined:  # and what was joined goes, some commits later
-                self.store.vacuum(2 * LOG_PARTS)
+                self.store.vacuum(2 * LOG_PARTS, running=True)
             return
         raise ConcurrentCommit("the batch log is busy")
 

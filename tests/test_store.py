@@ -151,6 +151,19 @@ def test_vacuum_keeps_what_kept_commits_name(spark, scratch):
     assert rows(store.read("a"), "id") == [(3,)] and store.read("b").count() == 1
 
 
+def test_vacuum_beside_running_batches_leaves_what_they_write(spark, scratch):
+    store = TableStore(spark, f"{scratch}/wh")
+    old = store.write("a", _df(spark, 0))
+    store.publish("a", old)
+    for i in range(1, 4):
+        store.publish("a", store.write("a", _df(spark, i)))
+    writing = store.write("a", _df(spark, 7))  # not committed yet
+    assert old[0].path in store.vacuum(keep=2, running=True)
+    store.publish("a", writing)
+    assert rows(store.read("a"), "id") == [(7,)]
+    assert store.vacuum(keep=1, running=True) and rows(store.read("a"), "id") == [(7,)]
+
+
 def _office(code, terr, upd):
     return (code, f"city {code}", None, None, None, None, "X", None, terr, ts("2024-01-01 00:00:00"), ts(upd))
 
