@@ -5,12 +5,11 @@ unless ``width`` says otherwise). Documents
 link when the Jaccard similarity of their shingle sets reaches a bound.
 
 1. Equal sets are one class; only classes are compared.
-2. Which rows can meet: two sets that reach the bound have sizes within
-   its ratio and differ in at most d elements, d following from the sizes.
-   The columns are therefore cut into d + 1 blocks; such a pair agrees in
-   the whole of at least one block. Classes that share a column block of a
-   size band are candidates of each other, and candidates that hang
-   together form a cluster.
+2. Which rows can meet: two sets that reach the bound share one of the
+   rarest shingles of either, as many as the bound lets a set differ in and
+   one more (:mod:`rare_shingles`). Classes that share such a shingle are
+   candidates of each other, and candidates that hang together form a
+   cluster. Rows that only share what many documents hold do not meet.
 3. In a cluster every class is first compared with the class that shares
    most; classes that link to it need no comparison among each other.
 4. The other rows of the cluster are cut into row blocks of bounded size.
@@ -44,6 +43,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import saved, small, text_or_empty
 from tallyhouse.llm.components import components
+from tallyhouse.llm.rare_shingles import frequent_in, rare_keys
 
 SHINGLE = 3
 BLOCK_ROWS = 128  # rows of a row block
@@ -73,60 +73,22 @@ def shingles(raw: bytes, width: int = SHINGLE) -> np.ndarray:
     return np.unique(total)
 
 
-class Bands:
-    """Size bands and their number of column blocks for a bound
-    ``num / den`` on the Jaccard similarity."""
-
-    def __init__(self, num: int, den: int):
-        self.num, self.den = num, den
-        edges = [1]
-        while edges[-1] < 1 << 40:
-            edges.append(-(-edges[-1] * den ** 3 // num ** 3) if num < den else edges[-1] * 2)
-        self.edges = np.array(edges, dtype=np.int64)
-
-    def of(self, size: int) -> int:
-        return int(np.searchsorted(self.edges, size, side="right")) - 1
-
-    def blocks(self, band: int) -> int:
-        """One more than the elements in which two sets can differ whose
-        smaller one lies in the band."""
-        small = int(self.edges[band + 1]) - 1
-        large = small * self.den // self.num
-        return (small + large) * (self.den - self.num) // (self.den + self.num) + 1
-
-    def keys(self, found: np.ndarray) -> np.ndarray:
-        """Keys of the column blocks of a set: those of the bands in which
-        the smaller set of a linked pair can lie."""
-        n = len(found)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(found)])
-        out = []
-        for band in range(self.of(-(-n * self.num // self.den)), self.of(n) + 1):
-            count = self.blocks(band)
-            block = ((found >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
-            edge = np.searchsorted(block, np.arange(count + 1, dtype=np.uint64))
-            content = sums[edge[1:]] - sums[edge[:-1]]
-            place = np.arange(count, dtype=np.uint64) + (np.uint64(band) << np.uint64(40))
-            out.append(_mixed(content + _mixed(place * _MIX[0])))
-        return np.concatenate(out) if out else np.zeros(0, np.uint64)
-
-
-def _sets(docs: DataFrame, id_col: str, text_col: str, bands: Bands, width: int) -> DataFrame:
-    """doc_id, n_shingles, set_key and the packed block keys of each row."""
+def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """doc_id, n_shingles and set_key of each row; one row of each batch
+    also holds the shingles that are frequent in the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, names, keys = [], [], []
-            for raw in b["text"].cast(pa.binary()).to_pylist():
-                found = shingles(raw, width)
-                sizes.append(len(found))
-                names.append(set_key(found))
-                keys.append(bands.keys(found).tobytes() if len(found) else None)
+            found = [shingles(raw, width) for raw in b["text"].cast(pa.binary()).to_pylist()]
+            names = [set_key(x) for x in found]
+            often = frequent_in(list({k: x for k, x in zip(names, found) if k is not None}.values())) or (None, None)
+            told = [pa.array([x, *[None] * (len(found) - 1)][:len(found)], pa.binary()) for x in often]
             yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(keys, pa.binary())],
-                names=["doc_id", "n_shingles", "set_key", "block_keys"])
+                [b["doc_id"], pa.array([len(x) for x in found], pa.int64()), pa.array(names, pa.binary()), *told],
+                names=["doc_id", "n_shingles", "set_key", "often", "often_counts"])
 
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return source.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, block_keys binary")
+    return source.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, often binary, often_counts binary")
 
 
 def set_key(found: np.ndarray) -> bytes | None:
@@ -143,26 +105,11 @@ def set_key_of(text: Column, width: int = SHINGLE) -> Column:
     return run(text)
 
 
-def _unpacked(classes: DataFrame) -> DataFrame:
-    """(rid, key) of every column block of every class."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = [np.frombuffer(x, dtype=np.int64) for x in b["block_keys"].to_pylist()]
-            for i in range(0, len(keys), 2000):
-                part = keys[i:i + 2000]
-                rid = np.repeat(b["rid"].to_numpy()[i:i + 2000], [len(k) for k in part])
-                yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(np.concatenate(part))], names=["rid", "key"])
-
-    return classes.select("rid", "block_keys").mapInArrow(run, "rid long, key long")
-
-
-def _candidates(classes: DataFrame) -> DataFrame:
-    """(leader, rid): each class with the most connected class of each
-    column block that it shares with another one."""
-    rows = _unpacked(classes)
-    shared = saved(rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "shared-blocks")
-    members = saved(rows.join(small(shared), "key"), "block-members")
+def _candidates(rows: DataFrame) -> DataFrame:
+    """(leader, rid): each class with the most connected class of each of
+    the shingles (rid, key) that it shares with another one."""
+    shared = saved(rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "shared-shingles")
+    members = saved(rows.join(small(shared), "key"), "shingle-members")
     weight = members.groupBy("rid").agg(F.sum("members").alias("weight"))
     ranked = members.select("rid", "key").join(weight, "rid")
     leader = ranked.groupBy("key").agg(F.max(F.struct("weight", (-F.col("rid")).alias("minus"))).alias("best"))
@@ -323,14 +270,15 @@ def link_classes(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "do
         raise ValueError("the bound must be above 0 and at most 1")
     if width < 1:
         raise ValueError("a shingle has at least one word")
-    bands = Bands(num, den)
-    rows = saved(_sets(docs, id_col, text_col, bands, width), "shingle-sets")
+    rows = saved(_sets(docs, id_col, text_col, width), "shingle-sets")
     classes = (rows.where("set_key is not null").groupBy("set_key")
-               .agg(F.min("doc_id").alias("min_id"), F.max("n_shingles").alias("n"), F.max("block_keys").alias("block_keys")))
+               .agg(F.min("doc_id").alias("min_id"), F.max("n_shingles").alias("n")))
     classes = saved(classes.withColumn("rid", F.monotonically_increasing_id()), "classes")
     slim = classes.select("rid", "set_key", "min_id", "n")
 
-    candidates = _candidates(classes)
+    texts = docs.select(text_or_empty(text_col).alias("text"))
+    rare = rare_keys(texts, classes, rows, num, den, lambda raw: shingles(raw, width), set_key)
+    candidates = _candidates(saved(rare, "rare-shingles"))
     cluster = saved(components(candidates, "leader", "rid").withColumnsRenamed({"node": "rid", "component": "cluster"}), "clusters")
     involved = saved(slim.join(cluster, "rid"), "involved")
     found = _found_of(docs, involved, id_col, text_col, width)
@@ -370,7 +318,7 @@ def link_classes(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "do
     names = (grouped.where("group is not null").groupBy("group_id").agg(F.min("min_id").alias("name")))
     named = grouped.join(names, "group_id", "left").select(
         "set_key", "group_id", F.when(F.col("group").isNull(), F.col("min_id")).otherwise(F.col("name")).alias("component_id"))
-    return rows.drop("block_keys"), saved(named, "components")
+    return rows.drop("often", "often_counts"), saved(named, "components")
 
 
 def ngram_components(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id",

@@ -160,3 +160,54 @@ def test_keep_one_by_five_word_shingles(spark):
     assert kept < {r["doc_id"] for r in ngram_join.keep_one(docs, 9, 10).collect()}
     with pytest.raises(ValueError):
         ngram_join.keep_one(docs, 4, 5, width=0)
+
+
+def boilerplate(rng, n, common, own):
+    """Documents of the same ``common`` words and ``own`` of their own."""
+    shared = [f"c{i}" for i in range(common)]
+    return [(i, " ".join([*shared, *(f"o{i}-{k}" for k in range(own))])) for i in range(n)]
+
+
+def test_documents_that_share_common_words_alone_do_not_meet(spark, monkeypatch):
+    from tallyhouse.llm import rare_shingles
+    rows = boilerplate(random.Random(1), 400, 60, 14)
+    rows += [(1000, rows[7][1]), (1001, rows[9][1] + " end"), (1002, " ".join(rows[11][1].split()[:-1]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    met = []
+    candidates = ngram_join._candidates
+    monkeypatch.setattr(ngram_join, "_candidates", lambda x: met.append(candidates(x)) or met[-1])
+    want = brute(rows)
+    for least in (rare_shingles.FREQUENT_LEAST, 30):  # 30: the common ones are not even sent
+        monkeypatch.setattr(rare_shingles, "FREQUENT_LEAST", least)
+        assert found(ngram_join.ngram_components(docs)) == want
+        assert met[-1].count() <= 8  # of 402 classes
+    assert found(ngram_join.ngram_components(docs, 4, 5)) == brute(rows, 4, 5)
+
+
+@pytest.mark.parametrize("bound", [(9, 10), (1, 2)])
+def test_few_bits_and_frequent_shingles_lose_no_link(spark, monkeypatch, bound):
+    """Shingles and names that agree in their bits, and frequent ones, only
+    add candidates."""
+    from tallyhouse.llm import rare_shingles
+    monkeypatch.setattr(rare_shingles, "FREQUENT_LEAST", 5)
+    monkeypatch.setattr(rare_shingles, "NAME_BITS", 3)
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(60)]
+    texts = [t for n, size, changes in ((60, 40, 4), (40, 15, 2), (30, 6, 1), (10, 300, 30)) for t in variants(rng, n, size, changes, vocabulary)]
+    rows = list(enumerate(texts + texts[:20]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(ngram_join.ngram_components(docs, *bound)) == brute(rows, *bound)
+
+
+def test_rarest_shingles_of_sets():
+    from tallyhouse.llm import rare_shingles as rs
+    sets = {bytes([i] * 16): np.array(sorted(x), np.uint64) << np.uint64(24) for i, x in enumerate(([1, 2, 9], [2, 3, 9], [5, 9, 1 << 33]))}
+    packed = rs._pack(sets, 24, np.array([9], np.uint64), lambda n: 1, 32, 0)
+    assert [g for g, *_ in packed] == [0, 2, -1]
+    names, keys, counts = rs._repeated(0, [packed[0][1]], [packed[0][2]])
+    assert keys.tolist() == [2, 2] and counts.tolist() == [2, 2] and sorted(names.tolist()) == [0, 0x01010101]
+    told = np.frombuffer(packed[2][1], np.int64).tolist()
+    assert told == [rs.HELD_FREQUENT, 9] * 3
+    assert rs.frequent_in([np.array([1, 2], np.uint64)] * 3) is None
+    many = rs.frequent_in([np.array([1, i], np.uint64) for i in range(2, 9)])
+    assert np.frombuffer(many[0], np.uint64).tolist() == [1] and np.frombuffer(many[1], np.uint32).tolist() == [7]
