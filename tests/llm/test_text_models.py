@@ -235,3 +235,11 @@ def test_op10_query_and_odd_rows(spark, unigram):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in found.collect()[:100]:
         assert r["n_tokens"] == sum(counter.word(w) for w in counter.words(texts[r["doc_id"]]))
+
+
+def test_query_equals_the_library_on_whole_texts(spark, unigram):
+    library = sentencepiece.SentencePieceProcessor(model_proto=unigram.SerializeToString())
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    counts = library.encode([r["text"] or "" for r in docs], num_threads=2)
+    got = {r["doc_id"]: r["n_tokens"] for r in queries.op10_token_counts(spark, SF).collect()}
+    assert got == {r["doc_id"]: len(c) for r, c in zip(docs, counts)}
