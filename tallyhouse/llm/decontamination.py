@@ -11,8 +11,8 @@ replaced keep at least one seed, so no such overlap is missed. An item of
 7 to 12 words overlaps when all of it stands in the document.
 
 Results in special cases: null and empty texts and items below 7 words
-overlap with nothing; benchmark items of equal words are one item (the
-smallest id names it); repeated rows and documents of one id are reported
+overlap with nothing; benchmark items of equal words are compared once and
+each is named (null ids too); repeated rows and documents of one id are reported
 together under that id (null ids too), but the filter goes by id and words;
 empty tables give an empty result; other columns are not used.
 """
@@ -70,13 +70,16 @@ def best_match() -> Column:
     return F.array_max(windows) - need
 
 
-def _checked(texts: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
+def _items(benchmark: DataFrame, item_text_col: str) -> DataFrame:
+    """item_words and item_key of the distinct items that can be found; the
+    key is fixed by writing the table."""
+    items = benchmark.select(words_of(item_text_col).alias("item_words")).where(F.size("item_words") >= SHORTEST).distinct()
+    return saved(items.withColumn("item_key", F.monotonically_increasing_id()), "benchmark-items")
+
+
+def _checked(texts: DataFrame, items: DataFrame) -> DataFrame:
     """The verified hits of ``texts`` (doc_id, text_key, words) with text_key,
-    item_id, at and span."""
-    items = benchmark.select(F.col(f"`{item_col}`").alias("item_id"), words_of(item_text_col).alias("item_words"))
-    items = items.where(F.size("item_words") >= SHORTEST).groupBy("item_words").agg(F.min("item_id").alias("item_id"))
-    # A key of its own per distinct item, fixed by writing the table.
-    items = saved(items.withColumn("item_key", F.monotonically_increasing_id()), "benchmark-items")
+    item_key, at and span."""
     item_seeds = seeds(items.select("item_key", F.col("item_words").alias("words")))
     item_seeds = saved(item_seeds.select("item_key", F.col("at").alias("item_at"), "span", "seed"), "benchmark-seeds")
 
@@ -105,17 +108,22 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     """One row per (doc_id, item_id) that overlap, with the word range of
     the document that the verified seeds span (``first_word`` from 0, and
     ``end_word`` behind the last) and the number of ``hits``."""
-    checked = _checked(_texts(docs, id_col, text_col), benchmark, item_col, item_text_col)
-    return checked.groupBy("doc_id", "item_id").agg(
+    items = _items(benchmark, item_text_col)
+    found = _checked(_texts(docs, id_col, text_col), items).groupBy("doc_id", "item_key").agg(
         (F.min("at") - 1).alias("first_word"), F.max(F.col("at") + F.col("span") - 1).alias("end_word"),
         F.count("*").alias("hits"))
+    rows = benchmark.select(F.col(f"`{item_col}`").alias("item_id"), words_of(item_text_col).alias("item_words"))
+    names = rows.join(broadcast_if_small(items), "item_words").select("item_key", "item_id").distinct()
+    # Rows of one id but other words are one item of the result.
+    return found.join(broadcast_if_small(saved(names, "benchmark-names")), "item_key").groupBy("doc_id", "item_id").agg(
+        F.min("first_word").alias("first_word"), F.max("end_word").alias("end_word"), F.sum("hits").alias("hits"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                  item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that overlap with no item, all columns kept.
     Rows go by id and words: clean texts of a leaked text's id stay."""
-    leaked = _checked(_texts(docs, id_col, text_col), benchmark, item_col, item_text_col).select(
+    leaked = _checked(_texts(docs, id_col, text_col), _items(benchmark, item_text_col)).select(
         F.col("doc_id").alias("__leaked_id"), F.col("text_key").alias("__leaked_key")).distinct()
     leaked = saved(leaked, "leaked-texts")
     keyed = docs.withColumn("__text_key", F.xxhash64(words_of(text_col)))

@@ -110,8 +110,8 @@ def test_overlaps_equal_brute_force(spark):
         docs.append((k, base[:at] + passage + base[at:]))
     rows = [(k, " ".join(w).upper() + ".") for k, w in docs] + [(None, " ".join(items[0][1])), (500, None), (501, ""), (502, "x " * 50_000)]
     d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit("clash")).withColumn("words", F.lit(1))
-    b = spark.createDataFrame([(i, ", ".join(w)) for i, w in items] + [(99, " ".join(items[0][1])), (98, None), (None, "short")],
-                              "item_id long, text string")
+    items += [(99, items[0][1]), (99, items[1][1]), (99, items[1][1]), (None, items[6][1])]  # repeated words and ids
+    b = spark.createDataFrame([(i, ", ".join(w)) for i, w in items] + [(98, None), (None, "short")], "item_id long, text string")
     expected = {(k, i) for k, t in rows for i, w in items if overlap(words(t), w)}
     assert len(expected) > 20
     found = dec.overlaps(d, b).collect()
