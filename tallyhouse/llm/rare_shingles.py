@@ -157,8 +157,8 @@ def rare_keys(texts: DataFrame, classes: DataFrame, rows: DataFrame, num: int, d
 
     packed = texts.select("text").mapInArrow(pack, "group long, keys binary, names binary, counts binary")
     counted = packed.repartition("group").sortWithinPartitions("group").mapInArrow(count, "name long, key long, sets long")
-    # A set's shingles at most; copies of a set tell the same.
-    lists = counted.distinct().groupBy("name").agg(F.collect_list(F.struct("sets", "key")).alias("found"))
+    # A set's shingles at most; what copies of a set tell alike is one before it moves.
+    lists = counted.groupBy("name").agg(F.collect_set(F.struct("sets", "key")).alias("found"))
     named = classes.select("rid", "n", _name(F.col("set_key"), name_bits).alias("name"))
     named = named.groupBy("name").agg(F.collect_list(F.struct("rid", "n")).alias("classes"))
     told = lambda what: F.aggregate(F.filter("found", lambda x: x["key"] == what), F.lit(0).cast("long"), lambda a, x: a + x["sets"])
