@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.joins import broadcast_if_measured_small, broadcast_if_small, broadcast_limit
+from tallyhouse.operators.joins import broadcast_if_measured_small, broadcast_limit
 from tallyhouse.session import estimated_size_bytes, write_through
 
 
@@ -19,8 +19,8 @@ def resolve_ref(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
     """Left join on the natural key, ``coalesce(parent id, old id)``.
 
     Only (key, id) of the parent are read. Child rows whose key is NULL
-    can never match; they bypass the join (a hot NULL key would otherwise
-    land in one shuffle partition). A parent that fits the broadcast limit
+    can never match; they are spread over the shuffle partitions (a hot NULL
+    key would otherwise land in one) or bypass the join. A parent that fits the broadcast limit
     is broadcast (no shuffle of the child, immune to a hot child key);
     otherwise AQE splits skewed child partitions of the sort-merge join.
 
@@ -31,25 +31,38 @@ def resolve_ref(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
     """
     p = (parent.select(F.col(parent_key).alias("_ref_key"), F.col(parent_id).alias("_ref_id"))
          .where(F.col("_ref_key").isNotNull()))
-    join_rows = F.col(child_key).isNotNull()
-    asking = child.where(join_rows)
     if only_rows is None:
-        p = broadcast_if_small(p)
+        return _resolved_in_one_join(child, p, child_key, as_col)
+    join_rows = F.col(child_key).isNotNull() & F.coalesce(only_rows, F.lit(False))
+    asking = child.where(join_rows)
+    size = estimated_size_bytes(p)
+    if size is not None and size <= broadcast_limit(p):
+        p = F.broadcast(p)
     else:
-        join_rows = join_rows & F.coalesce(only_rows, F.lit(False))
-        asking = child.where(join_rows)
-        size = estimated_size_bytes(p)
-        if size is not None and size <= broadcast_limit(p):
-            p = F.broadcast(p)
-        else:
-            asking = write_through(asking, "touched-rows")
-            p = reduced_parent(asking, p, child_key)
+        asking = write_through(asking, "touched-rows")
+        p = reduced_parent(asking, p, child_key)
     j = asking.join(p, F.col(child_key) == F.col("_ref_key"), "left")
     resolved = j.select(*[(F.coalesce(F.col("_ref_id"), F.col(c)) if c == as_col else F.col(c)).alias(c)
                           for c in child.columns])
     return resolved.unionByName(child.where(~join_rows))
 
 
+def _resolved_in_one_join(child: DataFrame, p: DataFrame, child_key: str, as_col: str) -> DataFrame:
+    """Every child row in one join, so that the child, which may be a whole
+    upsert, is computed once. Not broadcast, the join takes a second key
+    that differs among the rows whose key is NULL."""
+    match = F.col(child_key) == F.col("_ref_key")
+    size = estimated_size_bytes(p)
+    if size is not None and size <= broadcast_limit(p):
+        j = child.join(F.broadcast(p), match, "left")
+    else:
+        spread = F.when(F.col(child_key).isNull(), F.pmod(F.xxhash64(*child.columns), F.lit(4096)).cast("int")).otherwise(0)
+        j = child.withColumn("_spread", spread).join(p.withColumn("_ref_spread", F.lit(0)),
+                                                     match & (F.col("_spread") == F.col("_ref_spread")), "left")
+    return j.select(*[(F.coalesce(F.col("_ref_id"), F.col(c)) if c == as_col else F.col(c)).alias(c)
+                      for c in child.columns])
+
+
 def reduced_parent(child: DataFrame, parent: DataFrame, child_key: str) -> DataFrame:
     """The rows of ``parent`` (``_ref_key``, ``_ref_id``) that ``child`` can
     meet. The child's distinct keys are measured; if they are small they are

@@ -15,7 +15,8 @@ delta under the broadcast limit is broadcast: the (large) target is
 streamed, its keys once more, and nothing of it is shuffled. A larger
 delta of a table whose two keys agree takes one outer join, of which
 Catalyst keeps the target's side for the updates and the stage's side for
-the rows to be numbered.
+the rows to be numbered; without rows to be numbered the join is made once
+and such a delta not written.
 """
 
 from __future__ import annotations
@@ -30,6 +31,11 @@ from tallyhouse.operators.surrogate import assign_surrogate_keys, max_id
 from tallyhouse.schemas import TableSpec
 from tallyhouse.session import estimated_size_bytes, write_through
 
+# A delta of more rows than the broadcast limit holds of this many bytes is
+# taken as a large one without being written (a row of keys, two timestamps
+# and values takes more in parquet).
+LEAST_ROW_BYTES = 16
+
 
 def stage_to_warehouse(stage: DataFrame, spec: TableSpec) -> DataFrame:
     """Deduplicate the stage (newest update_timestamp per update key) and
@@ -118,9 +124,28 @@ def upsert_inserts(target: DataFrame, stage: DataFrame, spec: TableSpec,
     return _inserts(target, stage_to_warehouse(stage, spec), spec, ctx, _first_free(target, spec, start_after))
 
 
+def _merged(target: DataFrame, s: DataFrame, spec: TableSpec, ctx: BatchContext) -> DataFrame:
+    """Updated and new rows of a table without surrogate ids, whose new rows
+    need no numbering: one outer join, each side moved once."""
+    keys = [spec.wh(k) for k in spec.update_keys]
+    marked = s.select(*[F.col(c).alias(f"_s_{c}") for c in s.columns])
+    joined = target.withColumn("_t_row", F.lit(True)).join(
+        marked, [F.col(k) == F.col(f"_s_{k}") for k in keys], "full_outer")
+    new = {c: F.col(f"_s_{c}") for c in s.columns}
+    new |= {r: F.lit(None).cast("long") for r in spec.refs}
+    new |= {"etl_batch_no": ctx.no_col(), "etl_batch_date": ctx.date_col()}
+    return joined.select(*[F.when(F.col("_t_row"), old).otherwise(new[c]).alias(c)
+                           for c, old in zip(target.columns, _replaced(target, spec, ctx), strict=True)])
+
+
 def upsert(target: DataFrame, stage: DataFrame, spec: TableSpec,
            ctx: BatchContext, start_after: int | None = None) -> DataFrame:
-    """Complete next snapshot of an SCD1 table. Reads the stage once."""
+    """Complete next snapshot of an SCD1 table. Reads the stage once, but
+    for a delta of so many rows that it is joined without being written:
+    those are counted first."""
+    if not spec.id_col and spec.insert_keys == spec.update_keys:
+        if stage.count() * LEAST_ROW_BYTES > broadcast_limit(stage):
+            return _merged(target, stage_to_warehouse(stage, spec), spec, ctx)
     s = write_through(stage_to_warehouse(stage, spec), f"delta-{spec.name}")
     start_after = _first_free(target, spec, start_after)
     size = estimated_size_bytes(s)

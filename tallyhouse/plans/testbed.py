@@ -87,8 +87,8 @@ class Testbed:
         return cls._shared[key]
 
     WAREHOUSE = ("wh_offices", "wh_employees_office", "wh_employees", "wh_customers",
-                 "wh_productlines", "wh_products", "wh_orders", "wh_orderdetails_order",
-                 "wh_orderdetails", "wh_payments")
+                 "wh_productlines", "wh_products", "wh_orders", "wh_orderdetails",
+                 "wh_payments")
 
     def build(self) -> "Testbed":
         """Materialise every warehouse table of the batch."""
@@ -358,7 +358,7 @@ class Testbed:
 
     @cached_property
     def wh_orderdetails(self) -> DataFrame:
-        return resolve_ref(self.mat("wh_orderdetails_order"), self.mat("wh_products"), "src_productCode",
+        return resolve_ref(self.wh_orderdetails_order, self.mat("wh_products"), "src_productCode",
                            "src_productCode", "dw_product_id", "dw_product_id")
 
     @cached_property
