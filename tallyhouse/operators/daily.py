@@ -3,11 +3,12 @@
 Original shape: six (customer) or two (product) grouped branches,
 zero-padded to one row shape, UNION ALL, then an outer aggregate per
 (summary_date, id). Here the four order-line branches share one pass:
-lines are joined to orders (and products) once, each line is exploded
+lines are joined to orders (and products) once, each order is exploded
 into the branch events it qualifies for, and one grouped aggregate
 computes all inner groups. Customers (D1) and payments (D5) are their
-own small branches. Both aggregates combine map-side, so a hot customer
-or day is pre-reduced in every map task before the shuffle.
+own small branches. Lines are first added up per order, on the
+partitioning of their join; then each event moves once, to its day and
+customer (or product), where inner and outer groups are made.
 """
 
 from __future__ import annotations
@@ -113,53 +114,87 @@ def _spread_null(key: str, other: str) -> Column:
     return F.coalesce(F.col(key), -1 - F.pmod(F.xxhash64(other), F.lit(4096)))
 
 
-def _line_events(orders: DataFrame, orderdetails: DataFrame, products: DataFrame,
+def _order_lines(orders: DataFrame, orderdetails: DataFrame, products: DataFrame,
                  ctx: BatchContext, branches: tuple[str, ...] = LINE_BRANCHES) -> DataFrame:
-    """Order lines exploded into (branch, summary_date) events.
+    """One row per order and batch of its lines, with what the branches add
+    up: all lines, and for the 'ordered' branch those of a known product.
 
     Joins on surrogate ids: lines to orders inner, products left (only the
     'ordered' branch requires a product, as its inner join does, so other
-    branches alone do without).
+    branches alone do without). A branch and its day depend on the order
+    alone, so lines are added up where the join left them, on the
+    partitioning of the order id.
     """
-    conditions = {k: v for k, v in _line_conditions(ctx.date_col()).items() if k in branches}
+    any_branch = reduce(lambda x, y: x | y, [c for k, (_, c) in _line_conditions(ctx.date_col()).items() if k in branches])
     o = orders.select(F.col("dw_order_id").alias("_o_id"), "dw_customer_id", "orderDate",
                       "cancelledDate", "shippedDate", norm_text("status").alias("_st"),
                       F.col("src_create_timestamp").alias("_o_cts"),
                       F.col("src_update_timestamp").alias("_o_uts"))
-    any_branch = reduce(lambda x, y: x | y, [c for _, c in conditions.values()])
     # Orders with a branch on/after the batch date: a small slice of the
     # history, broadcast once measured so order lines are not shuffled.
     o = broadcast_if_measured_small(o.where(any_branch), "batch_orders")
+    order = o.columns
     od = orderdetails.select("dw_order_id", "dw_product_id", "quantityOrdered", "priceEach",
                              "etl_batch_no", "etl_batch_date")
     lines = od.join(o, F.col("dw_order_id") == F.col("_o_id"), "inner")
+    q = F.col("quantityOrdered")
+    aggs = [F.sum(q).alias("_q"), F.sum(F.col("priceEach") * q).alias("_a")]
     if ORDERED in branches:
         p = broadcast_if_small(products.select(F.col("dw_product_id").alias("_p_id"), "MSRP")
                                .where(F.col("_p_id").isNotNull()))
         lines = lines.join(p, _spread_null("dw_product_id", "dw_order_id") == F.col("_p_id"), "left")
-        day, cond = conditions[ORDERED]
-        conditions[ORDERED] = day, cond & F.col("_p_id").isNotNull()
-    else:
-        lines = lines.withColumn("MSRP", F.lit(None).cast(products.schema["MSRP"].dataType))
-    events = F.array(*[F.when(cond, F.struct(F.lit(name).alias("br"), F.col(day).cast("date").alias("day")))
-                       for name, (day, cond) in conditions.items()])
-    return (lines.select("*", F.explode(events).alias("_ev")).where(F.col("_ev").isNotNull())
-            .select("*", F.col("_ev.br").alias("br"), F.col("_ev.day").alias("summary_date")))
+        known = F.col("_p_id").isNotNull()
+        aggs += [F.collect_set(F.when(known, F.col("dw_product_id"))).alias("_products"),
+                 F.sum(F.when(known, q)).alias("_pq"), F.sum(F.when(known, q * F.col("MSRP"))).alias("_pa")]
+    return lines.groupBy(*order, "etl_batch_no", "etl_batch_date").agg(*aggs)
 
 
-def _line_inner_groups(orders, orderdetails, products, ctx, branches=LINE_BRANCHES, exact: bool = False) -> DataFrame:
-    """Inner groups of the line branches, zero-padded. ``exact`` groups by
-    branch, day and customer alone, so that an order whose lines were loaded
-    by several batches counts once."""
-    ev = _line_events(orders, orderdetails, products, ctx, branches)
-    is_ordered = F.col("br") == ORDERED
-    item = F.when(is_ordered, F.col("dw_product_id")).otherwise(F.col("dw_order_id"))
-    amount = F.when(is_ordered, F.col("quantityOrdered") * F.col("MSRP")) \
-        .otherwise(F.col("priceEach") * F.col("quantityOrdered"))
+def _line_events(orders: DataFrame, orderdetails: DataFrame, products: DataFrame,
+                 ctx: BatchContext, branches: tuple[str, ...] = LINE_BRANCHES) -> DataFrame:
+    """(branch, summary_date) events of every order and batch: the items a
+    branch counts (products or the order), their quantity and amount."""
+    conditions = {k: v for k, v in _line_conditions(ctx.date_col()).items() if k in branches}
+    lines = _order_lines(orders, orderdetails, products, ctx, branches)
+
+    def event(name):
+        day, cond = conditions[name]
+        items, qty, total = F.array("_o_id"), "_q", "_a"
+        if name == ORDERED:
+            items, qty, total = F.col("_products"), "_pq", "_pa"
+            cond = cond & (F.size("_products") > 0)
+        return F.when(cond, F.struct(F.lit(name).alias("br"), F.col(day).cast("date").alias("day"), items.alias("items"),
+                                     F.col(qty).alias("q"), F.col(total).cast(AMOUNT).alias("a")))
+
+    keys = ("dw_customer_id", "_o_cts", "_o_uts", "etl_batch_no", "etl_batch_date")
+    return lines.select(*keys, F.explode(F.array(*[event(k) for k in conditions])).alias("_ev")) \
+        .where(F.col("_ev").isNotNull()) \
+        .select(F.col("_ev.br").alias("br"), F.col("_ev.day").alias("summary_date"), *keys,
+                F.col("_ev.items").alias("_items"), F.col("_ev.q").alias("_q"), F.col("_ev.a").alias("_a"))
+
+
+def _as_events(name: str, rows: DataFrame, quantity: str, amount: str) -> DataFrame:
+    """Padded rows of a branch without lines in the columns of line events."""
+    return rows.select(F.lit(name).alias("br"), "summary_date", "dw_customer_id",
+                       F.col("dw_create_timestamp").alias("_o_cts"), F.col("dw_update_timestamp").alias("_o_uts"),
+                       "etl_batch_no", "etl_batch_date", F.array(F.lit(0).cast("long")).alias("_items"),
+                       F.col(quantity).cast("long").alias("_q"), F.col(amount).alias("_a"))
+
+
+def _inner_groups(ev: DataFrame, exact: bool = False) -> DataFrame:
+    """Inner groups of events, zero-padded. ``exact`` groups by branch, day
+    and customer alone, so that an order whose lines were loaded by several
+    batches counts once.
+
+    Events move once, to their day and customer: inner groups, the distinct
+    counts within them and the outer groups are all made there. Items of one
+    inner group (a day's orders of a customer, or their products) are held
+    together to be counted."""
+    ev = ev.repartition("summary_date", "dw_customer_id")
     inner = ["_o_cts", "_o_uts", "etl_batch_no", "etl_batch_date"]
-    g = ev.groupBy("br", "summary_date", "dw_customer_id", *([] if exact else inner)) \
-        .agg(F.count_distinct(item).alias("_n"), F.sum("quantityOrdered").alias("_q"),
-             F.sum(amount).alias("_a"), *([F.max(c).alias(c) for c in inner] if exact else []))
+    keys = ["br", "summary_date", "dw_customer_id"]
+    g = ev.groupBy(*keys, *([] if exact else inner)) \
+        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_n"), F.sum("_q").alias("_q"),
+             F.sum("_a").alias("_a"), *([F.max(c).alias(c) for c in inner] if exact else []))
     br = F.col("br")
 
     def on(name, col):
@@ -178,6 +213,8 @@ def _line_inner_groups(orders, orderdetails, products, ctx, branches=LINE_BRANCH
         "products_ordered_qty": on(ORDERED, F.col("_n")),
         "products_items_qty": on(ORDERED, F.col("_q")),
         "order_mrp_amount": on(ORDERED, F.col("_a")),
+        "payment_apd": on(PAY, F.lit(1)), "payment_amount": on(PAY, F.col("_a")),
+        "new_customer_paid_apd": on(PAY, F.when(F.col("_q") > 0, 1).otherwise(0)),
         "dw_create_timestamp": F.col("_o_cts"), "dw_update_timestamp": F.col("_o_uts"),
         "etl_batch_no": F.col("etl_batch_no"), "etl_batch_date": F.col("etl_batch_date"),
     }))
@@ -185,7 +222,7 @@ def _line_inner_groups(orders, orderdetails, products, ctx, branches=LINE_BRANCH
 
 def line_branch(name: str, orders, orderdetails, products, ctx) -> DataFrame:
     """D2 (ordered), D3 (cancelled), D4 (shipped), D6 (open): padded rows."""
-    return _line_inner_groups(orders, orderdetails, products, ctx, (name,)).drop("br")
+    return _inner_groups(_line_events(orders, orderdetails, products, ctx, (name,))).drop("br")
 
 
 def payment_branch(payments: DataFrame, ctx: BatchContext, first: DataFrame | None = None) -> DataFrame:
@@ -229,10 +266,10 @@ def daily_customer_summary(customers: DataFrame, orders: DataFrame, orderdetails
     ``first`` are first payment dates kept by earlier batches; ``payments``
     then need not go back before the batch date.
     """
-    lines = _line_inner_groups(orders, orderdetails, products, ctx, exact=additive == "exact")
-    new = new_customers(customers, ctx).select(F.lit(NEW).alias("br"), "*")
-    pay = payment_branch(payments, ctx, first).select(F.lit(PAY).alias("br"), "*")
-    u = lines.unionByName(new).unionByName(pay)
+    events = _line_events(orders, orderdetails, products, ctx)
+    new = _as_events(NEW, new_customers(customers, ctx), "payment_apd", "payment_amount")
+    pay = _as_events(PAY, payment_branch(payments, ctx, first), "new_customer_paid_apd", "payment_amount")
+    u = _inner_groups(events.unionByName(new).unionByName(pay), exact=additive == "exact")
     aggs = []
     for c, t in CUSTOMER_MEASURES:
         if c == "new_customer_apd":
