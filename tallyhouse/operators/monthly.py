@@ -144,16 +144,30 @@ def monthly_insert(monthly: DataFrame, daily: DataFrame, spec: RollupSpec, ctx:
     return _fresh(_aggregate_daily(daily, spec).join(existing, match, "left_anti"), spec, ctx)
 
 
+def _daily_types(daily: DataFrame, spec: RollupSpec) -> list[tuple[str, str]]:
+    """What the roll-up reads of a daily row beside its day and id."""
+    types = dict(daily.dtypes)
+    return [(c, types[c]) for c in (*spec.sums, *spec.flags, "etl_batch_no", "etl_batch_date")]
+
+
 def recomputed_pairs(monthly: DataFrame, daily: DataFrame, spec: RollupSpec, ctx: BatchContext) -> DataFrame:
     """Monthly rows of every (month, id) that this batch's daily rows touch
     or that the monthly table lacks, aggregated from all its daily rows; an
     existing row keeps its create time."""
-    touched = F.max(F.coalesce(on_or_after("summary_date", ctx.date_col()), F.lit(False)))
-    again = _aggregate_daily(daily, spec, touched.alias("_touched"))
-    existing = monthly.groupBy(F.col(MONTH).alias("_m_month"), F.col(spec.key).alias("_m_key")).agg(
-        F.min("dw_create_timestamp").alias("_created"), F.lit(True).alias("_m_row"))
-    met = again.join(existing, _key_match(F.col(MONTH), F.col(spec.key), F.col("_m_month"), F.col("_m_key"), True), "left")
-    met = met.where(F.col("_touched") | F.col("_m_row").isNull())
+    # Both tables in one grouped aggregate, which takes NULL ids as equal:
+    # monthly rows (NULL months match nothing) bring their keys and create time.
+    types = dict(monthly.dtypes)
+    day = F.to_date(F.col(MONTH)).alias("summary_date")
+    kept = monthly.where(month_start(MONTH) == F.col(MONTH)).select(
+        day, spec.key, "dw_create_timestamp", *[F.lit(None).cast(t).alias(c) for c, t in _daily_types(daily, spec)],
+        F.lit(False).alias("_daily"), F.lit(False).alias("_new"))
+    rows = daily.select("summary_date", spec.key, F.lit(None).cast(types["dw_create_timestamp"]).alias("dw_create_timestamp"),
+                        *[c for c, _ in _daily_types(daily, spec)], F.lit(True).alias("_daily"),
+                        F.coalesce(on_or_after("summary_date", ctx.date_col()), F.lit(False)).alias("_new"))
+    again = _aggregate_daily(rows.unionByName(kept), spec, F.min("dw_create_timestamp").alias("_created"),
+                             F.max("_daily").alias("_daily"), F.max("_new").alias("_touched"),
+                             F.max(~F.col("_daily")).alias("_m_row"))
+    met = again.where(F.col("_daily") & (F.col("_touched") | ~F.col("_m_row")))
     return _fresh(met, spec, ctx, F.coalesce("_created", ctx.run_ts_col()))
 
 
