@@ -114,6 +114,12 @@ def _spread_null(key: str, other: str) -> Column:
     return F.coalesce(F.col(key), -1 - F.pmod(F.xxhash64(other), F.lit(4096)))
 
 
+def _parts(df: DataFrame) -> int:
+    """All shuffle partitions of the session: events are grouped where they
+    arrive, so merged partitions would hold that many more groups a task."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _order_lines(orders: DataFrame, orderdetails: DataFrame, products: DataFrame,
                  ctx: BatchContext, branches: tuple[str, ...] = LINE_BRANCHES) -> DataFrame:
     """One row per order and batch of its lines, with what the branches add
@@ -189,7 +195,7 @@ def _inner_groups(ev: DataFrame, exact: bool = False) -> DataFrame:
     counts within them and the outer groups are all made there. Items of one
     inner group (a day's orders of a customer, or their products) are held
     together to be counted."""
-    ev = ev.repartition("summary_date", "dw_customer_id")
+    ev = ev.repartition(_parts(ev), "summary_date", "dw_customer_id")
     inner = ["_o_cts", "_o_uts", "etl_batch_no", "etl_batch_date"]
     keys = ["br", "summary_date", "dw_customer_id"]
     g = ev.groupBy(*keys, *([] if exact else inner)) \
@@ -315,7 +321,7 @@ def _product_events(orders: DataFrame, orderdetails: DataFrame, products: DataFr
     return (lines.select("*", F.explode(events).alias("_ev")).where(F.col("_ev").isNotNull())
             .select(F.col("_ev.br").alias("br"), F.col("_ev.day").alias("summary_date"), "dw_product_id",
                     "quantityOrdered", "priceEach", "MSRP")
-            .repartition("summary_date", "dw_product_id"))
+            .repartition(_parts(lines), "summary_date", "dw_product_id"))
 
 
 def _product_values(br: Column) -> dict:

@@ -122,3 +122,11 @@ def test_large_delta_without_ids_takes_one_join(spark):
         assert "Union" not in _plan(df)
         assert rows(df, *target.columns) == want
     assert df.columns == target.columns and df.dtypes == target.dtypes
+
+
+def test_events_keep_all_shuffle_partitions(spark):
+    # Merged partitions would hold more groups in a task the more is moved.
+    c, o, od, p, pa = _order_data(spark)
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    for df in (D.daily_product_summary(o, od, p, CTX), D.daily_customer_summary(c, o, od, p, pa, CTX)):
+        assert re.search(rf"Exchange hashpartitioning\(summary_date[^\n]*, {n}\), REPARTITION_BY_NUM", _plan(df))
